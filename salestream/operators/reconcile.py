@@ -43,14 +43,14 @@ def diff(
     matched = stacked.groupBy(*_KEYS).agg(
         F.sum(_of("served", "revenue")).alias("served_revenue"),
         F.sum(_of("expected", "revenue")).alias("expected_revenue"),
-        F.sum(_of("served", "sales_count")).alias("served_count"),
-        F.sum(_of("expected", "sales_count")).alias("expected_count"),
+        F.coalesce(F.sum(_of("served", "sales_count")), F.lit(0)).alias("served_count"),
+        F.coalesce(F.sum(_of("expected", "sales_count")), F.lit(0)).alias("expected_count"),
         F.count_if(F.col("side") == "served").alias("n_served"),
         F.count_if(F.col("side") == "expected").alias("n_expected"),
     )
     agrees = to_cents(F.col("served_revenue")).eqNullSafe(
         to_cents(F.col("expected_revenue"))
-    ) & F.col("served_count").eqNullSafe(F.col("expected_count"))
+    ) & (F.col("served_count") == F.col("expected_count"))
     status = (
         F.when(F.col("n_served") == 0, "missing")
         .when(F.col("n_expected") == 0, "unexpected")

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from salestream.functions import or_zero, ratio, to_cents
 from salestream.schema import WINDOW_COLUMNS
 
-_BY_RECENCY = (F.desc("window_start"), F.asc("category"))
+
+def _by_recency() -> tuple[Column, Column]:
+    return F.desc("window_start"), F.asc("category")
 
 
 def _revenue() -> Column:
@@ -25,12 +27,12 @@ def _revenue() -> Column:
 
 def latest_windows(windows: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most recent rows."""
-    return windows.select(*WINDOW_COLUMNS).orderBy(*_BY_RECENCY).limit(n)
+    return windows.select(*WINDOW_COLUMNS).orderBy(*_by_recency()).limit(n)
 
 
 def top_windows(windows: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` rows with the highest revenue."""
-    return windows.select(*WINDOW_COLUMNS).orderBy(F.desc("revenue"), *_BY_RECENCY).limit(n)
+    return windows.select(*WINDOW_COLUMNS).orderBy(F.desc("revenue"), *_by_recency()).limit(n)
 
 
 def revenue_by_category(windows: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def time_evolution(windows: DataFrame, n_rows: int = 20) -> DataFrame:
 
     Rows are cut before grouping, so the oldest window may be incomplete.
     """
-    recent = windows.orderBy(*_BY_RECENCY).limit(n_rows)
+    recent = windows.orderBy(*_by_recency()).limit(n_rows)
     return (
         recent.groupBy("window_start")
         .agg(

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
@@ -19,9 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="salestream-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.conf.get("spark.app.id")
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="salestream-")
+    return _local_folders[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
