@@ -17,31 +17,37 @@ def windowed_sales(
     width: str = WINDOW,
     slide: str | None = None,
     watermark: str = WATERMARK,
+    counted: str = "sale_id",
 ) -> DataFrame:
     """Sum of ``amount`` and number of non-NULL ``sale_id`` per (window, category).
 
     Windows are ``[start, end)``, aligned to the epoch, and overlap when ``slide``
     is shorter than ``width``. Events without a time belong to no window and are
     dropped. ``watermark`` bounds lateness on a stream and has no effect on a table.
+    Where every event is known to have an id, ``counted="event_time"`` gives the
+    same counts and spares reading the ids, often the widest column of a table.
     Returns window_start, window_end, category, revenue, sales_count.
     """
     if events.isStreaming:
-        return _stream_windows(events, width, slide or width, watermark)
-    return _table_windows(events, width, slide or width)
+        return _stream_windows(events, width, slide or width, watermark, counted)
+    return _table_windows(events, width, slide or width, counted)
 
 
-def _totals(events: DataFrame, *keys: Column | str) -> DataFrame:
+def _totals(events: DataFrame, counted: str, *keys: Column | str) -> DataFrame:
     return events.groupBy(*keys).agg(
-        F.sum("amount").alias("revenue"), F.count("sale_id").alias("sales_count")
+        F.sum("amount").alias("revenue"), F.count(counted).alias("sales_count")
     )
 
 
-def _stream_windows(events: DataFrame, width: str, slide: str, watermark: str) -> DataFrame:
+def _stream_windows(
+    events: DataFrame, width: str, slide: str, watermark: str, counted: str
+) -> DataFrame:
     # The whole window struct is the key: it carries the watermark that lets
     # Spark drop finished windows from the state. A watermark needs a TIMESTAMP.
     timed = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
     window = F.window("event_time", width, slide)
-    return _totals(timed.withWatermark("event_time", watermark), window, "category").select(
+    timed = timed.withWatermark("event_time", watermark)
+    return _totals(timed, counted, window, "category").select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "category",
@@ -50,7 +56,7 @@ def _stream_windows(events: DataFrame, width: str, slide: str, watermark: str) -
     )
 
 
-def _table_windows(events: DataFrame, width: str, slide: str) -> DataFrame:
+def _table_windows(events: DataFrame, width: str, slide: str, counted: str) -> DataFrame:
     # Only the start is a grouping key: one fixed-width value hashes and shuffles
     # faster than the struct, and the end follows from it.
     length, step = micros(width), micros(slide)
@@ -58,13 +64,14 @@ def _table_windows(events: DataFrame, width: str, slide: str) -> DataFrame:
         # Windows that overlap are unions of whole slide-long panes. Aggregating
         # the panes first means each event is touched once, and only the few pane
         # rows are copied into the length/step windows they belong to.
-        panes = _totals(events, F.window("event_time", slide)["start"].alias("pane"), "category")
+        pane = F.window("event_time", slide)["start"].alias("pane")
+        panes = _totals(events, counted, pane, "category")
         windows = panes.groupBy(
             F.window("pane", width, slide)["start"].alias("window_start"), "category"
         ).agg(F.sum("revenue").alias("revenue"), F.sum("sales_count").alias("sales_count"))
     else:
-        start = F.window("event_time", width, slide)["start"]
-        windows = _totals(events, start.alias("window_start"), "category")
+        start = F.window("event_time", width, slide)["start"].alias("window_start")
+        windows = _totals(events, counted, start, "category")
     time_type = events.schema["event_time"].dataType
     return windows.select(
         "window_start",

@@ -144,23 +144,28 @@ def split_rejects(spark, sf_dir):
     )
 
 
-def topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as messages of a topic with three partitions."""
-    placed = sales(spark, sf_dir).withColumns({
+def placed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the place they would have in a topic of three partitions."""
+    return sales(spark, sf_dir).withColumns({
         "topic": F.lit("sales"),
         "partition": F.pmod("sale_id", F.lit(3)).cast("int"),
-        "offset": F.floor(F.col("sale_id") / 3),
+        "offset": F.expr("sale_id div 3"),
     })
-    return sinks.to_envelope(placed, keep=("topic", "partition", "offset"))
 
 
 def partition_profile(spark, sf_dir):
-    return sources.partition_profile(topic(spark, sf_dir))
+    envelope = sinks.to_envelope(
+        placed_sales(spark, sf_dir), keep=("topic", "partition", "offset")
+    )
+    return sources.partition_profile(envelope)
 
 
 def peek_messages(spark, sf_dir):
-    first = sources.peek(topic(spark, sf_dir), 10, ("partition", "offset"))
-    return first.select("partition", "offset", F.col("value").cast("string").alias("message"))
+    """The first messages of the topic; only those are encoded."""
+    place = ("partition", "offset")
+    first = sources.peek(placed_sales(spark, sf_dir), 10, place)
+    message = F.col("value").cast("string").alias("message")
+    return sinks.to_envelope(first, keep=place).select(*place, message)
 
 
 # Reports
@@ -247,14 +252,14 @@ def emission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     most six rows per window and category, however many events those hold.
     """
     panes = windowed_sales(sales(spark, sf_dir), "10 minutes")
-    hours = panes.withColumns({
+    by_hour = panes.withColumns({
         "batch_id": F.floor(F.unix_timestamp("window_start") / 600),
-        "hour": F.date_trunc("hour", "window_start").cast("timestamp_ntz"),
+        "window_start": F.date_trunc("hour", "window_start").cast("timestamp_ntz"),
     })
-    so_far = Window.partitionBy("hour", "category").orderBy("batch_id")
-    return hours.select(
-        F.col("hour").alias("window_start"),
-        (F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("window_end"),
+    so_far = Window.partitionBy("window_start", "category").orderBy("batch_id")
+    return by_hour.select(
+        "window_start",
+        (F.col("window_start") + F.expr("INTERVAL 1 HOUR")).alias("window_end"),
         "category",
         F.sum("revenue").over(so_far).alias("revenue"),
         F.sum("sales_count").over(so_far).alias("sales_count"),
@@ -342,9 +347,7 @@ def stream_update_latest(spark, sf_dir):
 
 def stream_envelope_latest(spark, sf_dir):
     """The live job from JSON messages to the current table."""
-    path = new_path(spark, "messages")
-    sinks.to_envelope(sales(spark, sf_dir)).write.parquet(path)
-    messages = sources.read_stream(spark, "parquet", schema="value binary", path=path)
+    messages = sinks.to_envelope(sales_stream(spark, sf_dir))
     log, _ = _drain_to_log(spark, parse.parse_events(messages), "message-log")
     return cents(without_zone(serving.latest(serving.read_log(spark, log))))
 

@@ -1,0 +1,199 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from salestream.operators import reports, text_report
+from salestream.schema import from_documents, to_documents
+from tests.conftest import at, plan_text, rows
+
+
+@pytest.fixture
+def small(windows_of):
+    return windows_of(
+        ("10:30:00", "Casa", 100.0, 4),
+        ("10:30:00", "Livros", 30.0, 1),
+        ("10:31:00", "Casa", 10.0, 1),
+        ("10:31:00", "Gamer", 110.0, 2),
+        ("10:32:00", "Livros", None, 3),
+        ("10:32:00", "Gamer", 5.0, 0),
+    )
+
+
+@pytest.fixture
+def empty(windows_of):
+    return windows_of(("10:30:00", "x", 1.0, 1)).limit(0)
+
+
+def test_latest_breaks_ties_by_category(small):
+    got = rows(reports.latest_windows(small, 3), "window_start", "category")
+    assert got == [
+        (at("10:32:00"), "Gamer"), (at("10:32:00"), "Livros"), (at("10:31:00"), "Casa"),
+    ]
+
+
+def test_top_windows_with_equal_revenue(windows_of):
+    df = windows_of(
+        ("10:30:00", "b", 5.0, 1), ("10:31:00", "c", 5.0, 1), ("10:31:00", "a", 5.0, 1),
+        ("10:29:00", "z", 6.0, 1),
+    )
+    got = rows(reports.top_windows(df, 3), "window_start", "category")
+    assert got == [(at("10:29:00"), "z"), (at("10:31:00"), "a"), (at("10:31:00"), "c")]
+
+
+def test_average_ticket_is_a_mean_of_ratios(small):
+    got = {r[0]: r[1:] for r in rows(reports.revenue_by_category(small))}
+    assert got["Casa"] == (110.0, 5, 17.5, 22.0)
+    assert got["Gamer"] == (115.0, 2, 55.0, 57.5)  # the window without a sale stays out
+    assert got["Livros"] == (30.0, 4, 30.0, 7.5)  # and so does the one without revenue
+    assert [r[0] for r in rows(reports.revenue_by_category(small))] == ["Gamer", "Casa", "Livros"]
+
+
+def test_halves_round_to_even(windows_of):
+    df = windows_of(("10:30:00", "a", 0.125, 1), ("10:30:00", "b", 0.375, 1))
+    assert dict(rows(reports.revenue_by_category(df), "category", "revenue")) == {
+        "a": 0.12, "b": 0.38,
+    }
+
+
+def test_evolution_cuts_rows_before_grouping(windows_of):
+    df = windows_of(*[
+        (f"10:{30 + i // 4}:00", f"c{i % 4}", 1.0, 1) for i in range(24)
+    ])
+    got = rows(reports.time_evolution(df, 18))
+    assert len(got) == 5 and got[0] == (at("10:31:00"), 2.0, 2)
+    assert got[-1] == (at("10:35:00"), 4.0, 4)
+
+
+def test_general_stats(small):
+    got = reports.general_stats(small).first().asDict()
+    assert got == {
+        "n_rows": 6, "n_windows": 3, "revenue": 255.0, "sales_count": 11,
+        "avg_revenue": 51.0, "avg_sales_count": 11 / 6, "max_revenue": 110.0,
+        "min_revenue": 5.0,
+    }
+
+
+def test_distribution(small):
+    got = rows(reports.category_distribution(small))
+    assert [r[0] for r in got] == ["Gamer", "Casa", "Livros"]
+    assert sum(r[2] for r in got) == pytest.approx(100)
+    assert got[0][2] == pytest.approx(100 * 115 / 255)
+
+
+def test_distribution_of_nothing_sold(windows_of):
+    df = windows_of(("10:30:00", "a", 0.0, 0), ("10:30:00", "b", None, 1))
+    assert rows(reports.category_distribution(df)) == [("a", 0.0, None), ("b", 0.0, None)]
+
+
+def test_category_without_any_revenue_counts_as_zero(windows_of):
+    df = windows_of(("10:30:00", "a", None, 1))
+    assert rows(reports.category_totals(df)) == [("a", 0.0)]
+
+
+def test_top_categories(small):
+    assert rows(reports.top_categories(small, 2)) == [("Gamer", 115.0, 2), ("Casa", 110.0, 5)]
+
+
+def test_count_and_find(small):
+    assert rows(reports.count_rows(small)) == [(6,)]
+    found = reports.find_window(small, "Casa", at("10:31:00"))
+    assert rows(found, "category", "revenue", "sales_count") == [("Casa", 10.0, 1)]
+    assert rows(reports.find_window(small, "Casa", F.lit(at("11:31:00")))) == []
+
+
+@pytest.mark.parametrize(
+    "report, n",
+    [
+        (reports.latest_windows, 0), (reports.top_windows, 0), (reports.revenue_by_category, 0),
+        (reports.time_evolution, 0), (reports.general_stats, 0), (reports.category_totals, 0),
+        (reports.category_distribution, 0), (reports.top_categories, 0), (reports.count_rows, 1),
+    ],
+)
+def test_empty_table(empty, report, n):
+    assert len(rows(report(empty))) == n
+
+
+def test_documents_round_trip(small):
+    docs = to_documents(small)
+    assert docs.columns == [
+        "janela_inicio", "janela_fim", "categoria", "faturamento_total", "volume_vendas",
+    ]
+    assert sorted(rows(from_documents(docs)), key=str) == sorted(rows(small), key=str)
+
+
+# Text
+
+
+def test_category_lines(windows_of):
+    df = windows_of(("10:30:00", "Casa", 15234.5, 12))
+    assert rows(text_report.revenue_by_category(df)) == [(
+        "Categoria: Casa\n  Faturamento Total: R$ 15234.50\n  Volume Total: 12 vendas\n"
+        "  Ticket Médio: R$ 1269.54\n" + "─" * 61,
+    )]
+
+
+def test_latest_and_top_lines(windows_of):
+    df = windows_of(("10:30:00", "Casa", 15.0, 2))
+    rule = "─" * 61
+    tail = f"Categoria: Casa\nFaturamento: R$ 15.00\nVolume: 2 vendas\n{rule}"
+    assert rows(text_report.latest_windows(df)) == [
+        ("Janela: 2024-11-25 10:30:00 → 2024-11-25 10:30:59\n" + tail,)
+    ]
+    assert rows(text_report.top_windows(df)) == [("Janela: 2024-11-25 10:30:00\n" + tail,)]
+
+
+def test_evolution_lines_are_padded_never_cut(windows_of):
+    df = windows_of(
+        ("10:30:00", "a", 15.0, 2), ("10:31:00", "a", 1234567890123.0, 123456)
+    )
+    assert rows(text_report.time_evolution(df)) == [
+        ("2024-11-25 10:30:00 | R$        15.00 |    2 vendas",),
+        ("2024-11-25 10:31:00 | R$ 1234567890123.00 | 123456 vendas",),
+    ]
+
+
+def test_distribution_lines(windows_of):
+    df = windows_of(
+        ("10:30:00", "Casa", 75.0, 1), ("10:30:00", "a name past fifteen", 25.0, 1)
+    )
+    assert rows(text_report.category_distribution(df)) == [
+        ("Casa            | " + "█" * 38 + " 75.00%",),
+        ("a name past fifteen | " + "█" * 13 + " 25.00%",),
+    ]
+
+
+def test_stats_lines(small, empty):
+    (line,) = rows(text_report.general_stats(small))[0]
+    assert line.split("\n") == [
+        "Total de Janelas Processadas: 6",
+        "Faturamento Total: R$ 255.00",
+        "Volume Total de Vendas: 11",
+        "Faturamento Médio por Janela: R$ 51.00",
+        "Volume Médio por Janela: 1.83 vendas",
+        "Maior Faturamento em uma Janela: R$ 110.00",
+        "Menor Faturamento em uma Janela: R$ 5.00",
+    ]
+    assert rows(text_report.general_stats(empty)) == []
+
+
+# Plans
+
+
+def test_limits_are_top_k_plans(small):
+    for report in (reports.latest_windows, reports.top_windows, reports.top_categories):
+        plan = plan_text(report(small))
+        assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_share_of_total_groups_once(small, tmp_path):
+    spark = small.sparkSession
+    small.write.parquet(str(tmp_path / "w"))
+    shares = reports.category_distribution(spark.read.parquet(str(tmp_path / "w")))
+    rows(shares)
+    df = shares.select("*")
+    df._jdf.queryExecution().executedPlan()
+    assert "Window" not in plan_text(shares)
+    shares._jdf.collectToPython()
+    final = plan_text(shares).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final or final.count("FileScan") == 1
