@@ -1,0 +1,76 @@
+"""Every registered query against its SQL on DuckDB, and rules for the library."""
+
+from __future__ import annotations
+
+import pathlib
+import re
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from tests.conftest import SF_DIR, plan_text
+
+PACKAGE = pathlib.Path(__file__).parent.parent / "salestream"
+
+
+@pytest.fixture(scope="module")
+def sql():
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF_DIR}/events.parquet'")
+    return con
+
+
+def canonical(table):
+    """Rows of an Arrow table with columns by name, times as text, in a fixed order."""
+    names = sorted(table.column_names)
+    picked = zip(*[
+        [str(v) if hasattr(v, "isoformat") else v for v in table.column(n).to_pylist()]
+        for n in names
+    ])
+    return names, sorted(picked, key=repr)
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_same_as_sql(spark, sql, name):
+    got = contract.queries()[name](spark, SF_DIR).toArrow()
+    want = sql.sql(contract.oracle_sql()[name]).to_arrow_table()
+    assert canonical(got) == canonical(want)
+    assert {f.name: str(f.type) for f in got.schema if str(f.type) != "string"}.keys() == {
+        f.name for f in want.schema if str(f.type) != "string"
+    }
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() == 5
+
+
+def test_reports_scan_only_what_they_need(spark):
+    plan = plan_text(contract.queries()["category_totals"](spark, SF_DIR))
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
+    assert "PushedFilters: [IsNotNull(ts)]" in plan
+
+
+def test_one_shuffle_from_events_to_windows(spark):
+    plan = plan_text(contract.queries()["windowed_sales_1h"](spark, SF_DIR))
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
+def test_the_running_log_needs_no_shuffle_for_its_latest_rows(spark):
+    plan = plan_text(contract.queries()["emission_log_latest"](spark, SF_DIR))
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 2
+
+
+@pytest.mark.parametrize("word", [
+    r"\.rdd\b", r"\budf\(", r"pandas_udf", r"applyInPandas", r"mapInPandas", r"\.collect\(",
+    r"toPandas", r"crossJoin", r"localCheckpoint", r"broadcast\(", r"mapPartitions",
+])
+def test_the_library_stays_declarative(word):
+    for path in PACKAGE.rglob("*.py"):
+        assert not re.search(word, path.read_text()), (path, word)
+
+
+def test_only_the_report_job_prints():
+    for path in PACKAGE.rglob("*.py"):
+        if path.name != "report_job.py":
+            assert not re.search(r"\bprint\(", path.read_text()), path

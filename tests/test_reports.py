@@ -190,10 +190,6 @@ def test_share_of_total_groups_once(small, tmp_path):
     spark = small.sparkSession
     small.write.parquet(str(tmp_path / "w"))
     shares = reports.category_distribution(spark.read.parquet(str(tmp_path / "w")))
-    rows(shares)
-    df = shares.select("*")
-    df._jdf.queryExecution().executedPlan()
     assert "Window" not in plan_text(shares)
-    shares._jdf.collectToPython()
-    final = plan_text(shares).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final or final.count("FileScan") == 1
+    shares._jdf.collectToPython()  # the adaptive plan is final once it has run
+    assert "ReusedExchange" in plan_text(shares)
