@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,3 +38,13 @@ def plus_micros(timestamp: Column, length: int, data_type: T.DataType) -> Column
             F.lit(0), F.lit(0), F.lit(0), F.lit(length / 1_000_000)
         )
     return F.timestamp_micros(F.unix_micros(timestamp) + F.lit(length))
+
+
+def instant(value: datetime | str | Column, data_type: T.DataType) -> Column:
+    """A point in time as a column of the given timestamp type.
+
+    Text and datetimes without offset are read in the session zone, like event
+    times, and not in the zone of the Python process.
+    """
+    column = value if isinstance(value, Column) else F.lit(str(value))
+    return column.cast(data_type)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from salestream import streaming
@@ -38,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sink-path", help="where log and final windows are written")
     p.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--rejects-path", help="where messages that lack a field are written")
+    p.add_argument("--rejects-checkpoint")
     p.add_argument("--available-now", action="store_true", help="stop at the present end")
     p.add_argument("--trigger-interval", help="e.g. '30 seconds'; default is back to back")
     p.add_argument("--name", default="windowed-sales")
@@ -53,21 +55,29 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         p.error("--sink-path is required unless --sink is documents")
     if args.available_now and args.trigger_interval:
         p.error("--available-now and --trigger-interval exclude each other")
+    if bool(args.rejects_path) != bool(args.rejects_checkpoint):
+        p.error("--rejects-path and --rejects-checkpoint belong together")
     return args
 
 
-def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-    messages = read_stream(
+def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    return read_stream(
         spark, args.source, dict(args.source_option), args.source_schema, args.source_path
     )
-    windows = windowed_sales(
-        parse_events(messages), args.width, args.slide, watermark=args.watermark
-    )
-    trigger = None
+
+
+def trigger_of(args: argparse.Namespace) -> dict[str, object] | None:
     if args.available_now:
-        trigger = {"availableNow": True}
-    elif args.trigger_interval:
-        trigger = {"processingTime": args.trigger_interval}
+        return {"availableNow": True}
+    if args.trigger_interval:
+        return {"processingTime": args.trigger_interval}
+    return None
+
+
+def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    events = parse_events(messages(spark, args))
+    windows = windowed_sales(events, args.width, args.slide, watermark=args.watermark)
+    trigger = trigger_of(args)
     run = {"checkpoint": args.checkpoint, "trigger": trigger, "name": args.name}
     output = {"fmt": args.sink_format, "options": dict(args.sink_option)}
     if args.sink == "documents":
@@ -79,14 +89,27 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     )
 
 
+def start_rejects(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    return streaming.start_rejects(
+        parse_events(messages(spark, args), keep_raw=True),
+        args.rejects_path,
+        args.rejects_checkpoint,
+        trigger=trigger_of(args),
+        name=f"{args.name}-rejects",
+    )
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = session("sales-stream", args, streaming.STATE_STORE_CONF)
-    query = start(spark, args)
-    if args.timeout is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(args.timeout):
-        query.stop()
+    running = [start(spark, args)]
+    if args.rejects_path:
+        running.append(start_rejects(spark, args))
+    for query in running:
+        if args.timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(args.timeout):
+            query.stop()
 
 
 if __name__ == "__main__":

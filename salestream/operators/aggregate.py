@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestream.functions import micros, plus_micros
+from salestream.functions import instant, micros, plus_micros
 
 # Window length and lateness bound of the live job.
 WINDOW = "1 minute"
@@ -83,7 +85,10 @@ def _table_windows(events: DataFrame, width: str, slide: str, counted: str) -> D
 
 
 def events_in_window(
-    events: DataFrame, category: str, window_start: Column, width: str = WINDOW
+    events: DataFrame,
+    category: str,
+    window_start: datetime | str | Column,
+    width: str = WINDOW,
 ) -> DataFrame:
     """Raw events of one category in one window.
 
@@ -91,9 +96,9 @@ def events_in_window(
     a filter on the computed window start would not.
     """
     time_type = events.schema["event_time"].dataType
-    window_end = plus_micros(window_start, micros(width), time_type)
+    start = instant(window_start, time_type)
     return events.filter(
         (F.col("category") == category)
-        & (F.col("event_time") >= window_start)
-        & (F.col("event_time") < window_end)
+        & (F.col("event_time") >= start)
+        & (F.col("event_time") < plus_micros(start, micros(width), time_type))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ def check_window(
     served: DataFrame,
     events: DataFrame,
     category: str,
-    window_start: Column,
+    window_start: datetime | str | Column,
     width: str = WINDOW,
 ) -> DataFrame:
     """:func:`diff` for one category and window; reads only that time range."""

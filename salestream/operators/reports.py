@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestream.functions import or_zero, ratio, to_cents
+from salestream.functions import instant, or_zero, ratio, to_cents
 from salestream.schema import WINDOW_COLUMNS
 
 
@@ -128,10 +128,10 @@ def count_rows(windows: DataFrame) -> DataFrame:
 
 
 def find_window(
-    windows: DataFrame, category: str, window_start: datetime | Column
+    windows: DataFrame, category: str, window_start: datetime | str | Column
 ) -> DataFrame:
     """The row of one category and one window start."""
-    start = window_start if isinstance(window_start, Column) else F.lit(window_start)
+    start = instant(window_start, windows.schema["window_start"].dataType)
     return windows.select(*WINDOW_COLUMNS).filter(
         (F.col("category") == category) & (F.col("window_start") == start)
     )

@@ -31,6 +31,9 @@ CATEGORY = "purchase"
 WINDOW_START = "2024-01-15 12:00:00"
 DRAIN = {"availableNow": True}
 
+# Stated, so that no job has to look into the files before a query is planned.
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, event_type string, value double"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -39,14 +42,14 @@ def _sales(table: DataFrame) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sales(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    path = f"{sf_dir}/events.parquet"
+    return _sales(sources.read_batch(spark, "parquet", schema=EVENTS_SCHEMA, path=path))
 
 
 def sales_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Braces make the path a pattern, which serves a single file and a folder alike.
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     path = f"{sf_dir}/{{events.parquet}}"
-    return _sales(sources.read_stream(spark, "parquet", schema=schema, path=path))
+    return _sales(sources.read_stream(spark, "parquet", schema=EVENTS_SCHEMA, path=path))
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,10 +60,6 @@ def cents(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: to_cents(F.col(c)) for c in columns or ("revenue",)})
 
 
-def _noon() -> Column:
-    return F.lit(WINDOW_START).cast("timestamp_ntz")
-
-
 # Windowed aggregation
 
 
@@ -82,7 +81,7 @@ def windowed_sales_sliding_uneven(spark, sf_dir):
 
 
 def window_from_events(spark, sf_dir):
-    one = events_in_window(sales(spark, sf_dir), CATEGORY, _noon(), HOUR)
+    one = events_in_window(sales(spark, sf_dir), CATEGORY, WINDOW_START, HOUR)
     return cents(windowed_sales(one, HOUR))
 
 
@@ -211,7 +210,7 @@ def count_rows(spark, sf_dir):
 
 
 def find_window(spark, sf_dir):
-    return cents(reports.find_window(hourly(spark, sf_dir), CATEGORY, _noon()))
+    return cents(reports.find_window(hourly(spark, sf_dir), CATEGORY, WINDOW_START))
 
 
 def serving_documents(spark, sf_dir):
@@ -324,7 +323,7 @@ def reconcile_injected(spark, sf_dir):
 def reconcile_one_window(spark, sf_dir):
     """The served row of a window, doubled, against its raw events."""
     served = hourly(spark, sf_dir).withColumn("revenue", F.col("revenue") * 2)
-    found = reconcile.check_window(served, sales(spark, sf_dir), CATEGORY, _noon(), HOUR)
+    found = reconcile.check_window(served, sales(spark, sf_dir), CATEGORY, WINDOW_START, HOUR)
     return cents(found, "served_revenue", "expected_revenue")
 
 

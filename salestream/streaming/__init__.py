@@ -5,10 +5,11 @@ from salestream.streaming.queries import (
     STATE_STORE_CONF,
     start_document_append,
     start_final_windows,
+    start_rejects,
     start_update_log,
 )
 
 __all__ = [
     "STATE_STORE_CONF", "progress_table", "start_document_append",
-    "start_final_windows", "start_update_log",
+    "start_final_windows", "start_rejects", "start_update_log",
 ]

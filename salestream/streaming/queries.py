@@ -1,10 +1,12 @@
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from salestream.operators.parse import split_valid_invalid
+from salestream.schema import SALE_COLUMNS
 from salestream.sinks.batch import ROWS_PER_FILE, append_documents, write_batch
 
 # State on local disk with incremental snapshots to the checkpoint, instead of
@@ -18,6 +20,34 @@ STATE_STORE_CONF = {
 Trigger = Mapping[str, object]
 
 
+def _start(
+    writer: DataStreamWriter, checkpoint: str, trigger: Trigger | None, name: str | None
+) -> StreamingQuery:
+    if trigger:
+        writer = writer.trigger(**trigger)
+    if name:
+        writer = writer.queryName(name)
+    return writer.option("checkpointLocation", checkpoint).start()
+
+
+def _start_append(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger | None,
+    name: str | None,
+    fmt: str,
+    options: Mapping[str, str] | None,
+) -> StreamingQuery:
+    writer = (
+        rows.writeStream.outputMode("append")
+        .format(fmt)
+        .options(**(options or {}))
+        .option("path", path)
+    )
+    return _start(writer, checkpoint, trigger, name)
+
+
 def _start_update(
     windows: DataFrame,
     write: Callable[[DataFrame, int], object],
@@ -26,11 +56,7 @@ def _start_update(
     name: str | None,
 ) -> StreamingQuery:
     writer = windows.writeStream.outputMode("update").foreachBatch(write)
-    if trigger:
-        writer = writer.trigger(**trigger)
-    if name:
-        writer = writer.queryName(name)
-    return writer.option("checkpointLocation", checkpoint).start()
+    return _start(writer, checkpoint, trigger, name)
 
 
 def start_update_log(
@@ -89,14 +115,23 @@ def start_final_windows(
     The file sink's own commit log makes this exactly-once; figures appear later
     than with :func:`start_update_log` and need no deduplication.
     """
-    writer = (
-        windows.writeStream.outputMode("append")
-        .format(fmt)
-        .options(**(options or {}))
-        .option("path", path)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    if name:
-        writer = writer.queryName(name)
-    return writer.option("checkpointLocation", checkpoint).start()
+    return _start_append(windows, path, checkpoint, trigger, name, fmt, options)
+
+
+def start_rejects(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    required: Sequence[str] = SALE_COLUMNS,
+    trigger: Trigger | None = None,
+    name: str | None = None,
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> StreamingQuery:
+    """Write events that lack a required field, with the reason, to a table.
+
+    Parse with ``keep_raw=True`` to keep the messages themselves. This is a query
+    of its own with its own checkpoint and does not hold up the aggregation.
+    """
+    _, rejected = split_valid_invalid(events, required)
+    return _start_append(rejected, path, checkpoint, trigger, name, fmt, options)

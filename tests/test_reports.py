@@ -99,9 +99,20 @@ def test_count_and_find(small):
     assert rows(reports.count_rows(small)) == [(6,)]
     found = reports.find_window(small, "Casa", at("10:31:00"))
     assert rows(found, "category", "revenue", "sales_count") == [("Casa", 10.0, 1)]
+    assert rows(reports.find_window(small, "Casa", "2024-11-25 10:31:00")) == rows(found)
     assert rows(reports.find_window(small, "Casa", F.lit(at("11:31:00")))) == []
 
 
+def test_a_window_is_looked_up_in_the_session_zone(spark, small):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        for text in ("2024-11-25 07:31:00", "2024-11-25T10:31:00Z"):
+            found = reports.find_window(small, "Casa", text)
+            assert rows(found, "revenue") == [(10.0,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize(
     "report, n",
     [

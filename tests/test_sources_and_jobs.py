@@ -149,6 +149,7 @@ def test_stream_arguments():
         [*STREAM, "--available-now", "--trigger-interval", "1 second"],
         [*STREAM, "--source-option", "novalue"],
         [*STREAM, "--sink", "elsewhere"],
+        [*STREAM, "--rejects-path", "/r"],
     ],
 )
 def test_bad_stream_arguments(argv, capsys):
@@ -178,6 +179,16 @@ def test_stream_job(spark, messages, tmp_path, sink, n_rows):
     assert spark.read.parquet(out).count() == n_rows
 
 
+def test_stream_job_rejects(spark, messages, tmp_path):
+    args = stream_job.arguments([
+        *STREAM, "--source-path", messages, "--source-schema", "value string",
+        "--rejects-path", str(tmp_path / "rejects"),
+        "--rejects-checkpoint", str(tmp_path / "ck"), "--available-now",
+    ])
+    stream_job.start_rejects(spark, args).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "rejects")), "raw") == [("not json",)]
+
+
 def test_batch_job_and_reports(spark, messages, tmp_path):
     out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
     batch_job.run(spark, batch_job.parser().parse_args([

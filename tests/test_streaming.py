@@ -196,6 +196,22 @@ def test_bad_messages_do_not_stop_the_stream(stream):
     assert rows(stream.current(), "revenue", "sales_count") == [(3.0, 2)]
 
 
+def test_rejects_go_to_their_own_table(stream, tmp_path):
+    write_file(stream.input, 0, ["not json", message("1", "a", 1, "10:00:00")])
+    write_file(stream.input, 1, ['{"id_pedido":"2"}', message("3", None, 2, "10:00:01")])
+    messages = read_stream(stream.spark, "text", None, "value string", str(stream.input))
+    out = str(tmp_path / "rejects")
+    streaming.start_rejects(
+        parse_events(messages, keep_raw=True), out, stream.checkpoint, trigger=DRAIN
+    ).awaitTermination()
+    got = rows(stream.spark.read.parquet(out), "reject_reason", "raw")
+    assert set(got) == {
+        ("category", '{"id_pedido":"2"}'), ("category", message("3", None, 2, "10:00:01")),
+        ("sale_id", "not json"),
+    }
+    assert len(got) == 3
+
+
 def test_progress(stream):
     stream.feed(*GOLDEN)
     query = stream.run_updates()
