@@ -8,6 +8,11 @@ from pyspark.sql import SparkSession
 from salestream.operators.aggregate import WINDOW
 
 
+# Files then hold statistics of the window bounds, so that looking up a window
+# skips row groups; the default INT96 form has none.
+TABLE_CONF = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+
+
 def key_value(text: str) -> tuple[str, str]:
     key, found, value = text.partition("=")
     if not found or not key:
@@ -38,7 +43,7 @@ def session(
     name: str, args: argparse.Namespace, conf: Mapping[str, str] | None = None
 ) -> SparkSession:
     builder = SparkSession.builder.appName(name)
-    settings = {"spark.sql.session.timeZone": args.time_zone, **(conf or {})}
+    settings = {"spark.sql.session.timeZone": args.time_zone, **TABLE_CONF, **(conf or {})}
     if args.shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(args.shuffle_partitions)
     for key, value in settings.items():

@@ -93,7 +93,9 @@ def events_in_window(
     """Raw events of one category in one window.
 
     The window is stated as a range of event times, which reaches the file scan;
-    a filter on the computed window start would not.
+    a filter on the computed window start would not. Parquet row groups outside
+    the range are skipped if times are stored as TIMESTAMP in microseconds (not
+    for TIMESTAMP_NTZ and INT96, which Spark reads through and filters).
     """
     time_type = events.schema["event_time"].dataType
     start = instant(window_start, time_type)

@@ -35,6 +35,7 @@ def write_batch(
         if n_rows:
             (
                 batch.coalesce(-(-n_rows // rows_per_file))
+                .sortWithinPartitions("window_start", "category")
                 .withColumn("batch_id", F.lit(batch_id).cast("long"))
                 .write.format(fmt)
                 .options(**(options or {}))

@@ -73,3 +73,21 @@ def plan_text(df) -> str:
 def rows(df, *columns):
     picked = df.select(*columns) if columns else df
     return [tuple(r) for r in picked.toLocalIterator()]
+
+
+def rows_scanned(df) -> int:
+    """Rows that left the file scans when ``df`` was run."""
+    df._jdf.collectToPython()
+
+    def walk(node):
+        name = node.nodeName()
+        if "Scan" in name:
+            return node.metrics().get("numOutputRows").get().value()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        children = node.children()
+        return sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())

@@ -4,9 +4,11 @@ import pytest
 
 from salestream import sinks, sources
 from salestream.jobs import batch_job, report_job, stream_job
-from salestream.schema import ENVELOPE_SCHEMA
+from salestream.jobs.common import TABLE_CONF
+from salestream.operators.reports import find_window
+from salestream.schema import ENVELOPE_SCHEMA, WINDOW_SCHEMA
 from salestream.workspace import new_path, shared_folder
-from tests.conftest import at, message, rows, write_file
+from tests.conftest import at, message, rows, rows_scanned, write_file
 
 
 class Recorder:
@@ -203,6 +205,29 @@ def test_batch_job_and_reports(spark, messages, tmp_path):
     assert text.count("─" * 61) == 2 + 2 + 2
 
 
+def test_looking_up_a_window_skips_the_others(spark, tmp_path):
+    folder, out = tmp_path / "many", str(tmp_path / "out")
+    folder.mkdir()
+    write_file(folder, 0, [
+        message(str(i), f"c{i % 3}", 1, f"{i // 60:02}:{i % 60:02}:00") for i in range(1440)
+    ])
+    # several files, as a table of useful size has
+    conf = {**TABLE_CONF, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        batch_job.run(spark, batch_job.parser().parse_args([
+            "--source", "text", "--source-path", str(folder), "--sink-path", out,
+        ]))
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    windows = spark.read.schema(WINDOW_SCHEMA).parquet(out)
+    found = find_window(windows, "c0", at("12:00:00"))
+    assert rows(found, "sales_count") == [(1,)]
+    assert windows.count() == 1440 and rows_scanned(found) < 500
+
+
 def test_reports_over_a_log(spark, messages, tmp_path):
     log = str(tmp_path / "log")
     args = stream_job.arguments([
