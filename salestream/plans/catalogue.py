@@ -20,6 +20,7 @@ from salestream.operators.aggregate import events_in_window, windowed_sales
 from salestream.schema import (
     SALE_COLUMNS,
     as_sales,
+    from_documents,
     in_session_time,
     to_documents,
     without_zone,
@@ -93,9 +94,9 @@ def envelope_round_trip(spark, sf_dir):
     return cents(without_zone(windowed_sales(parse.parse_events(envelope), HOUR)))
 
 
-def dirty_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_envelope(events: DataFrame) -> DataFrame:
     """Messages spoiled in a way that depends on the category."""
-    events = sales(spark, sf_dir).withColumn(
+    events = events.withColumn(
         "sale_id", F.when(F.col("category") != "view", F.col("sale_id"))
     )
     message = F.col("value").cast("string")
@@ -117,25 +118,25 @@ def dirty_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_windowed_sales(spark, sf_dir):
-    events = parse.parse_events(dirty_envelope(spark, sf_dir))
+    events = parse.parse_events(dirty_envelope(sales(spark, sf_dir)))
     return cents(without_zone(windowed_sales(events, HOUR)))
 
 
 def dirty_revenue_by_category(spark, sf_dir):
     """Windows without a counted sale or without revenue in a report."""
-    events = parse.parse_events(dirty_envelope(spark, sf_dir))
+    events = parse.parse_events(dirty_envelope(sales(spark, sf_dir)))
     return reports.revenue_by_category(windowed_sales(events, HOUR))
 
 
 def event_quality(spark, sf_dir):
     """Messages by their first missing field, in one pass."""
-    events = parse.parse_events(dirty_envelope(spark, sf_dir))
+    events = parse.parse_events(dirty_envelope(sales(spark, sf_dir)))
     verdict = F.coalesce(parse.missing_field(), F.lit("valid")).alias("verdict")
     return events.groupBy(verdict).agg(F.count(F.lit(1)).alias("n_events"))
 
 
 def split_rejects(spark, sf_dir):
-    events = parse.parse_events(dirty_envelope(spark, sf_dir), keep_raw=True)
+    events = parse.parse_events(dirty_envelope(sales(spark, sf_dir)), keep_raw=True)
     _, rejected = parse.split_valid_invalid(events, SALE_COLUMNS)
     return rejected.groupBy("reject_reason").agg(
         F.count(F.lit(1)).alias("n_events"),
@@ -284,6 +285,16 @@ def replayed_batch(spark, sf_dir):
     return cents(without_zone(serving.read_log(spark, path)))
 
 
+def appended_documents(spark, sf_dir):
+    """The same batch appended twice to a document store, which keeps both copies."""
+    path = new_path(spark, "documents")
+    batch = in_session_time(hourly(spark, sf_dir))
+    for _ in range(2):
+        sinks.append_documents(batch, 7, "parquet", {"path": path})
+    documents = spark.read.schema(to_documents(batch).schema).parquet(path)
+    return cents(without_zone(from_documents(documents)))
+
+
 def truncated_log(spark, sf_dir):
     """Row counts of a log before and after it is emptied."""
     path = new_path(spark, "truncated-log")
@@ -330,10 +341,12 @@ def reconcile_one_window(spark, sf_dir):
 # Streams; each one runs until it has read the table and then returns its result
 
 
-def _drain_to_log(spark: SparkSession, events: DataFrame, name: str) -> tuple[str, StreamingQuery]:
+def _drain_to_log(
+    spark: SparkSession, events: DataFrame, name: str, slide: str | None = None
+) -> tuple[str, StreamingQuery]:
     path = new_path(spark, name)
     query = streaming.start_update_log(
-        windowed_sales(events, HOUR), f"{path}/log", f"{path}/checkpoint", DRAIN
+        windowed_sales(events, HOUR, slide), f"{path}/log", f"{path}/checkpoint", DRAIN
     )
     query.awaitTermination()
     return f"{path}/log", query
@@ -344,6 +357,12 @@ def stream_update_latest(spark, sf_dir):
     return cents(without_zone(serving.latest(serving.read_log(spark, log))))
 
 
+def stream_sliding_latest(spark, sf_dir):
+    events = sales_stream(spark, sf_dir)
+    log, _ = _drain_to_log(spark, events, "sliding-log", "30 minutes")
+    return cents(without_zone(serving.latest(serving.read_log(spark, log))))
+
+
 def stream_envelope_latest(spark, sf_dir):
     """The live job from JSON messages to the current table."""
     messages = sinks.to_envelope(sales_stream(spark, sf_dir))
@@ -361,6 +380,16 @@ def stream_final_windows(spark, sf_dir):
     return cents(without_zone(final))
 
 
+def stream_rejects(spark, sf_dir):
+    path = new_path(spark, "rejects")
+    events = parse.parse_events(dirty_envelope(sales_stream(spark, sf_dir)))
+    streaming.start_rejects(
+        events, f"{path}/rejects", f"{path}/checkpoint", trigger=DRAIN
+    ).awaitTermination()
+    rejected = spark.read.schema("reject_reason string").parquet(f"{path}/rejects")
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 def stream_progress(spark, sf_dir):
     _, query = _drain_to_log(spark, sales_stream(spark, sf_dir), "progress-log")
     return streaming.progress_table(spark, query).agg(
@@ -405,12 +434,15 @@ QUERIES: dict[str, Query] = {
         emission_log_latest,
         emission_log_as_appended,
         replayed_batch,
+        appended_documents,
         truncated_log,
         reconcile_injected,
         reconcile_one_window,
         stream_update_latest,
+        stream_sliding_latest,
         stream_envelope_latest,
         stream_final_windows,
+        stream_rejects,
         stream_progress,
     )
 }

@@ -156,16 +156,19 @@ def _digits(column: str) -> str:
     return f"CAST({column} AS VARCHAR)"
 
 
+# An hour from every full hour, and one from every half hour.
+_SLIDING = " UNION ALL ".join([
+    _HOURLY,
+    _HOURLY.replace(
+        "time_bucket(INTERVAL '1 hour', ts)",
+        "time_bucket(INTERVAL '1 hour', ts, INTERVAL '30 minutes')",
+    ),
+])
+
 ORACLE_SQL: dict[str, str] = {
     "windowed_sales_1m": _windows("1 minute", "round_even(sum(value), 2)"),
     "windowed_sales_1h": _HOURLY,
-    "windowed_sales_sliding": " UNION ALL ".join([
-        _HOURLY,
-        _HOURLY.replace(
-            "time_bucket(INTERVAL '1 hour', ts)",
-            "time_bucket(INTERVAL '1 hour', ts, INTERVAL '30 minutes')",
-        ),
-    ]),
+    "windowed_sales_sliding": _SLIDING,
     "windowed_sales_sliding_uneven": _UNEVEN,
     "window_from_events": f"""{_W}
         SELECT window_start, window_end, category, {_CENTS}, sales_count FROM w
@@ -250,6 +253,7 @@ ORACLE_SQL: dict[str, str] = {
     "emission_log_as_appended": _LOG + _BY_CATEGORY,
     "replayed_batch": f"""
         SELECT *, CAST(7 AS BIGINT) AS batch_id FROM ({_HOURLY})""",
+    "appended_documents": f"{_HOURLY} UNION ALL {_HOURLY}",
     "truncated_log": f"""{_W}
         SELECT count(*) AS n_before, CAST(0 AS BIGINT) AS n_after FROM w""",
     "reconcile_injected": _DIFF,
@@ -259,9 +263,15 @@ ORACLE_SQL: dict[str, str] = {
                sales_count AS expected_count, 'different' AS status
         FROM w WHERE category = 'purchase' AND window_start = {_NOON}""",
     "stream_update_latest": _HOURLY,
+    "stream_sliding_latest": _SLIDING,
     "stream_envelope_latest": _HOURLY,
     "stream_final_windows": f"""SELECT * FROM ({_HOURLY})
         WHERE window_end <= (SELECT max(ts) - INTERVAL '2 minutes' FROM events)""",
+    "stream_rejects": """
+        SELECT CASE event_type WHEN 'error' THEN 'sale_id' WHEN 'view' THEN 'sale_id'
+                 WHEN 'signup' THEN 'event_time' ELSE 'amount' END AS reject_reason,
+               count(*) AS n_events
+        FROM events WHERE event_type <> 'click' GROUP BY 1""",
     "stream_progress": f"""{_W}
         SELECT (SELECT count(*) FROM events) AS input_rows,
                count(*) AS windows_updated, CAST(0 AS BIGINT) AS late_rows
