@@ -20,6 +20,7 @@ def windowed_sales(
     slide: str | None = None,
     watermark: str = WATERMARK,
     counted: str = "sale_id",
+    panes: bool = True,
 ) -> DataFrame:
     """Sum of ``amount`` and number of non-NULL ``sale_id`` per (window, category).
 
@@ -28,11 +29,13 @@ def windowed_sales(
     dropped. ``watermark`` bounds lateness on a stream and has no effect on a table.
     Where every event is known to have an id, ``counted="event_time"`` gives the
     same counts and spares reading the ids, often the widest column of a table.
+    ``panes=False`` expands the events of a table instead of pre-summing them for
+    overlapping windows; worthwhile only if most windows hold a single event.
     Returns window_start, window_end, category, revenue, sales_count.
     """
     if events.isStreaming:
         return _stream_windows(events, width, slide or width, watermark, counted)
-    return _table_windows(events, width, slide or width, counted)
+    return _table_windows(events, width, slide or width, counted, panes)
 
 
 def _totals(events: DataFrame, counted: str, *keys: Column | str) -> DataFrame:
@@ -58,17 +61,19 @@ def _stream_windows(
     )
 
 
-def _table_windows(events: DataFrame, width: str, slide: str, counted: str) -> DataFrame:
+def _table_windows(
+    events: DataFrame, width: str, slide: str, counted: str, panes: bool
+) -> DataFrame:
     # Only the start is a grouping key: one fixed-width value hashes and shuffles
     # faster than the struct, and the end follows from it.
     length, step = micros(width), micros(slide)
-    if step < length and length % step == 0:
+    if panes and step < length and length % step == 0:
         # Windows that overlap are unions of whole slide-long panes. Aggregating
         # the panes first means each event is touched once, and only the few pane
         # rows are copied into the length/step windows they belong to.
         pane = F.window("event_time", slide)["start"].alias("pane")
-        panes = _totals(events, counted, pane, "category")
-        windows = panes.groupBy(
+        summed = _totals(events, counted, pane, "category")
+        windows = summed.groupBy(
             F.window("pane", width, slide)["start"].alias("window_start"), "category"
         ).agg(F.sum("revenue").alias("revenue"), F.sum("sales_count").alias("sales_count"))
     else:

@@ -82,6 +82,11 @@ def test_against_brute_force(sample, width, slide, seconds, zone):
     assert all(e - s == length for s, e in rows(got, "window_start", "window_end"))
 
 
+def test_without_panes(sample):
+    got = windowed_sales(sample, "10 minutes", "1 minute", panes=False)
+    assert as_dict(got) == brute_force(SAMPLE, 600, 60)
+
+
 def test_bounds_are_start_inclusive_end_exclusive(sample):
     got = as_dict(windowed_sales(sample))
     assert got[at("10:30:00"), "Casa"] == (15.5, 2)
