@@ -1,6 +1,6 @@
 """Batch layer: the same messages, read as a bounded table, to windowed sales.
 
-    spark-submit salestream/jobs/batch_job.py --source text --source-path PATH \\
+    PYTHONPATH=. spark-submit salestream/jobs/batch_job.py --source text --source-path PATH \\
         --sink-path PATH --rejects-path PATH
 """
 

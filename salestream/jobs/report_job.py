@@ -1,6 +1,6 @@
 """Print the six reports over an emission log or a table of windowed sales.
 
-    spark-submit salestream/jobs/report_job.py --log-path PATH
+    PYTHONPATH=. spark-submit salestream/jobs/report_job.py --log-path PATH
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Live job: messages -> windowed sales -> emission log, final windows or documents.
 
-    spark-submit salestream/jobs/stream_job.py --source kafka \\
+    PYTHONPATH=. spark-submit salestream/jobs/stream_job.py --source kafka \\
         --source-option kafka.bootstrap.servers=HOST:PORT --source-option subscribe=TOPIC \\
         --sink log --sink-path PATH --checkpoint PATH
 """

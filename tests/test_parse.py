@@ -3,12 +3,14 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from salestream import sinks
 from salestream.operators.aggregate import windowed_sales
 from salestream.operators.parse import decode, missing_field, parse_events, split_valid_invalid
-from salestream.schema import SALE_COLUMNS
+from salestream.schema import SALE_COLUMNS, wire_schema
 from tests.conftest import SALES, at, plan_text, rows
 
 DIRTY = [
@@ -109,6 +111,44 @@ def test_messages_are_parsed_once(envelope, tmp_path):
     assert executed.count("from_json") == 1
 
 
+ODD = [
+    '{"id_pedido":"a","categoria":"Casa","valor":10.5,"timest',
+    '[{"id_pedido":"a","valor":1},{"id_pedido":"b"}]',
+    '{"id_pedido":{"deep":1},"categoria":["x"],"valor":true,"timestamp":20241125}',
+    '{"id_pedido":"a","id_pedido":"b"}',
+    '{"valor":NaN,"categoria":"x"}',
+    '{"valor":1e400}',
+    "{}", "[]", "null", "17", '"text"', "{'id_pedido':'single'}",
+    '{"ID_PEDIDO":"case","Categoria":"x"}',
+]
+
+
+def test_odd_messages_parse_as_a_plain_projection_would(spark):
+    df = spark.createDataFrame([(t,) for t in ODD], "value string")
+    plain = df.select(F.from_json("value", wire_schema()).alias("data")).select("data.*")
+    got = parse_events(df).drop("event_time")
+    assert list(map(str, rows(got))) == list(map(str, rows(plain.drop("timestamp"))))
+
+
+@settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.text(max_size=8)),
+        st.one_of(st.none(), st.text(max_size=8)),
+        st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False)),
+        st.one_of(st.none(), st.datetimes(datetime(1900, 1, 1), datetime(2200, 1, 1))),
+    ),
+    min_size=1, max_size=10,
+))
+def test_any_sale_survives_the_round_trip(spark, sales):
+    sales = [tuple(v.encode("utf-8", "replace").decode() if isinstance(v, str) else v for v in r)
+             for r in sales]
+    df = spark.createDataFrame(sales, SALES)
+    assert rows(parse_events(sinks.to_envelope(df))) == rows(df)
+
+
 def test_encode_matches_the_wire_form(spark):
     df = spark.createDataFrame(
         [

@@ -47,6 +47,16 @@ def test_latest_combines_before_its_one_shuffle(log):
     assert "partial_max_by" in plan and "SortAggregate" not in plan
 
 
+def test_looking_up_a_current_window_filters_the_log_at_the_scan(spark, log, tmp_path):
+    log.write.parquet(str(tmp_path / "log"))
+    stored = spark.read.schema(LOG_SCHEMA).parquet(str(tmp_path / "log"))
+    found = reports.find_window(serving.latest(stored), "Casa", at("10:30:00"))
+    assert rows(found, "revenue") == [(130.0,)]
+    plan = plan_text(found)
+    assert "EqualTo(window_start,2024-11-25 10:30:00.0)" in plan
+    assert "EqualTo(category,Casa)" in plan
+
+
 def test_summing_the_raw_log_counts_emissions(log):
     assert rows(reports.category_totals(log).filter("category = 'Casa'")) == [("Casa", 170.0)]
     current = serving.latest(log)
