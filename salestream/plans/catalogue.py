@@ -342,32 +342,56 @@ def reconcile_one_window(spark, sf_dir):
 
 
 def _drain_to_log(
-    spark: SparkSession, events: DataFrame, name: str, slide: str | None = None
-) -> tuple[str, StreamingQuery]:
-    path = new_path(spark, name)
+    events: DataFrame, path: str, width: str = HOUR, slide: str | None = None
+) -> StreamingQuery:
     query = streaming.start_update_log(
-        windowed_sales(events, HOUR, slide), f"{path}/log", f"{path}/checkpoint", DRAIN
+        windowed_sales(events, width, slide), f"{path}/log", f"{path}/checkpoint", DRAIN
     )
     query.awaitTermination()
-    return f"{path}/log", query
+    return query
+
+
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    return cents(without_zone(serving.latest(serving.read_log(spark, f"{path}/log"))))
 
 
 def stream_update_latest(spark, sf_dir):
-    log, _ = _drain_to_log(spark, sales_stream(spark, sf_dir), "update-log")
-    return cents(without_zone(serving.latest(serving.read_log(spark, log))))
+    path = new_path(spark, "update-log")
+    _drain_to_log(sales_stream(spark, sf_dir), path)
+    return _current(spark, path)
 
 
 def stream_sliding_latest(spark, sf_dir):
-    events = sales_stream(spark, sf_dir)
-    log, _ = _drain_to_log(spark, events, "sliding-log", "30 minutes")
-    return cents(without_zone(serving.latest(serving.read_log(spark, log))))
+    path = new_path(spark, "sliding-log")
+    _drain_to_log(sales_stream(spark, sf_dir), path, slide="30 minutes")
+    return _current(spark, path)
 
 
 def stream_envelope_latest(spark, sf_dir):
     """The live job from JSON messages to the current table."""
+    path = new_path(spark, "message-log")
     messages = sinks.to_envelope(sales_stream(spark, sf_dir))
-    log, _ = _drain_to_log(spark, parse.parse_events(messages), "message-log")
-    return cents(without_zone(serving.latest(serving.read_log(spark, log))))
+    _drain_to_log(parse.parse_events(messages), path)
+    return _current(spark, path)
+
+
+def stream_late_rows(spark, sf_dir):
+    """Hourly totals fed to a stream of daily windows, the first half of the month last.
+
+    The stream is stopped in between and goes on from its checkpoint; by then all
+    days before the middle are closed, so what comes for them is dropped.
+    """
+    path = new_path(spark, "late-log")
+    hours = in_session_time(hourly(spark, sf_dir))
+    feed = as_sales(hours, "category", "category", "revenue", "window_start")
+    in_time = F.col("event_time") >= F.lit("2024-01-15")
+    for part in (feed.filter(in_time), feed.filter(~in_time)):
+        part.write.mode("append").parquet(f"{path}/feed")
+        source = sources.read_stream(
+            spark, "parquet", schema=feed.schema, path=f"{path}/feed"
+        )
+        _drain_to_log(source, path, "1 day")
+    return _current(spark, path)
 
 
 def stream_final_windows(spark, sf_dir):
@@ -391,7 +415,7 @@ def stream_rejects(spark, sf_dir):
 
 
 def stream_progress(spark, sf_dir):
-    _, query = _drain_to_log(spark, sales_stream(spark, sf_dir), "progress-log")
+    query = _drain_to_log(sales_stream(spark, sf_dir), new_path(spark, "progress-log"))
     return streaming.progress_table(spark, query).agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("state_rows_updated").alias("windows_updated"),
@@ -441,6 +465,7 @@ QUERIES: dict[str, Query] = {
         stream_update_latest,
         stream_sliding_latest,
         stream_envelope_latest,
+        stream_late_rows,
         stream_final_windows,
         stream_rejects,
         stream_progress,

@@ -265,6 +265,11 @@ ORACLE_SQL: dict[str, str] = {
     "stream_update_latest": _HOURLY,
     "stream_sliding_latest": _SLIDING,
     "stream_envelope_latest": _HOURLY,
+    "stream_late_rows": f"""{_W}
+        SELECT date_trunc('day', window_start) AS window_start,
+               date_trunc('day', window_start) + INTERVAL '1 day' AS window_end, category,
+               round_even(sum(revenue), 2) AS revenue, count(*) AS sales_count
+        FROM w WHERE window_start >= TIMESTAMP '2024-01-15' GROUP BY 1, 2, 3""",
     "stream_final_windows": f"""SELECT * FROM ({_HOURLY})
         WHERE window_end <= (SELECT max(ts) - INTERVAL '2 minutes' FROM events)""",
     "stream_rejects": """
