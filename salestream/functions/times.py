@@ -20,8 +20,11 @@ _UNIT_MICROS = {
 
 def micros(duration: str) -> int:
     """Length of a window duration such as ``"1 minute"`` or ``"1 hour 30 minutes"``."""
-    parts = re.findall(r"(\d+)\s*([a-z]+?)s?(?=\s|$)", duration.lower())
-    if not parts or any(unit not in _UNIT_MICROS for _, unit in parts):
+    part = r"(\d+)\s*([a-z]+?)s?"
+    if not re.fullmatch(rf"\s*(?:interval\s+)?(?:{part}(?:\s+|$))+", duration.lower()):
+        raise ValueError(f"not a window duration: {duration!r}")
+    parts = re.findall(rf"{part}(?:\s+|$)", duration.lower())
+    if any(unit not in _UNIT_MICROS for _, unit in parts):
         raise ValueError(f"not a window duration: {duration!r}")
     return sum(int(n) * _UNIT_MICROS[unit] for n, unit in parts)
 

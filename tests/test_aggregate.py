@@ -102,7 +102,10 @@ def test_bounds_are_start_inclusive_end_exclusive(sample):
             st.one_of(st.none(), st.text("ab", max_size=2)),
             st.sampled_from(["x", "y", None]),
             st.one_of(st.none(), st.integers(0, 10_000).map(lambda n: n / 100)),
-            st.one_of(st.none(), st.integers(0, 7200).map(lambda s: at("09:00:00") + timedelta(seconds=s))),
+            st.one_of(
+                st.none(),
+                st.integers(0, 7200).map(lambda s: at("09:00:00") + timedelta(seconds=s)),
+            ),
         ),
         max_size=30,
     ),
@@ -145,7 +148,21 @@ def test_events_in_window_is_the_window(sample):
     assert sorted(rows(one, "sale_id")) == [("1",), ("2",)]
 
 
-@pytest.mark.parametrize("bad", ["", "1 month", "soon", "minute"])
+@pytest.mark.parametrize(
+    "text, length",
+    [
+        ("1 minute", 60_000_000), ("interval 2 hours", 7_200_000_000), ("90 seconds ", 90_000_000),
+        ("1 hour 30 minutes", 5_400_000_000), ("2 weeks", 1_209_600_000_000),
+        ("250 milliseconds", 250_000), ("1 Day", 86_400_000_000),
+    ],
+)
+def test_durations(text, length):
+    assert micros(text) == length
+
+
+@pytest.mark.parametrize(
+    "bad", ["", "1 month", "soon", "minute", "1.5 hours", "1 hour and more", "-1 hour"]
+)
 def test_durations_that_are_none(bad):
     with pytest.raises(ValueError):
         micros(bad)

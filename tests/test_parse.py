@@ -160,7 +160,8 @@ def test_encode_matches_the_wire_form(spark):
     )
     texts = [r[0].decode() for r in rows(sinks.to_envelope(df))]
     assert texts == [
-        '{"id_pedido":"a","categoria":"Casa","valor":10.5,"timestamp":"2024-11-25T10:30:00.120000"}',
+        '{"id_pedido":"a","categoria":"Casa","valor":10.5,'
+        '"timestamp":"2024-11-25T10:30:00.120000"}',
         '{"id_pedido":"b","categoria":"Casa","valor":10.0,"timestamp":"2024-11-25T10:30:00"}',
         '{"id_pedido":null,"categoria":null,"valor":null,"timestamp":null}',
     ]

@@ -39,6 +39,12 @@ def test_order_of_summation_is_no_difference(events):
     assert rows(diff(served, events)) == []
 
 
+def test_served_with_zone_against_events_without(events):
+    naive = events.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    assert rows(diff(windowed_sales(events), naive)) == []
+    assert statuses(diff(windowed_sales(events).limit(0), naive))[0] == ("Casa", "missing")
+
+
 def test_each_kind_of_fault(events):
     good = windowed_sales(events)
     casa, null = F.col("category") == "Casa", F.col("category").isNull()

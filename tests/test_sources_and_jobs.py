@@ -8,7 +8,7 @@ from salestream.jobs.common import TABLE_CONF
 from salestream.operators.reports import find_window
 from salestream.schema import ENVELOPE_SCHEMA, WINDOW_SCHEMA
 from salestream.workspace import new_path, shared_folder
-from tests.conftest import at, message, rows, rows_scanned, write_file
+from tests.conftest import SALES, at, message, rows, rows_scanned, write_file
 
 
 class Recorder:
@@ -68,8 +68,7 @@ def test_publish_settings():
 
 
 def test_publish_table_and_stream_through_files(spark, tmp_path):
-    sales = spark.createDataFrame([("1", "a", 1.5, at("10:00:00"))],
-                                  "sale_id string, category string, amount double, event_time timestamp")
+    sales = spark.createDataFrame([("1", "a", 1.5, at("10:00:00"))], SALES)
     messages = sinks.to_envelope(sales)
     assert sinks.publish(messages, "parquet", {"path": str(tmp_path / "topic")}) is None
     stream = sources.read_stream(
@@ -164,7 +163,9 @@ def messages(tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     write_file(folder, 0, [message("1", "Casa", 10, "10:00:01"), "not json"])
-    write_file(folder, 1, [message("2", "Casa", 5, "10:00:02"), message("3", "Gamer", 5, "10:05:00")])
+    write_file(
+        folder, 1, [message("2", "Casa", 5, "10:00:02"), message("3", "Gamer", 5, "10:05:00")]
+    )
     return str(folder)
 
 
