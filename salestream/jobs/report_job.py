@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salestream.jobs.common import add_session_arguments, session
 from salestream.operators import serving, text_report
-from salestream.schema import WINDOW_SCHEMA
 
 # Headings of the printed reports.
 HEADINGS = (
@@ -42,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
 
 def current_windows(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.windows_path:
-        return spark.read.format(args.format).schema(WINDOW_SCHEMA).load(args.windows_path)
+        return serving.read_windows(spark, args.windows_path, args.format)
     log = serving.read_log(spark, args.log_path, args.format)
     return log if args.every_emission else serving.latest(log)
 

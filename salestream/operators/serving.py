@@ -7,16 +7,35 @@ window and category, which is the upsert a plain append cannot give.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from salestream.schema import LOG_SCHEMA
+from salestream.schema import LOG_SCHEMA, WINDOW_SCHEMA
+
+
+def _stored(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
+    try:
+        return spark.read.format(fmt).schema(schema).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """All emissions. The schema is given, since inference would read the
-    partition value ``batch_id`` as an int and fail on an empty log."""
-    return spark.read.format(fmt).schema(LOG_SCHEMA).load(path)
+    """All emissions; none before the first batch has been written.
+
+    The schema is given, since inference would read the partition value
+    ``batch_id`` as an int and fail on an empty log.
+    """
+    return _stored(spark, path, fmt, LOG_SCHEMA)
+
+
+def read_windows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Final windows of a stream, or the output of a batch run."""
+    return _stored(spark, path, fmt, WINDOW_SCHEMA)
 
 
 def latest(log: DataFrame, version: str = "batch_id") -> DataFrame:

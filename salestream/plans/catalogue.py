@@ -400,8 +400,7 @@ def stream_final_windows(spark, sf_dir):
     streaming.start_final_windows(
         windows, f"{path}/windows", f"{path}/checkpoint", DRAIN
     ).awaitTermination()
-    final = spark.read.schema(windows.schema).parquet(f"{path}/windows")
-    return cents(without_zone(final))
+    return cents(without_zone(serving.read_windows(spark, f"{path}/windows")))
 
 
 def stream_rejects(spark, sf_dir):

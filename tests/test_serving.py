@@ -138,6 +138,17 @@ def test_truncate(spark, windows_of, tmp_path):
     assert rows(serving.read_log(spark, path), "category") == [("b",)]
 
 
+def test_nothing_written_yet(spark, tmp_path):
+    missing = str(tmp_path / "missing")
+    assert rows(serving.latest(serving.read_log(spark, missing))) == []
+    assert rows(reports.general_stats(serving.read_windows(spark, missing))) == []
+
+
+def test_another_read_error_is_not_hidden(spark, tmp_path):
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        serving.read_log(spark, str(tmp_path), "nosuchformat")
+
+
 def test_truncate_has_no_default_target(spark):
     with pytest.raises(ValueError):
         serving.truncate(spark, "")
