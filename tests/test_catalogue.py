@@ -9,9 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from salestream.plans import QUERIES
 from tests.conftest import SF_DIR, plan_text
 
 PACKAGE = pathlib.Path(__file__).parent.parent / "salestream"
+#: The package of training-data operators has rules and tests of its own.
+SOURCES = [path for path in PACKAGE.rglob("*.py") if path.relative_to(PACKAGE).parts[0] != "llm"]
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +34,7 @@ def canonical(table):
     return names, sorted(picked, key=repr)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_as_sql(spark, sql, name):
     got = contract.queries()[name](spark, SF_DIR).toArrow()
     want = sql.sql(contract.oracle_sql()[name]).to_arrow_table()
@@ -66,11 +69,11 @@ def test_the_running_log_needs_no_shuffle_for_its_latest_rows(spark):
     r"toPandas", r"crossJoin", r"localCheckpoint", r"broadcast\(", r"mapPartitions",
 ])
 def test_the_library_stays_declarative(word):
-    for path in PACKAGE.rglob("*.py"):
+    for path in SOURCES:
         assert not re.search(word, path.read_text()), (path, word)
 
 
 def test_only_the_report_job_prints():
-    for path in PACKAGE.rglob("*.py"):
+    for path in SOURCES:
         if path.name != "report_job.py":
             assert not re.search(r"\bprint\(", path.read_text()), path
