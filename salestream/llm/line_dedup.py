@@ -99,12 +99,12 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeats = stored(
         lines.join(runs.keys(), "key").where(F.col("id") != F.col("holder")).select("id", "text_key", "n", "key"),
         "repeated-lines")
-    gone = (
+    gone = stored(  # stored, so that the join below has plain shuffles on both sides, which Spark can split
         repeats.select("key", "id").distinct()
         .groupBy("key").agg(F.count("*").alias("docs"))
-        .where(F.col("docs") >= least_docs - 1)
-    )
-    out = stored(repeats.join(gone.select("key"), "key", "left_semi").drop("key"), "dropped-lines")
+        .where(F.col("docs") >= least_docs - 1).select("key"),
+        "gone-keys")
+    out = stored(repeats.join(gone, "key", "left_semi").drop("key"), "dropped-lines")
     runs.drop()
     return out
 
