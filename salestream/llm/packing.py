@@ -77,7 +77,11 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if _PLAIN.fullmatch(text):
+        if text.isascii() and text.isalpha():
+            ids = self.parts[text.lower()]
+        elif text[-1] in ".,;:!?" and text.isascii() and text[:-1].isalpha():
+            ids = self.parts[text[:-1].lower()] + self.parts[text[-1]]
+        elif _PLAIN.fullmatch(text):
             ids = b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
         else:
             ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
