@@ -1,15 +1,18 @@
 """Operators for training-data pipelines. Nothing else in the library imports this package."""
 
-from salestream.llm import exact_dedup, line_dedup, packing, simhash
+from salestream.llm import exact_dedup, line_dedup, packing, simhash, url_filter, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash": simhash.op7_simhash,
     "op8_packing": packing.op8_packing,
+    "op9_warc": warc.op9_warc,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op9_warc": warc.SQL,
 }
