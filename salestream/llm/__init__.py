@@ -1,9 +1,10 @@
 """Operators for training-data pipelines. Nothing else in the library imports this package."""
 
-from salestream.llm import exact_dedup, line_dedup, packing, simhash, toxicity, url_filter, warc
+from salestream.llm import exact_dedup, line_dedup, packing, simhash, topk_search, toxicity, url_filter, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_topk_search": topk_search.op3_topk_search,
     "op4_toxicity": toxicity.op4_toxicity,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash": simhash.op7_simhash,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op3_topk_search": topk_search.SQL,
     "op6_line_dedup": line_dedup.SQL,
     "op9_warc": warc.SQL,
 }
