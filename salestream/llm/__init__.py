@@ -1,11 +1,24 @@
 """Operators for training-data pipelines. Nothing else in the library imports this package."""
 
-from salestream.llm import exact_dedup, line_dedup, packing, simhash, topk_search, toxicity, url_filter, warc
+from salestream.llm import (
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    simhash,
+    topk_search,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_topk_search": topk_search.op3_topk_search,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_license_scan": license_scan.op5_license_scan,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_simhash": simhash.op7_simhash,
     "op8_packing": packing.op8_packing,
@@ -14,6 +27,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_mixing": mixing.SQL,
     "op2_exact_dedup": exact_dedup.SQL,
     "op3_topk_search": topk_search.SQL,
     "op6_line_dedup": line_dedup.SQL,
