@@ -28,7 +28,11 @@ def add_source_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--source-path", help="folder of a file source")
     parser.add_argument("--source-schema", help="DDL schema of a file source with a column value")
     parser.add_argument("--width", default=WINDOW)
-    parser.add_argument("--slide", help="defaults to the width: windows do not overlap")
+    parser.add_argument(
+        "--slide",
+        help="defaults to the width: windows do not overlap. A stream copies each event to all "
+             "windows that hold it; for many, stream panes and derive the windows on reading",
+    )
 
 
 def add_session_arguments(parser: argparse.ArgumentParser) -> None:

@@ -1,6 +1,9 @@
-"""Print the six reports over an emission log or a table of windowed sales.
+"""The six reports over an emission log or a table of windowed sales.
 
     PYTHONPATH=. spark-submit salestream/jobs/report_job.py --log-path PATH
+
+With ``--output-path`` Spark writes all six as text. The driver prints the bounded ones, and of
+the two that have a line for every category the first ``--lines``.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
         "--every-emission", action="store_true",
         help="count each emission of the log, as an append-only store does",
     )
+    p.add_argument("--output-path", help="folder for the whole reports, as text")
+    p.add_argument("--lines", type=int, default=1000, help="lines printed of a report at most")
     add_session_arguments(p)
     return p
 
@@ -46,24 +51,34 @@ def current_windows(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return log if args.every_emission else serving.latest(log)
 
 
-def lines(windows: DataFrame) -> Iterator[str]:
-    """Report by report; rows are fetched a partition at a time."""
-    windows = windows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for heading, report in HEADINGS:
-            yield heading
-            for row in report(windows).toLocalIterator():
-                yield row["line"]
-            yield ""
-    finally:
-        windows.unpersist()
+def write(windows: DataFrame, path: str) -> None:
+    """Each report as text files in a folder of its own."""
+    for number, (_, report) in enumerate(HEADINGS, 1):
+        report(windows).select("line").write.mode("overwrite").text(f"{path}/report={number}")
+
+
+def lines(windows: DataFrame, most: int) -> Iterator[str]:
+    """Report by report, ``most`` lines of each; a last line says if there are more."""
+    for heading, report in HEADINGS:
+        yield heading
+        found = report(windows).take(most + 1)
+        yield from (row["line"] for row in found[:most])
+        if len(found) > most:
+            yield f"... (only the first {most} lines; --output-path writes all)"
+        yield ""
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = session("sales-reports", args)
-    for line in lines(current_windows(spark, args)):
-        print(line)
+    windows = current_windows(spark, args).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if args.output_path:
+            write(windows, args.output_path)
+        for line in lines(windows, args.lines):
+            print(line)
+    finally:
+        windows.unpersist()
 
 
 if __name__ == "__main__":

@@ -38,6 +38,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sink-path", help="where log and final windows are written")
     p.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument(
+        "--ignore-data-loss", action="store_true",
+        help="go on when the broker has dropped offsets that were not yet read",
+    )
     p.add_argument("--rejects-path", help="where messages that lack a field are written")
     p.add_argument("--rejects-checkpoint")
     p.add_argument("--available-now", action="store_true", help="stop at the present end")
@@ -57,13 +61,22 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         p.error("--available-now and --trigger-interval exclude each other")
     if bool(args.rejects_path) != bool(args.rejects_checkpoint):
         p.error("--rejects-path and --rejects-checkpoint belong together")
+    starts = dict(args.source_option)
+    if args.rejects_path and args.source == "kafka" and not (
+        starts.keys() & {"startingTimestamp", "startingOffsetsByTimestamp"}
+        or starts.get("startingOffsets", "latest") != "latest"
+    ):
+        p.error(
+            "rejects are a query of their own; state a fixed startingOffsets or startingTimestamp, "
+            "so that both cover the same messages")
     return args
 
 
 def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    return read_stream(
-        spark, args.source, dict(args.source_option), args.source_schema, args.source_path
-    )
+    options = dict(args.source_option)
+    if args.ignore_data_loss:
+        options.setdefault("failOnDataLoss", "false")
+    return read_stream(spark, args.source, options, args.source_schema, args.source_path)
 
 
 def trigger_of(args: argparse.Namespace) -> dict[str, object] | None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salestream.functions import instant, micros, plus_micros
 
@@ -24,8 +26,12 @@ def windowed_sales(
 ) -> DataFrame:
     """Sum of ``amount`` and number of non-NULL ``sale_id`` per (window, category).
 
-    Windows are ``[start, end)``, aligned to the epoch, and overlap when ``slide``
-    is shorter than ``width``. Events without a time belong to no window and are
+    Windows are ``[start, end)`` and overlap when ``slide`` is shorter than ``width``.
+    They are aligned to the epoch; for times without a zone, to 1970-01-01 00:00 on the
+    wall clock, on a table and on a stream alike (a stream returns the bounds as
+    TIMESTAMP of the session zone). A stream with overlapping windows copies each event
+    to all of them; log its panes instead and use :func:`sliding_windows` on reading.
+    Events without a time belong to no window and are
     dropped. ``watermark`` bounds lateness on a stream and has no effect on a table.
     Where every event is known to have an id, ``counted="event_time"`` gives the
     same counts and spares reading the ids, often the widest column of a table.
@@ -48,13 +54,19 @@ def _stream_windows(
     events: DataFrame, width: str, slide: str, watermark: str, counted: str
 ) -> DataFrame:
     # The whole window struct is the key: it carries the watermark that lets
-    # Spark drop finished windows from the state. A watermark needs a TIMESTAMP.
-    timed = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    # Spark drop finished windows from the state. A watermark needs a TIMESTAMP: a
+    # wall-clock time is taken as if it were UTC while windows are found.
+    time, start, end = F.col("event_time"), F.col("window.start"), F.col("window.end")
+    if isinstance(events.schema["event_time"].dataType, T.TimestampNTZType):
+        zone = F.lit(events.sparkSession.conf.get("spark.sql.session.timeZone"))
+        time = F.from_utc_timestamp(time.cast("timestamp"), zone)
+        start, end = F.to_utc_timestamp(start, zone), F.to_utc_timestamp(end, zone)
+    timed = events.withColumn("event_time", time)
     window = F.window("event_time", width, slide)
     timed = timed.withWatermark("event_time", watermark)
     return _totals(timed, counted, window, "category").select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        start.alias("window_start"),
+        end.alias("window_end"),
         "category",
         "revenue",
         "sales_count",
@@ -67,18 +79,14 @@ def _table_windows(
     # Only the start is a grouping key: one fixed-width value hashes and shuffles
     # faster than the struct, and the end follows from it.
     length, step = micros(width), micros(slide)
-    if panes and step < length and length % step == 0:
-        # Windows that overlap are unions of whole slide-long panes. Aggregating
-        # the panes first means each event is touched once, and only the few pane
-        # rows are copied into the length/step windows they belong to.
-        pane = F.window("event_time", slide)["start"].alias("pane")
-        summed = _totals(events, counted, pane, "category")
-        windows = summed.groupBy(
-            F.window("pane", width, slide)["start"].alias("window_start"), "category"
-        ).agg(F.sum("revenue").alias("revenue"), F.sum("sales_count").alias("sales_count"))
-    else:
-        start = F.window("event_time", width, slide)["start"].alias("window_start")
-        windows = _totals(events, counted, start, "category")
+    if panes and step < length:
+        # Windows that overlap are unions of whole panes. Aggregating the panes
+        # first means each event is touched once, and only the few pane rows are
+        # copied into the windows they belong to.
+        pane = F.window("event_time", pane_width(width, slide))["start"].alias("window_start")
+        return sliding_windows(_totals(events, counted, pane, "category"), width, slide)
+    start = F.window("event_time", width, slide)["start"].alias("window_start")
+    windows = _totals(events, counted, start, "category")
     time_type = events.schema["event_time"].dataType
     return windows.select(
         "window_start",
@@ -89,6 +97,30 @@ def _table_windows(
     )
 
 
+def pane_width(width: str, slide: str) -> str:
+    """The longest pane of which all windows of ``width`` every ``slide`` are unions."""
+    return f"{math.gcd(micros(width), micros(slide))} microseconds"
+
+
+def sliding_windows(panes: DataFrame, width: str, slide: str) -> DataFrame:
+    """Windows of ``width`` every ``slide`` from windowed sales as wide as their pane.
+
+    ``panes`` has one row per pane and category, such as ``serving.latest`` of a log
+    to which a stream writes windows of ``pane_width(width, slide)``.
+    """
+    time_type = panes.schema["window_start"].dataType
+    start = F.window("window_start", width, slide)["start"].alias("start")
+    summed = panes.groupBy(start, "category").agg(
+        F.sum("revenue").alias("revenue"), F.sum("sales_count").alias("sales_count"))
+    return summed.select(
+        F.col("start").alias("window_start"),
+        plus_micros(F.col("start"), micros(width), time_type).alias("window_end"),
+        "category",
+        "revenue",
+        "sales_count",
+    )
+
+
 def events_in_window(
     events: DataFrame,
     category: str,

@@ -44,6 +44,11 @@ def missing_field(required: Sequence[str] = SALE_COLUMNS) -> Column:
     return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
 
 
+def classified(events: DataFrame, required: Sequence[str] = SALE_COLUMNS) -> DataFrame:
+    """All events, with their ``reject_reason`` or NULL."""
+    return events.withColumn("reject_reason", missing_field(required))
+
+
 def split_valid_invalid(
     events: DataFrame, required: Sequence[str] = ("event_time",)
 ) -> tuple[DataFrame, DataFrame]:
@@ -51,8 +56,8 @@ def split_valid_invalid(
 
     By default only events without a time are rejected, which are exactly those
     the windowed aggregation drops. Pass ``SALE_COLUMNS`` for the strict contract.
-    Writing both sides reads the input twice; to do it in one pass write
-    ``events.withColumn("reject_reason", missing_field())`` partitioned by it.
+    Writing both sides reads the input twice; to do it in one pass, write
+    :func:`classified` events and derive both from that table.
     """
     reason = missing_field(required)
     valid = events.filter(reason.isNull())

@@ -2,7 +2,8 @@
 
 Input is the *current* table (one row per window and category, see
 ``serving.latest``). Given the raw emission log instead, the reports count every
-emission of a window, as an append-only store would show them. Each ordering has
+emission of a window, as an append-only store would show them. Orderings compare
+revenue in cents, since the last bits of a sum depend on its order, and have
 tie-breaks, so a limit always keeps the same rows.
 """
 
@@ -21,6 +22,10 @@ def _by_recency() -> tuple[Column, Column]:
     return F.desc("window_start"), F.asc("category")
 
 
+def _by_revenue() -> Column:
+    return to_cents(F.col("revenue")).desc()
+
+
 def _revenue() -> Column:
     return or_zero(F.sum("revenue"))
 
@@ -32,7 +37,7 @@ def latest_windows(windows: DataFrame, n: int = 10) -> DataFrame:
 
 def top_windows(windows: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` rows with the highest revenue."""
-    return windows.select(*WINDOW_COLUMNS).orderBy(F.desc("revenue"), *_by_recency()).limit(n)
+    return windows.select(*WINDOW_COLUMNS).orderBy(_by_revenue(), *_by_recency()).limit(n)
 
 
 def revenue_by_category(windows: DataFrame) -> DataFrame:
@@ -48,7 +53,7 @@ def revenue_by_category(windows: DataFrame) -> DataFrame:
             F.sum("sales_count").alias("sales_count"),
             F.avg(ratio(F.col("revenue"), F.col("sales_count"))).alias("avg_ticket"),
         )
-        .orderBy(F.desc("revenue"), "category")
+        .orderBy(_by_revenue(), "category")
         .select(
             "category",
             to_cents(F.col("revenue")).alias("revenue"),
@@ -110,7 +115,7 @@ def category_distribution(windows: DataFrame) -> DataFrame:
         "category",
         "revenue",
         (ratio(F.col("revenue"), grand_total) * 100).alias("percent"),
-    ).orderBy(F.desc("percent"), "category")
+    ).orderBy(_by_revenue(), "category")
 
 
 def top_categories(windows: DataFrame, n: int = 5) -> DataFrame:
@@ -118,7 +123,7 @@ def top_categories(windows: DataFrame, n: int = 5) -> DataFrame:
     return (
         windows.groupBy("category")
         .agg(_revenue().alias("revenue"), F.sum("sales_count").alias("sales_count"))
-        .orderBy(F.desc("revenue"), "category")
+        .orderBy(_by_revenue(), "category")
         .limit(n)
     )
 
@@ -135,3 +140,19 @@ def find_window(
     return windows.select(*WINDOW_COLUMNS).filter(
         (F.col("category") == category) & (F.col("window_start") == start)
     )
+
+
+def anomalous_windows(windows: DataFrame, deviations: float = 3.0) -> DataFrame:
+    """Windows whose revenue is far from the mean of their category.
+
+    ``deviation`` is the distance in standard deviations (of the sample); rows beyond
+    ``deviations`` on either side are returned. A category with one window, or with
+    equal revenues, has none. The statistics are joined back by category, so no task
+    has to hold all windows of one; NULL categories match each other.
+    """
+    spread = windows.groupBy(F.col("category").alias("of")).agg(
+        F.avg("revenue").alias("mean"), F.stddev_samp("revenue").alias("sd"))
+    joined = windows.join(spread, F.col("category").eqNullSafe(F.col("of")))
+    deviation = ratio(F.col("revenue") - F.col("mean"), F.col("sd"))
+    return joined.select(*WINDOW_COLUMNS, deviation.alias("deviation")).filter(
+        F.abs("deviation") > deviations)

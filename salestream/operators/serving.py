@@ -12,30 +12,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from salestream import files
 from salestream.schema import LOG_SCHEMA, WINDOW_SCHEMA
 
 
-def _stored(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
+def _stored(
+    spark: SparkSession, path: str, fmt: str, schema: StructType, missing_ok: bool
+) -> DataFrame:
     try:
         return spark.read.format(fmt).schema(schema).load(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """All emissions; none before the first batch has been written.
+def read_log(
+    spark: SparkSession, path: str, fmt: str = "parquet", missing_ok: bool = False
+) -> DataFrame:
+    """All emissions. A path that does not exist is an error, or an empty log if
+    ``missing_ok``: a stream's log is there only once its first batch has been written.
 
     The schema is given, since inference would read the partition value
     ``batch_id`` as an int and fail on an empty log.
     """
-    return _stored(spark, path, fmt, LOG_SCHEMA)
+    return _stored(spark, path, fmt, LOG_SCHEMA, missing_ok)
 
 
-def read_windows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_windows(
+    spark: SparkSession, path: str, fmt: str = "parquet", missing_ok: bool = False
+) -> DataFrame:
     """Final windows of a stream, or the output of a batch run."""
-    return _stored(spark, path, fmt, WINDOW_SCHEMA)
+    return _stored(spark, path, fmt, WINDOW_SCHEMA, missing_ok)
 
 
 def latest(log: DataFrame, version: str = "batch_id") -> DataFrame:
@@ -55,11 +63,81 @@ def latest(log: DataFrame, version: str = "batch_id") -> DataFrame:
     )
 
 
+def _newest(log: DataFrame) -> DataFrame:
+    """:func:`latest`, with the batch that emitted the row."""
+    newest = [F.max_by(c, "batch_id").alias(c) for c in ("window_end", "revenue", "sales_count")]
+    return log.groupBy("window_start", "category").agg(
+        *newest, F.max("batch_id").alias("batch_id")).select(LOG_SCHEMA.fieldNames())
+
+
+def _generation(spark: SparkSession, table_path: str) -> int | None:
+    """The last batch of the newest complete generation of a compacted table."""
+    names = [n for n in files.children(spark, table_path) if n.startswith("upto=")]
+    done = [n for n in names if files.exists(spark, f"{table_path}/{n}/_SUCCESS")]
+    return max((int(n.removeprefix("upto=")) for n in done), default=None)
+
+
+def read_current(
+    spark: SparkSession, log_path: str, table_path: str, fmt: str = "parquet",
+    last: int | None = None,
+) -> DataFrame:
+    """The current table from the newest generation and the batches after it.
+
+    Equal to ``latest(read_log(...))``, but only later batches are read from the log.
+    It has the batch ids; ``last`` leaves out batches after that one.
+    """
+    upto = _generation(spark, table_path)
+    log = read_log(spark, log_path, fmt, missing_ok=upto is not None)
+    if last is not None:
+        log = log.filter(F.col("batch_id") <= last)
+    if upto is None:
+        return _newest(log)
+    later = log.filter(F.col("batch_id") > upto)
+    folded = spark.read.format(fmt).schema(LOG_SCHEMA).load(f"{table_path}/upto={upto}")
+    return _newest(folded.unionByName(later))
+
+
+def compact(
+    spark: SparkSession, log_path: str, table_path: str, fmt: str = "parquet"
+) -> int | None:
+    """Fold all batches of the log into a new generation; returns the last one folded.
+
+    A generation is a folder of its own and readers take the newest complete one, so
+    nothing that is being read is ever replaced. An interrupted compaction leaves a folder
+    without ``_SUCCESS``, which the next one replaces. A stream may write meanwhile; the
+    batches it adds are left for the next compaction.
+    """
+    names = [n for n in files.children(spark, log_path) if n.startswith("batch_id=")]
+    last = max((int(n.removeprefix("batch_id=")) for n in names), default=None)
+    before = _generation(spark, table_path)
+    if last is None or (before is not None and last <= before):
+        return before
+    rows = read_current(spark, log_path, table_path, fmt, last)
+    rows.sortWithinPartitions("window_start", "category").write.format(fmt).mode("overwrite").save(
+        f"{table_path}/upto={last}")
+    return last
+
+
+def drop_folded(spark: SparkSession, log_path: str, table_path: str) -> None:
+    """Delete the batches that the newest generation holds, and older generations.
+
+    Run it when no reader still uses them.
+    """
+    upto = _generation(spark, table_path)
+    if upto is None:
+        return
+    for path, prefix, stop in ((log_path, "batch_id=", upto + 1), (table_path, "upto=", upto)):
+        for name in files.children(spark, path):
+            if name.startswith(prefix) and int(name.removeprefix(prefix)) < stop:
+                files.delete(spark, f"{path}/{name}")
+
+
 def truncate(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
     """Remove all rows of the log at ``path``.
 
     Batch ids start again at 0 with a new checkpoint, so truncate the log and
-    discard the stream's checkpoint together, while the stream is stopped.
+    discard the stream's checkpoint (and a compacted table) together, while the stream is
+    stopped; a stream refuses to start on one without the other.
     """
     if not path:
         raise ValueError("truncate needs the path of the log")

@@ -7,16 +7,22 @@ the very end, because the order of summation shows in the last bits.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salestream import sinks, sources, streaming
 from salestream.functions import to_cents
 from salestream.operators import parse, reconcile, reports, serving, text_report
-from salestream.operators.aggregate import events_in_window, windowed_sales
+from salestream.operators.aggregate import (
+    WATERMARK,
+    events_in_window,
+    pane_width,
+    sliding_windows,
+    windowed_sales,
+)
 from salestream.schema import (
     SALE_COLUMNS,
     as_sales,
@@ -28,9 +34,12 @@ from salestream.schema import (
 from salestream.workspace import new_path
 
 HOUR = "1 hour"
+HALF = "30 minutes"
 CATEGORY = "purchase"
 WINDOW_START = "2024-01-15 12:00:00"
 DRAIN = {"availableNow": True}
+SLICES = 4
+FILES_PER_SLICE = 4
 
 # Stated, so that no job has to look into the files before a query is planned.
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, event_type string, value double"
@@ -73,11 +82,11 @@ def windowed_sales_1h(spark, sf_dir):
 
 
 def windowed_sales_sliding(spark, sf_dir):
-    return cents(windowed_sales(sales(spark, sf_dir), HOUR, "30 minutes"))
+    return cents(windowed_sales(sales(spark, sf_dir), HOUR, HALF))
 
 
 def windowed_sales_sliding_uneven(spark, sf_dir):
-    """A slide that does not divide the width, so windows share no panes."""
+    """A slide that does not divide the width; panes are their common divisor."""
     return cents(windowed_sales(sales(spark, sf_dir), HOUR, "40 minutes"))
 
 
@@ -210,8 +219,21 @@ def count_rows(spark, sf_dir):
     return reports.count_rows(hourly(spark, sf_dir))
 
 
+def stored_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly table as the batch job stores it: in time order, with statistics."""
+    path = new_path(spark, "hours")
+    sinks.write_windows(hourly(spark, sf_dir), path)
+    return serving.read_windows(spark, path)
+
+
 def find_window(spark, sf_dir):
-    return cents(reports.find_window(hourly(spark, sf_dir), CATEGORY, WINDOW_START))
+    found = reports.find_window(stored_hours(spark, sf_dir), CATEGORY, WINDOW_START)
+    return cents(without_zone(found))
+
+
+def anomalous_windows(spark, sf_dir):
+    found = reports.anomalous_windows(hourly(spark, sf_dir), 2.0)
+    return cents(found, "revenue", "deviation")
 
 
 def serving_documents(spark, sf_dir):
@@ -245,26 +267,30 @@ def category_distribution_lines(spark, sf_dir):
 # Emission log
 
 
-def emission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What update mode emits for one-hour windows and a batch every ten minutes.
+def drain_slices(
+    spark: SparkSession, sf_dir: str, path: str, slices: Sequence[int] = range(SLICES)
+) -> None:
+    """Feed the events to a stream of hourly windows, a slice at a time.
 
-    Events are summed to ten-minute panes first, so the running totals go over at
-    most six rows per window and category, however many events those hold.
+    Each slice is appended to the feed and read by a stream that goes on from the checkpoint,
+    so a window is emitted as often as a slice changes it. Rate control takes a whole slice
+    in one micro-batch. The watermark is longer than the data: nothing is late.
     """
-    panes = windowed_sales(sales(spark, sf_dir), "10 minutes")
-    by_hour = panes.withColumns({
-        "batch_id": F.floor(F.unix_timestamp("window_start") / 600),
-        "window_start": F.date_trunc("hour", "window_start").cast("timestamp_ntz"),
-    })
-    so_far = Window.partitionBy("window_start", "category").orderBy("batch_id")
-    return by_hour.select(
-        "window_start",
-        (F.col("window_start") + F.expr("INTERVAL 1 HOUR")).alias("window_end"),
-        "category",
-        F.sum("revenue").over(so_far).alias("revenue"),
-        F.sum("sales_count").over(so_far).alias("sales_count"),
-        "batch_id",
-    )
+    events = sales(spark, sf_dir)
+    for n in slices:
+        part = events.filter(F.pmod("sale_id", F.lit(SLICES)) == n)
+        part.coalesce(FILES_PER_SLICE).write.mode("append").parquet(f"{path}/feed")
+        source = sources.read_stream(
+            spark, "parquet", {"maxFilesPerTrigger": str(FILES_PER_SLICE)},
+            schema=events.schema, path=f"{path}/feed")
+        _drain_to_log(source, path, watermark="3650 days")
+
+
+def emission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a stream that emitted every hour up to once for each slice of the events."""
+    path = new_path(spark, "sliced-log")
+    drain_slices(spark, sf_dir, path)
+    return without_zone(serving.read_log(spark, f"{path}/log"))
 
 
 def emission_log_latest(spark, sf_dir):
@@ -276,6 +302,41 @@ def emission_log_as_appended(spark, sf_dir):
     return reports.revenue_by_category(emission_log(spark, sf_dir))
 
 
+def stream_reemitted_latest(spark, sf_dir):
+    """The newest emissions as documents: the running sums of the last slice are the totals."""
+    return to_documents(cents(serving.latest(emission_log(spark, sf_dir))))
+
+
+def stream_reemitted_as_appended(spark, sf_dir):
+    """Every emission: the running sums of each hour and category after each slice."""
+    return cents(emission_log(spark, sf_dir)).drop("batch_id")
+
+
+def stream_restarted_log(spark, sf_dir):
+    """What a stream is told that has a new checkpoint and the log of another, and the log then."""
+    path = new_path(spark, "restarted-log")
+    _drain_to_log(sales_stream(spark, sf_dir), path)
+    try:
+        streaming.start_update_log(
+            windowed_sales(sales_stream(spark, sf_dir), HOUR), f"{path}/log", f"{path}/other", DRAIN)
+        refused = False
+    except ValueError:
+        refused = True
+    return _current(spark, path).withColumn("refused", F.lit(refused))
+
+
+def compacted_log_latest(spark, sf_dir):
+    """The current table from two compactions, with batches after each and folded ones deleted."""
+    path = new_path(spark, "compacted-log")
+    log, table = f"{path}/log", f"{path}/current"
+    for slices in ((0, 1), (2,)):
+        drain_slices(spark, sf_dir, path, slices)
+        serving.compact(spark, log, table)
+        serving.drop_folded(spark, log, table)
+    drain_slices(spark, sf_dir, path, (3,))
+    return cents(without_zone(serving.latest(serving.read_current(spark, log, table))))
+
+
 def replayed_batch(spark, sf_dir):
     """A batch written to the log twice, as after a failure, then read back."""
     path = new_path(spark, "replayed-batch")
@@ -305,6 +366,24 @@ def truncated_log(spark, sf_dir):
     )
 
 
+def published_messages(spark, sf_dir):
+    """Messages sent to a topic (here files) and read back as windows."""
+    path = new_path(spark, "topic")
+    sinks.publish(sinks.to_envelope(sales(spark, sf_dir)), "parquet", {"path": path})
+    messages = sources.read_batch(spark, "parquet", schema="value binary", path=path)
+    return cents(without_zone(windowed_sales(parse.parse_events(messages), HOUR)))
+
+
+def windows_and_rejects(spark, sf_dir):
+    """Valid and rejected events in one pass, with the hours they fall into."""
+    events = parse.classified(parse.parse_events(dirty_envelope(sales(spark, sf_dir))))
+    return events.groupBy(F.coalesce("reject_reason", F.lit("valid")).alias("verdict")).agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.count_distinct(F.date_trunc("hour", "event_time")).alias("n_hours"),
+        to_cents(F.sum("amount")).alias("revenue"),
+    )
+
+
 # Reconciliation
 
 
@@ -333,8 +412,18 @@ def reconcile_injected(spark, sf_dir):
 
 def reconcile_one_window(spark, sf_dir):
     """The served row of a window, doubled, against its raw events."""
-    served = hourly(spark, sf_dir).withColumn("revenue", F.col("revenue") * 2)
-    found = reconcile.check_window(served, sales(spark, sf_dir), CATEGORY, WINDOW_START, HOUR)
+    served = stored_hours(spark, sf_dir).withColumn("revenue", F.col("revenue") * 2)
+    found = reconcile.check_window(
+        without_zone(served), sales(spark, sf_dir), CATEGORY, WINDOW_START, HOUR)
+    return cents(found, "served_revenue", "expected_revenue")
+
+
+def reconcile_sliding_window(spark, sf_dir):
+    """A window between two full hours, served with a sale too many."""
+    served = windowed_sales(sales(spark, sf_dir), HOUR, HALF).withColumn(
+        "sales_count", F.col("sales_count") + 1)
+    found = reconcile.check_window(
+        served, sales(spark, sf_dir), CATEGORY, "2024-01-15 12:30:00", HOUR, HALF)
     return cents(found, "served_revenue", "expected_revenue")
 
 
@@ -342,10 +431,12 @@ def reconcile_one_window(spark, sf_dir):
 
 
 def _drain_to_log(
-    events: DataFrame, path: str, width: str = HOUR, slide: str | None = None
+    events: DataFrame, path: str, width: str = HOUR, watermark: str = WATERMARK
 ) -> StreamingQuery:
+    streaming.use_state_store(events.sparkSession)
     query = streaming.start_update_log(
-        windowed_sales(events, width, slide), f"{path}/log", f"{path}/checkpoint", DRAIN
+        windowed_sales(events, width, watermark=watermark),
+        f"{path}/log", f"{path}/checkpoint", DRAIN, name=path.rsplit("/", 1)[-1],
     )
     query.awaitTermination()
     return query
@@ -362,9 +453,11 @@ def stream_update_latest(spark, sf_dir):
 
 
 def stream_sliding_latest(spark, sf_dir):
+    """Only panes are streamed; the overlapping windows are made when the log is read."""
     path = new_path(spark, "sliding-log")
-    _drain_to_log(sales_stream(spark, sf_dir), path, slide="30 minutes")
-    return _current(spark, path)
+    _drain_to_log(sales_stream(spark, sf_dir), path, pane_width(HOUR, HALF))
+    panes = without_zone(serving.latest(serving.read_log(spark, f"{path}/log")))
+    return cents(sliding_windows(panes, HOUR, HALF))
 
 
 def stream_envelope_latest(spark, sf_dir):
@@ -396,6 +489,7 @@ def stream_late_rows(spark, sf_dir):
 
 def stream_final_windows(spark, sf_dir):
     path = new_path(spark, "final-windows")
+    streaming.use_state_store(spark)
     windows = windowed_sales(sales_stream(spark, sf_dir), HOUR)
     streaming.start_final_windows(
         windows, f"{path}/windows", f"{path}/checkpoint", DRAIN
@@ -414,8 +508,11 @@ def stream_rejects(spark, sf_dir):
 
 
 def stream_progress(spark, sf_dir):
-    query = _drain_to_log(sales_stream(spark, sf_dir), new_path(spark, "progress-log"))
-    return streaming.progress_table(spark, query).agg(
+    """The sums over all micro-batches of a stream that was stopped and went on three times."""
+    path = new_path(spark, "progress-log")
+    with streaming.record_progress(spark, path.rsplit("/", 1)[-1], f"{path}/progress"):
+        drain_slices(spark, sf_dir, path)
+    return streaming.progress_log(spark, f"{path}/progress").agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("state_rows_updated").alias("windows_updated"),
         F.sum("late_rows_dropped").alias("late_rows"),
@@ -447,6 +544,7 @@ QUERIES: dict[str, Query] = {
         top_categories,
         count_rows,
         find_window,
+        anomalous_windows,
         serving_documents,
         latest_windows_lines,
         revenue_by_category_lines,
@@ -461,7 +559,14 @@ QUERIES: dict[str, Query] = {
         truncated_log,
         reconcile_injected,
         reconcile_one_window,
+        reconcile_sliding_window,
+        windows_and_rejects,
+        published_messages,
+        compacted_log_latest,
         stream_update_latest,
+        stream_reemitted_latest,
+        stream_reemitted_as_appended,
+        stream_restarted_log,
         stream_sliding_latest,
         stream_envelope_latest,
         stream_late_rows,

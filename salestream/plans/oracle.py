@@ -6,14 +6,22 @@ of BIGINT are HUGEINT in DuckDB and therefore cast back.
 
 from __future__ import annotations
 
-from salestream.operators.text_report import (
-    CATEGORY_LAYOUT,
-    DISTRIBUTION_LAYOUT,
-    EVOLUTION_LAYOUT,
-    LATEST_LAYOUT,
-    STATS_LAYOUT,
-    TOP_LAYOUT,
+# The printed reports, stated here again and not taken from the code under test.
+_RULE = "─────────────────────────────────────────────────────────────"
+LATEST_LAYOUT = f"Janela: %s → %s\nCategoria: %s\nFaturamento: R$ %s\nVolume: %s vendas\n{_RULE}"
+CATEGORY_LAYOUT = (
+    "Categoria: %s\n  Faturamento Total: R$ %s\n  Volume Total: %s vendas\n"
+    f"  Ticket Médio: R$ %s\n{_RULE}"
 )
+TOP_LAYOUT = f"Janela: %s\nCategoria: %s\nFaturamento: R$ %s\nVolume: %s vendas\n{_RULE}"
+EVOLUTION_LAYOUT = "%s | R$ %s | %s vendas"
+STATS_LAYOUT = (
+    "Total de Janelas Processadas: %s\nFaturamento Total: R$ %s\n"
+    "Volume Total de Vendas: %s\nFaturamento Médio por Janela: R$ %s\n"
+    "Volume Médio por Janela: %s vendas\nMaior Faturamento em uma Janela: R$ %s\n"
+    "Menor Faturamento em uma Janela: R$ %s"
+)
+DISTRIBUTION_LAYOUT = "%s | %s %s%%"
 
 
 def _windows(width: str, revenue: str = "sum(value)") -> str:
@@ -69,7 +77,7 @@ _BY_CATEGORY = """
     FROM w GROUP BY category"""
 
 _LATEST = "FROM w ORDER BY window_start DESC, category LIMIT 10"
-_TOP = "FROM w ORDER BY w.revenue DESC, window_start DESC, category LIMIT 5"
+_TOP = "FROM w ORDER BY round_even(w.revenue, 2) DESC, window_start DESC, category LIMIT 5"
 
 _EVOLUTION = """
     SELECT window_start, round_even(sum(revenue), 2) AS revenue,
@@ -92,20 +100,18 @@ _SHARES = """
            sum(revenue) / (SELECT sum(revenue) FROM w) * 100 AS percent
     FROM w GROUP BY category"""
 
-# One row per hour, category and ten-minute batch that changed it.
+# One row per hour, category and slice of the events that changed it, with the running sums.
 _LOG = """
-    WITH pane AS (
-      SELECT time_bucket(INTERVAL '10 minutes', ts) AS pane, event_type AS category,
-             sum(value) AS revenue, count(event_id) AS sales_count
+    WITH part AS (
+      SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type AS category,
+             event_id % 4 AS slice, sum(value) AS revenue, count(event_id) AS sales_count
       FROM events WHERE ts IS NOT NULL GROUP BY ALL),
     w AS (
-      SELECT date_trunc('hour', pane) AS window_start,
-             date_trunc('hour', pane) + INTERVAL '1 hour' AS window_end, category,
+      SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, category,
              sum(revenue) OVER so_far AS revenue,
-             CAST(sum(sales_count) OVER so_far AS BIGINT) AS sales_count,
-             pane AS emitted
-      FROM pane
-      WINDOW so_far AS (PARTITION BY date_trunc('hour', pane), category ORDER BY pane))"""
+             CAST(sum(sales_count) OVER so_far AS BIGINT) AS sales_count, slice
+      FROM part
+      WINDOW so_far AS (PARTITION BY window_start, category ORDER BY slice))"""
 
 _DIFF = f"""
     WITH expected AS ({_windows('1 hour')}),
@@ -216,7 +222,7 @@ ORACLE_SQL: dict[str, str] = {
     "top_categories": f"""{_W}
         SELECT category, round_even(sum(revenue), 2) AS revenue,
                CAST(sum(sales_count) AS BIGINT) AS sales_count
-        FROM w GROUP BY category ORDER BY sum(revenue) DESC, category LIMIT 5""",
+        FROM w GROUP BY category ORDER BY round_even(sum(revenue), 2) DESC, category LIMIT 5""",
     "count_rows": f"{_W} SELECT count(*) AS n_rows FROM w",
     "find_window": f"""{_W}
         SELECT window_start, window_end, category, {_CENTS}, sales_count FROM w
@@ -249,7 +255,7 @@ ORACLE_SQL: dict[str, str] = {
     "emission_log_latest": f"""{_LOG}
         SELECT window_start, window_end, category, {_CENTS}, sales_count FROM w
         QUALIFY row_number() OVER (
-          PARTITION BY window_start, category ORDER BY emitted DESC) = 1""",
+          PARTITION BY window_start, category ORDER BY slice DESC) = 1""",
     "emission_log_as_appended": _LOG + _BY_CATEGORY,
     "replayed_batch": f"""
         SELECT *, CAST(7 AS BIGINT) AS batch_id FROM ({_HOURLY})""",
@@ -262,7 +268,43 @@ ORACLE_SQL: dict[str, str] = {
                round_even(revenue, 2) AS expected_revenue, sales_count AS served_count,
                sales_count AS expected_count, 'different' AS status
         FROM w WHERE category = 'purchase' AND window_start = {_NOON}""",
+    "reconcile_sliding_window": f"""
+        SELECT TIMESTAMP '2024-01-15 12:30:00' AS window_start, 'purchase' AS category,
+               round_even(sum(value), 2) AS served_revenue,
+               round_even(sum(value), 2) AS expected_revenue,
+               count(event_id) + 1 AS served_count, count(event_id) AS expected_count,
+               'different' AS status
+        FROM events WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-15 12:30:00'
+          AND ts < TIMESTAMP '2024-01-15 13:30:00' HAVING count(*) > 0""",
+    "windows_and_rejects": """
+        SELECT CASE event_type WHEN 'error' THEN 'sale_id' WHEN 'view' THEN 'sale_id'
+                 WHEN 'signup' THEN 'event_time' WHEN 'purchase' THEN 'amount'
+                 ELSE 'valid' END AS verdict,
+               count(*) AS n_events,
+               count(DISTINCT CASE WHEN event_type NOT IN ('error', 'signup')
+                     THEN date_trunc('hour', ts) END) AS n_hours,
+               round_even(sum(CASE WHEN event_type NOT IN ('error', 'purchase') THEN value END), 2)
+                 AS revenue
+        FROM events GROUP BY 1""",
+    "published_messages": _HOURLY,
+    "compacted_log_latest": _HOURLY,
+    "anomalous_windows": f"""{_W},
+        spread AS (SELECT category AS of, avg(revenue) AS mean, stddev_samp(revenue) AS sd
+                   FROM w GROUP BY category),
+        far AS (SELECT w.*, (revenue - mean) / nullif(sd, 0) AS deviation
+                FROM w JOIN spread ON category IS NOT DISTINCT FROM of)
+        SELECT window_start, window_end, category, {_CENTS}, sales_count,
+               round_even(deviation, 2) AS deviation
+        FROM far WHERE abs(deviation) > 2.0""",
     "stream_update_latest": _HOURLY,
+    "stream_reemitted_latest": f"""{_W}
+        SELECT window_start AS janela_inicio, window_end AS janela_fim,
+               category AS categoria, round_even(revenue, 2) AS faturamento_total,
+               sales_count AS volume_vendas
+        FROM w""",
+    "stream_reemitted_as_appended": f"""{_LOG}
+        SELECT window_start, window_end, category, {_CENTS}, sales_count FROM w""",
+    "stream_restarted_log": f"SELECT *, true AS refused FROM ({_HOURLY})",
     "stream_sliding_latest": _SLIDING,
     "stream_envelope_latest": _HOURLY,
     "stream_late_rows": f"""{_W}
@@ -277,7 +319,7 @@ ORACLE_SQL: dict[str, str] = {
                  WHEN 'signup' THEN 'event_time' ELSE 'amount' END AS reject_reason,
                count(*) AS n_events
         FROM events WHERE event_type <> 'click' GROUP BY 1""",
-    "stream_progress": f"""{_W}
+    "stream_progress": f"""{_LOG}
         SELECT (SELECT count(*) FROM events) AS input_rows,
                count(*) AS windows_updated, CAST(0 AS BIGINT) AS late_rows
         FROM w""",

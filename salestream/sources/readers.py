@@ -5,9 +5,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# A new stream starts at the end of the topic and goes on when
-# the broker has already dropped offsets.
-KAFKA_STREAM_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
+# Fixed value: a new stream starts at the end of the topic. Offsets that the broker has
+# already dropped stop it, unless the caller sets failOnDataLoss to false.
+KAFKA_STREAM_OPTIONS = {"startingOffsets": "latest"}
 # A bounded replay covers everything the topic holds when the job starts.
 KAFKA_BATCH_OPTIONS = {"startingOffsets": "earliest", "endingOffsets": "latest"}
 

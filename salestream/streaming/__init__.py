@@ -1,15 +1,17 @@
 """Streaming queries over windowed sales and a table view of their progress."""
 
-from salestream.streaming.progress import progress_table
+from salestream.streaming.progress import progress_log, progress_table, record_progress
 from salestream.streaming.queries import (
     STATE_STORE_CONF,
     start_document_append,
     start_final_windows,
     start_rejects,
     start_update_log,
+    use_state_store,
 )
 
 __all__ = [
-    "STATE_STORE_CONF", "progress_table", "start_document_append",
-    "start_final_windows", "start_rejects", "start_update_log",
+    "STATE_STORE_CONF", "progress_log", "progress_table", "record_progress",
+    "start_document_append", "start_final_windows", "start_rejects", "start_update_log",
+    "use_state_store",
 ]

@@ -1,9 +1,15 @@
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from salestream import files
 
 _REPORTED = T.StructType([
     T.StructField("batch_id", T.LongType()),
@@ -45,17 +51,62 @@ def _as_row(progress) -> tuple:
     )
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent micro-batches of a query, one row each.
-
-    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them, so the
-    table is small however long the query has run. ``max_offsets_behind`` is the
-    consumer lag and is set by Kafka sources only; ``watermark_delay_ms`` is how
-    far the watermark trails the newest event of the batch.
-    """
-    rows = spark.createDataFrame([_as_row(p) for p in query.recentProgress], _REPORTED)
+def _timed(rows: DataFrame) -> DataFrame:
     times = {c: F.try_to_timestamp(c) for c in ("started_at", "watermark", "max_event_time")}
     return rows.withColumns(times).withColumn(
         "watermark_delay_ms",
         F.unix_millis("max_event_time") - F.unix_millis("watermark"),
     )
+
+
+class _Recorder(StreamingQueryListener):
+    def __init__(self, spark: SparkSession, name: str, folder: str):
+        self.spark, self.name, self.folder = spark, name, folder
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.name:
+            row = dict(zip(_REPORTED.fieldNames(), _as_row(event.progress), strict=True))
+            # a batch that runs again replaces its file
+            files.write_text(
+                self.spark, f"{self.folder}/{row['batch_id']:020}.json", json.dumps(row))
+
+
+@contextmanager
+def record_progress(spark: SparkSession, name: str, folder: str) -> Iterator[None]:
+    """Keep the figures of every micro-batch of the query called ``name``, in ``folder``.
+
+    Start the query inside; on leaving, what Spark has reported so far is written. One small
+    file for each micro-batch, beside the checkpoint, which has as many.
+    """
+    recorder = _Recorder(spark, name, folder)
+    spark.streams.addListener(recorder)
+    try:
+        yield
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(recorder)
+
+
+def progress_log(spark: SparkSession, folder: str) -> DataFrame:
+    """All micro-batches that :func:`record_progress` has kept; columns of :func:`progress_table`."""
+    return _timed(spark.read.schema(_REPORTED).json(folder))
+
+
+def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Recent micro-batches of a running query, one row each, for a look at its state.
+
+    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them and forgets older
+    ones; sums over a stream need :func:`record_progress`. ``max_offsets_behind`` is the
+    consumer lag and is set by Kafka sources only; ``watermark_delay_ms`` is how
+    far the watermark trails the newest event of the batch.
+    """
+    return _timed(spark.createDataFrame([_as_row(p) for p in query.recentProgress], _REPORTED))

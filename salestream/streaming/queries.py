@@ -2,9 +2,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from salestream import files
 from salestream.operators.parse import split_valid_invalid
 from salestream.schema import SALE_COLUMNS
 from salestream.sinks.batch import ROWS_PER_FILE, append_documents, write_batch
@@ -20,6 +21,34 @@ STATE_STORE_CONF = {
 Trigger = Mapping[str, object]
 
 
+#: Written into an output when its stream first starts; readers skip the name.
+_OWNED = "_owned-by-a-stream"
+
+
+def use_state_store(spark: SparkSession) -> None:
+    """State of streams started from now on goes to RocksDB (a checkpoint keeps its own)."""
+    for key, value in STATE_STORE_CONF.items():
+        spark.conf.set(key, value)
+
+
+def _guard(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse an output and a checkpoint that are not of one stream.
+
+    Batch ids start again with a new checkpoint: on an old output they would replace, or be
+    taken for, batches that are there already.
+    """
+    begun = bool(files.children(spark, f"{checkpoint}/offsets"))
+    names = files.children(spark, path)
+    filled = [n for n in names if not n.startswith(("_", "."))] or "_spark_metadata" in names
+    together = "; reset both together, see serving.truncate"
+    if filled and not begun:
+        raise ValueError(f"{path} holds batches, but the checkpoint {checkpoint} is new{together}")
+    if begun and _OWNED not in names:
+        raise ValueError(f"the checkpoint {checkpoint} has begun, but {path} is not its output{together}")
+    if _OWNED not in names:
+        files.write_text(spark, f"{path}/{_OWNED}", "")
+
+
 def _start(
     writer: DataStreamWriter, checkpoint: str, trigger: Trigger | None, name: str | None
 ) -> StreamingQuery:
@@ -72,8 +101,10 @@ def start_update_log(
     """Write every change of a window to the emission log, at once and idempotently.
 
     ``trigger`` holds the keywords of ``DataStreamWriter.trigger``; the default is
-    back-to-back micro-batches. ``path`` and ``checkpoint`` belong together.
+    back-to-back micro-batches. ``path`` and ``checkpoint`` belong together: a new
+    checkpoint on a log with batches, or the reverse, is an error.
     """
+    _guard(windows.sparkSession, path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, batch_id, path, fmt, options, rows_per_file)
@@ -113,8 +144,10 @@ def start_final_windows(
     """Write each window once, when the watermark has passed its end.
 
     The file sink's own commit log makes this exactly-once; figures appear later
-    than with :func:`start_update_log` and need no deduplication.
+    than with :func:`start_update_log` and need no deduplication. A new checkpoint on
+    windows that are there already, or the reverse, is an error.
     """
+    _guard(windows.sparkSession, path, checkpoint)
     return _start_append(windows, path, checkpoint, trigger, name, fmt, options)
 
 

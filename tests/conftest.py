@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import SparkSession
@@ -52,7 +52,7 @@ def windows_of(spark):
         full = []
         for clock, category, revenue, count in rows:
             start = at(clock)
-            full.append((start, start.replace(second=59), category, revenue, count))
+            full.append((start, start + timedelta(minutes=1), category, revenue, count))
         return spark.createDataFrame(full, WINDOW_SCHEMA)
 
     return make

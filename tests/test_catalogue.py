@@ -9,7 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from salestream.plans import QUERIES
+from salestream.operators import reconcile, reports
+from salestream.plans import QUERIES, catalogue
+from salestream.schema import WINDOW_SCHEMA, without_zone
 from tests.conftest import SF_DIR, plan_text
 
 PACKAGE = pathlib.Path(__file__).parent.parent / "salestream"
@@ -59,14 +61,39 @@ def test_one_shuffle_from_events_to_windows(spark):
     assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
 
 
-def test_the_running_log_needs_no_shuffle_for_its_latest_rows(spark):
+def test_one_shuffle_from_a_stored_log_to_its_latest_rows(spark):
     plan = plan_text(contract.queries()["emission_log_latest"](spark, SF_DIR))
-    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 2
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
+def test_reconciling_shuffles_events_and_served_rows_once(spark):
+    served = spark.createDataFrame([], WINDOW_SCHEMA)
+    plan = plan_text(reconcile.diff(without_zone(served), catalogue.sales(spark, SF_DIR), "1 hour"))
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
+def test_overlapping_windows_copy_panes_and_not_events(spark):
+    plan = plan_text(contract.queries()["windowed_sales_sliding_uneven"](spark, SF_DIR))
+    above_first_shuffle, below = plan.split("== Initial Plan ==")[-1].rsplit("Exchange", 1)
+    assert "Expand" in above_first_shuffle and "Expand" not in below
+
+
+def test_windows_and_rejects_scan_once(spark):
+    plan = plan_text(contract.queries()["windows_and_rejects"](spark, SF_DIR))
+    assert plan.split("== Initial Plan ==")[-1].count("FileScan") == 1
+
+
+def test_looking_up_a_stored_window_reads_few_rows(spark):
+    found = reports.find_window(
+        catalogue.stored_hours(spark, SF_DIR), catalogue.CATEGORY, catalogue.WINDOW_START)
+    plan = plan_text(found)
+    assert "GreaterThanOrEqual(window_start" in plan or "EqualTo(window_start" in plan
+    assert "EqualTo(category,purchase)" in plan
 
 
 @pytest.mark.parametrize("word", [
     r"\.rdd\b", r"\budf\(", r"pandas_udf", r"applyInPandas", r"mapInPandas", r"\.collect\(",
-    r"toPandas", r"crossJoin", r"localCheckpoint", r"broadcast\(", r"mapPartitions",
+    r"toPandas", r"toLocalIterator", r"crossJoin", r"localCheckpoint", r"broadcast\(", r"mapPartitions",
 ])
 def test_the_library_stays_declarative(word):
     for path in SOURCES:

@@ -90,3 +90,32 @@ def test_one_window_reads_its_time_range(events, spark, tmp_path):
 
 def test_no_join(events):
     assert "Join" not in plan_text(diff(windowed_sales(events), events))
+
+
+def test_the_order_of_adding_is_no_difference_at_half_a_cent(spark):
+    amounts = (0.335, 0.1, 0.2, 0.37)
+    events = spark.createDataFrame(
+        [(str(i), "a", x, at("10:30:00")) for i, x in enumerate(amounts)], SALES)
+    served = windowed_sales(events)
+    for total in (1.005, 1.0050000000000001):
+        assert rows(diff(served.withColumn("revenue", F.lit(total)), events)) == []
+    assert statuses(diff(served.withColumn("revenue", F.lit(1.02)), events)) == [("a", "different")]
+
+
+def test_the_end_of_a_window_counts(events):
+    late = windowed_sales(events).withColumn(
+        "window_end", F.col("window_end") + F.when(
+            F.col("category") == "Livros", F.expr("INTERVAL 1 HOUR")).otherwise(
+            F.expr("INTERVAL 0 HOUR")))
+    assert statuses(diff(late, events)) == [("Livros", "different")]
+
+
+def test_one_window_of_overlapping_ones(events):
+    served = windowed_sales(events, "2 minutes", "1 minute")
+    start = F.lit(at("10:29:00"))
+    assert rows(check_window(served, events, "Casa", start, "2 minutes", "1 minute")) == []
+    bad = served.withColumn("revenue", F.col("revenue") * 2)
+    assert statuses(check_window(bad, events, "Casa", start, "2 minutes", "1 minute")) == [
+        ("Casa", "different")]
+    between = F.lit(at("10:29:30"))
+    assert rows(check_window(served, events, "Casa", between, "2 minutes", "1 minute")) == []

@@ -149,7 +149,7 @@ def test_latest_and_top_lines(windows_of):
     rule = "─" * 61
     tail = f"Categoria: Casa\nFaturamento: R$ 15.00\nVolume: 2 vendas\n{rule}"
     assert rows(text_report.latest_windows(df)) == [
-        ("Janela: 2024-11-25 10:30:00 → 2024-11-25 10:30:59\n" + tail,)
+        ("Janela: 2024-11-25 10:30:00 → 2024-11-25 10:31:00\n" + tail,)
     ]
     assert rows(text_report.top_windows(df)) == [("Janela: 2024-11-25 10:30:00\n" + tail,)]
 
@@ -204,3 +204,17 @@ def test_share_of_total_groups_once(small, tmp_path):
     assert "Window" not in plan_text(shares)
     shares._jdf.collectToPython()  # the adaptive plan is final once it has run
     assert "ReusedExchange" in plan_text(shares)
+
+
+def test_the_last_bits_of_a_sum_do_not_decide_a_limit(windows_of):
+    df = windows_of(("10:30:00", "b", 0.1 + 0.2, 1), ("10:30:00", "a", 0.3, 1))
+    assert rows(reports.top_windows(df, 1), "category") == [("a",)]
+    assert rows(reports.top_categories(df, 1), "category") == [("a",)]
+
+
+def test_anomalous_windows(windows_of):
+    usual = [(f"10:{m:02}:00", c, 10.0 + m % 2, 1) for m in range(30) for c in ("a", None)]
+    df = windows_of(*usual, ("10:30:00", "a", 1000.0, 1), ("10:31:00", "alone", 5.0, 1))
+    (found,) = rows(reports.anomalous_windows(df, 3.0), "category", "revenue", "deviation")
+    assert found[:2] == ("a", 1000.0) and found[2] > 5
+    assert rows(reports.anomalous_windows(df.limit(0))) == []

@@ -140,8 +140,43 @@ def test_truncate(spark, windows_of, tmp_path):
 
 def test_nothing_written_yet(spark, tmp_path):
     missing = str(tmp_path / "missing")
-    assert rows(serving.latest(serving.read_log(spark, missing))) == []
-    assert rows(reports.general_stats(serving.read_windows(spark, missing))) == []
+    log = serving.read_log(spark, missing, missing_ok=True)
+    assert rows(serving.latest(log)) == []
+    windows = serving.read_windows(spark, missing, missing_ok=True)
+    assert rows(reports.general_stats(windows)) == []
+
+
+def test_a_wrong_path_is_an_error(spark, tmp_path):
+    for read in (serving.read_log, serving.read_windows):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read(spark, str(tmp_path / "mising"))
+
+
+def test_compaction_changes_nothing_that_is_read(spark, windows_of, tmp_path):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    assert serving.compact(spark, log, table) is None
+
+    def batch(n, *given):
+        sinks.write_batch(windows_of(*given), n, log)
+
+    def current():
+        return sorted(rows(serving.latest(serving.read_current(spark, log, table)),
+                           "category", "revenue"))
+
+    batch(0, ("10:30:00", "a", 1.0, 1), ("10:30:00", "b", 1.0, 1))
+    batch(1, ("10:30:00", "a", 2.0, 2))
+    before = current()
+    assert before == [("a", 2.0), ("b", 1.0)]
+    assert serving.compact(spark, log, table) == 1 and current() == before
+    batch(2, ("10:30:00", "b", 5.0, 2))
+    assert current() == [("a", 2.0), ("b", 5.0)]
+    assert serving.compact(spark, log, table) == 2
+    serving.drop_folded(spark, log, table)
+    assert current() == [("a", 2.0), ("b", 5.0)]
+    assert [p.name for p in (tmp_path / "log").glob("batch_id=*")] == []
+    assert [p.name for p in (tmp_path / "table").glob("upto=*")] == ["upto=2"]
+    (tmp_path / "table" / "upto=9").mkdir()  # interrupted: without _SUCCESS
+    assert current() == [("a", 2.0), ("b", 5.0)]
 
 
 def test_another_read_error_is_not_hidden(spark, tmp_path):

@@ -30,12 +30,12 @@ class FakeSession:
         self.readStream, self.read = Recorder(), Recorder()
 
 
-def test_kafka_stream_starts_at_the_end_and_tolerates_loss():
+def test_kafka_stream_starts_at_the_end():
     fake = FakeSession()
     sources.read_stream(fake, "kafka", {"subscribe": "t", "kafka.bootstrap.servers": "h:1"})
     assert fake.readStream.seen["format"] == [("kafka",)]
     assert fake.readStream.seen["options"] == [{
-        "startingOffsets": "latest", "failOnDataLoss": "false",
+        "startingOffsets": "latest",
         "subscribe": "t", "kafka.bootstrap.servers": "h:1",
     }]
 
@@ -200,7 +200,7 @@ def test_batch_job_and_reports(spark, messages, tmp_path):
     ]))
     assert rows(spark.read.parquet(rejects)) == [("not json", "sale_id")]
     args = report_job.parser().parse_args(["--windows-path", out])
-    text = "\n".join(report_job.lines(report_job.current_windows(spark, args)))
+    text = "\n".join(report_job.lines(report_job.current_windows(spark, args), args.lines))
     assert "Faturamento Total: R$ 20.00" in text
     assert "Casa            | " + "█" * 38 + " 75.00%" in text
     assert text.count("─" * 61) == 2 + 2 + 2
@@ -240,8 +240,41 @@ def test_reports_over_a_log(spark, messages, tmp_path):
 
     def total(*extra):
         args = report_job.parser().parse_args(["--log-path", log, *extra])
-        text = list(report_job.lines(report_job.current_windows(spark, args)))
+        text = list(report_job.lines(report_job.current_windows(spark, args), args.lines))
         return next(t for t in "\n".join(text).split("\n") if t.startswith("Faturamento Total"))
 
     assert total() == "Faturamento Total: R$ 20.00"
     assert total("--every-emission") == "Faturamento Total: R$ 30.00"
+
+
+def test_reports_as_files_and_cut_on_the_screen(spark, windows_of, tmp_path):
+    windows = windows_of(*[("10:30:00", f"c{i}", float(i), 1) for i in range(30)])
+    report_job.write(windows, str(tmp_path / "out"))
+    written = spark.read.text(str(tmp_path / "out" / "report=6")).count()
+    assert written == 30
+    text = list(report_job.lines(windows, 7))
+    assert sum(t.startswith("... (only the first 7 lines") for t in text) == 3
+
+
+def test_report_job_fails_on_a_wrong_path(tmp_path, spark):
+    args = report_job.parser().parse_args(["--log-path", str(tmp_path / "nothing")])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        report_job.current_windows(spark, args)
+
+
+def test_rejects_of_a_topic_need_a_fixed_start():
+    given = [
+        "--source", "kafka", "--sink-path", "s", "--checkpoint", "c",
+        "--rejects-path", "r", "--rejects-checkpoint", "rc",
+    ]
+    with pytest.raises(SystemExit):
+        stream_job.arguments(given)
+    stream_job.arguments([*given, "--source-option", "startingOffsets=earliest"])
+
+
+def test_losing_offsets_is_a_choice_of_the_job():
+    fake, given = FakeSession(), ["--source", "kafka", "--sink-path", "s", "--checkpoint", "c"]
+    stream_job.messages(fake, stream_job.arguments(given))
+    stream_job.messages(fake, stream_job.arguments([*given, "--ignore-data-loss"]))
+    seen = [o.get("failOnDataLoss") for o in fake.readStream.seen["options"]]
+    assert seen == [None, "false"]

@@ -10,7 +10,8 @@ from salestream.operators import reports, serving
 from salestream.operators.aggregate import windowed_sales
 from salestream.operators.parse import parse_events
 from salestream.sources import read_batch, read_stream
-from salestream.streaming import STATE_STORE_CONF, progress_table
+from salestream.schema import in_session_time
+from salestream.streaming import STATE_STORE_CONF, progress_log, progress_table, record_progress
 from tests.conftest import at, message, rows, write_file
 
 DRAIN = {"availableNow": True}
@@ -254,3 +255,70 @@ def test_stream_equals_batch_for_ordered_input(spark, tmp_path_factory, sales, n
     columns = ("window_start", "window_end", "category", cents, "sales_count")
     want = windowed_sales(stream.batch_events())
     assert sorted(rows(stream.current(), *columns)) == sorted(rows(want, *columns))
+
+
+def test_a_new_checkpoint_on_an_old_output_is_refused(stream, tmp_path):
+    stream.feed(*GOLDEN[:2])
+    windows = lambda: windowed_sales(stream.events())
+    for start, output in (
+        (streaming.start_update_log, stream.log), (streaming.start_final_windows, stream.final),
+    ):
+        first = str(tmp_path / f"{start.__name__}-first")
+        start(windows(), output, first, DRAIN).awaitTermination()
+        before = sorted(rows(stream.spark.read.parquet(output)), key=str)
+        with pytest.raises(ValueError, match="is new"):
+            start(windows(), output, str(tmp_path / f"{start.__name__}-other"), DRAIN)
+        assert sorted(rows(stream.spark.read.parquet(output)), key=str) == before
+        with pytest.raises(ValueError, match="is not its output"):
+            start(windows(), str(tmp_path / f"{start.__name__}-else"), first, DRAIN)
+        start(windows(), output, first, DRAIN).awaitTermination()  # a restart is fine
+
+
+def test_truncated_logs_need_a_new_checkpoint(stream, tmp_path):
+    stream.feed(*GOLDEN[:1])
+    run = lambda ck: streaming.start_update_log(
+        windowed_sales(stream.events()), stream.log, str(tmp_path / ck), DRAIN).awaitTermination()
+    run("one")
+    serving.truncate(stream.spark, stream.log)
+    with pytest.raises(ValueError, match="is not its output"):
+        run("one")
+    run("two")
+    assert serving.read_log(stream.spark, stream.log).count() == 2
+
+
+def test_every_batch_is_recorded(stream, tmp_path):
+    spark, key = stream.spark, "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        stream.feed(*GOLDEN)
+        with record_progress(spark, "recorded", str(tmp_path / "progress")):
+            query = streaming.start_update_log(
+                windowed_sales(stream.events()), stream.log, stream.checkpoint, DRAIN, "recorded")
+            query.awaitTermination()
+        (total,) = rows(progress_log(spark, str(tmp_path / "progress")).agg(F.sum("input_rows")))
+        (recent,) = rows(progress_table(spark, query).agg(F.sum("input_rows")))
+    finally:
+        spark.conf.unset(key)
+    assert total == (sum(map(len, GOLDEN)),) and recent < total
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Kolkata"])
+def test_stream_and_table_have_the_same_windows_in_any_zone(spark, tmp_path, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        clocks = ["2024-03-01 00:10:00", "2024-03-01 21:30:00", "2024-03-02 02:00:00"]
+        sales = spark.createDataFrame([(c,) for c in clocks], "t string").selectExpr(
+            "t AS sale_id", "'a' AS category", "1.0D AS amount", "CAST(t AS timestamp_ntz) AS event_time")
+        sales.write.parquet(str(tmp_path / "in"))
+        table = in_session_time(windowed_sales(sales, "1 day"))
+        source = read_stream(spark, "parquet", schema=sales.schema, path=str(tmp_path / "in"))
+        streaming.start_update_log(
+            windowed_sales(source, "1 day", watermark="30 days"), str(tmp_path / "log"), str(tmp_path / "ck"),
+            DRAIN).awaitTermination()
+        served = serving.latest(serving.read_log(spark, str(tmp_path / "log")))
+        assert sorted(rows(served)) == sorted(rows(table))
+        assert sorted(rows(served.selectExpr("CAST(window_start AS string)", "sales_count"))) == [
+            ("2024-03-01 00:00:00", 2), ("2024-03-02 00:00:00", 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
