@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from salestream.llm import exact_dedup
+from tests.llm.conftest import prose, rows_of
+
+
+def brute(rows):
+    """(doc_id, keep_id, group_size, kept, sha) per row; of fully equal rows the first stays."""
+    groups: dict[str, list] = {}
+    for n, (doc_id, text, *_) in enumerate(rows):
+        sha = hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", text or "").encode()).hexdigest()
+        groups.setdefault(sha, []).append((-len(text or ""), doc_id is None, doc_id or 0, n, doc_id))
+    out = []
+    for sha, members in groups.items():
+        best = min(members)
+        out += [(m[4], best[4], len(members), m is best or m == best, sha) for m in members]
+    return sorted(out, key=repr)
+
+
+def check(docs_of, rows):
+    found = exact_dedup.decisions(docs_of(*rows))
+    assert rows_of(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == brute(rows)
+
+
+ODD = [
+    (1, "a b"), (2, "ab"), (3, "a\tb\n"), (4, None), (5, ""), (6, " \x0b\x0c\r\n"), (7, "a b"), (None, "a b  "),
+    (8, "A b"), (9, "é"), (9, "é"), (9, " é"), (None, None),
+]
+
+
+def test_odd_texts_nulls_and_repeated_rows(docs_of):
+    check(docs_of, ODD)
+
+
+def test_frequent_texts_take_the_broadcast_way(docs_of, spark):
+    rows = [(i, "hot text" + " " * (i % 3)) for i in range(400)] + [(1000 + i, prose(i % 150, 5)) for i in range(300)]
+    slim = exact_dedup.digests(docs_of(*rows))
+    assert exact_dedup.heavy_digests(slim).select("group_size").collect()[0][0] == 400
+    check(docs_of, rows)
+
+
+def test_repeated_rows_of_a_frequent_text_keep_one(docs_of):
+    rows = [(1, "same") for _ in range(200)] + [(None, None) for _ in range(100)]
+    found = exact_dedup.decisions(docs_of(*rows))
+    assert found.where("kept").count() == 2
+    assert rows_of(found.select("keep_id", "group_size").distinct()) == [(1, 200), (None, 100)]
+
+
+def test_empty_table(docs_of, spark):
+    assert rows_of(exact_dedup.decisions(docs_of(*ODD).limit(0))) == []
+
+
+def test_kept_rows_keep_their_columns(docs_of):
+    docs = docs_of((1, "a b"), (2, "ab"), (3, "c"))
+    kept = exact_dedup.dedup(docs)
+    assert kept.columns == docs.columns and rows_of(kept, "doc_id") == [(1,), (3,)]
+
+
+def test_no_python_on_the_main_path(docs_of):
+    plan = exact_dedup.decisions(docs_of(*ODD))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

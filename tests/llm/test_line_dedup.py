@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+
+from salestream.llm import line_dedup
+from tests.llm.conftest import rows_of
+
+LONG = "a line that is long enough"
+
+
+def key_of(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+
+def brute(rows):
+    holders: dict[str, set] = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key_of(line)) >= 20:
+                holders.setdefault(key_of(line), set()).add(doc_id)
+    out = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (
+            len(holders.get(key_of(x), ())) >= 3 and doc_id != max(holders[key_of(x)], key=lambda i: (i is not None, i or 0)))]
+        out.append((doc_id, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+def check(docs_of, rows):
+    found = line_dedup.dedup_lines(docs_of(*rows))
+    got = [(i, t or "", n, d) for i, t, n, d in rows_of(found, "doc_id", "text", "n_lines", "n_dropped")]
+    assert sorted(got, key=repr) == brute(rows)
+
+
+def test_odd_lines(docs_of):
+    check(docs_of, [
+        (1, f"{LONG}\nown line one, long enough\n  {LONG.upper()}\t"), (2, f"x\n{LONG}"), (3, f"{LONG}\r\n\n"), (4, f"{LONG}"),
+        (4, f"{LONG}\nagain in a row of the same id"), (None, f"{LONG}\nrest"), (5, None), (6, ""), (7, "\n\n"),
+        (8, "short"), (9, "short"), (10, "short"), (11, "É" * 20), (12, "é" * 20), (13, "É" * 20), (14, "É" * 20),
+        (15, "\n".join([LONG + " twice only"] * 3)), (16, LONG + " twice only"),
+    ])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(docs_of, seed):
+    pick = random.Random(seed)
+    pool = [f"{'passage number ' + str(i):<30}" for i in range(40)]
+    rows = [(i, "\n".join(pick.choice(pool) if pick.random() < 0.6 else f"line {pick.random()} of its own, long"
+                          for _ in range(pick.randrange(1, 12)))) for i in range(120)]
+    check(docs_of, rows)
+
+
+def test_all_of_a_long_text_repeats(docs_of):
+    text = "\n".join(f"{LONG} {i}" for i in range(3000))
+    check(docs_of, [(1, text), (2, text), (3, text + "\nmore")])
+
+
+def test_empty_table_and_columns(docs_of):
+    docs = docs_of((1, "a"))
+    assert rows_of(line_dedup.dedup_lines(docs.limit(0))) == []
+    assert line_dedup.dedup_lines(docs).columns == [*docs.columns, "n_lines", "n_dropped"]
+    clash = docs.withColumnRenamed("key", "n_lines")
+    assert line_dedup.dedup_lines(clash).columns[-2:] == ["n_lines_", "n_dropped"]
+
+
+def test_runs_hold_every_key_once_and_are_compacted(spark, docs_of):
+    runs = line_dedup.LineRuns(spark, fanout=2)
+    docs = docs_of(*[(i, f"{LONG} {i % 7}\n{LONG} of {i}") for i in range(40)])
+    lines = line_dedup.long_lines(docs, "doc_id", "text", 20).cache()
+    for low, high in ((30, 40), (20, 30), (10, 20), (0, 10)):
+        runs.add(lines.where(f"id >= {low} AND id < {high}"))
+    assert [len(level) for level in runs.levels] == [0, 0, 1]
+    keys = runs.keys()
+    assert keys.count() == keys.select("key").distinct().count() == 47
+    want = {hashlib.sha256(f"{LONG} {r}".encode()).digest(): max(i for i in range(40) if i % 7 == r) for r in range(7)}
+    got = {bytes(r["key"]): r["holder"] for r in keys.collect()}
+    assert all(got[k] == holder for k, holder in want.items())
+    runs.drop()
+
+
+def test_no_python_on_the_main_path(docs_of):
+    plan = line_dedup.dedup_lines(docs_of((1, LONG)))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
