@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +65,10 @@ def blocks_for(n_rows: int, rows_per_block: int) -> int:
 def fits_broadcast(df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has at most ``limit`` rows; looks at one row more than that at most."""
     return df.limit(limit + 1).count() <= limit
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches a few rows at a time, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestream.llm.common import table
+from salestream.llm.common import in_parts, table
 
 #: License id, words that must stand (its name), and wording; ``{}`` stands for a version or year.
 TEMPLATES = (
@@ -194,7 +194,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = [(doc_id, *f) for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True)
                     for f in scanner.scan(text)]
             columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]

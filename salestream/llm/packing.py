@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from salestream.llm.common import blocks_for, stored, table
+from salestream.llm.common import blocks_for, in_parts, stored, table
 
 CAPACITY = 4096
 WIDTH = 8
 END_ID = 2
 #: Distinct words, and parts of words, kept encoded in a worker; beyond that the memory starts anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 150_000
 ROWS_PER_BLOCK = 20_000
 #: The linear program stops within this share of its optimum.
 GAP = 0.0003
@@ -129,7 +129,7 @@ def _cut(tokenizer_path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         end, step = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
-        for batch in batches:
+        for batch in in_parts(batches):
             rows, size = [], 0
             for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = encoder.encode(text or b"") + end

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from salestream.llm.common import own_name, stored, table
+from salestream.llm.common import in_parts, own_name, stored, table
 
 SHINGLE = 4
 SEED = 42
@@ -66,7 +66,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def _add_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         prints = [fingerprint(text.as_py() or b"") for text in batch.column(2)]
         signed = np.array(prints, dtype=np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays(

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestream.llm.common import stored, table
+from salestream.llm.common import in_parts, stored, table
 
 MOST_TOXIC = 2048
 MOST_CLEAN = 4096
@@ -48,7 +48,7 @@ BLOCK = 64
 THRESHOLD = 0.7
 #: Longer words are cut, so that the vocabulary's size is bounded in bytes too.
 LONGEST_TERM = 40
-WORDS_KEPT = 300_000
+WORDS_KEPT = 100_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -82,7 +82,7 @@ def choose_examples(labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, toxic) to (term, toxic, n), added up over a task."""
     counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for batch in batches:
+    for batch in in_parts(batches):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counts[toxic].update({t for w in set(words(text)) for t in beginnings(w)})
     for toxic, terms in counts.items():
@@ -138,7 +138,7 @@ def vectors(df: DataFrame, vocabulary: list[str], keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``df`` with terms and counts (arrays) of its column text, stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(vocabulary)
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = [sorted(counter.of_text(t).items()) for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)],
@@ -232,7 +232,7 @@ def search(found: DataFrame, index: Index, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         seen: dict[tuple, tuple[float, list]] = {}
-        for batch in batches:
+        for batch in in_parts(batches):
             at = {n: i for i, n in enumerate(batch.schema.names)}
             scores, evidence = [], []
             for terms, counts in zip(batch.column(at["terms"]).to_pylist(), batch.column(at["counts"]).to_pylist(),
@@ -243,7 +243,7 @@ def search(found: DataFrame, index: Index, keep: list[str]) -> DataFrame:
                     continue
                 key = (tuple(terms), tuple(counts))
                 if key not in seen:
-                    if len(seen) > 20_000:
+                    if len(seen) > 2_000:
                         seen.clear()
                     near = own.nearest(terms, counts)
                     seen[key] = (own.score(near), [
