@@ -3,7 +3,9 @@
 1. Examples are a bounded sample of the labelled rows: per label the ``MOST_TOXIC`` or ``MOST_CLEAN`` rows
    of least id hash. Weights undo the different sampling rates.
 2. Terms are words and word beginnings of 4 to 6 letters. The vocabulary is those whose share among
-   the examples differs between labels by ``LEAST_Z`` standard errors, the ``MOST_TERMS`` clearest at most.
+   the examples differs between labels by a number of standard errors. Which of ``CUTS`` it is, cross-validation over
+   the examples decides: terms are chosen without a fold, and the cut with the least log loss of its calibrated
+   out-of-fold votes is taken. The least cut takes every term. ``MOST_TERMS`` bounds the index in bytes.
 3. Document frequencies of the vocabulary are counted over all documents, in the pass that turns every whole
    text into term counts; texts are not read again.
 4. A document's nearest ``K`` examples by cosine of TF-IDF vectors over the vocabulary are found exactly with
@@ -38,10 +40,15 @@ from salestream.llm.common import in_parts, stored, table
 
 MOST_TOXIC = 2048
 MOST_CLEAN = 4096
-MOST_TERMS = 2048
-LEAST_Z = 5.0
+#: Bounds the bytes of the index; the clearest terms stay.
+MOST_TERMS = 8192
+#: Standard errors that a term's share must differ by, one of these.
+CUTS = (0.0, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0)
+FOLDS = 5
 #: A term must be in so many examples.
 LEAST_EXAMPLES = 3
+#: Bounds the terms that are counted at all; the most frequent stay.
+MOST_CANDIDATES = 200_000
 K = 15
 PRIOR_VOTES = 0.5
 BLOCK = 64
@@ -94,21 +101,131 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([terms[t] for t in part], pa.int64())], names=["term", "toxic", "n"])
 
 
-def choose_terms(examples: DataFrame) -> list[str]:
-    """The vocabulary, from rows (text, toxic)."""
-    sizes = {row["toxic"]: row["n"] for row in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-    if not n0 or not n1:
-        return []
+def candidate_terms(examples: DataFrame) -> list[str]:
+    """The terms of rows (text, toxic) that are in ``LEAST_EXAMPLES``, or all if none is."""
     counts = examples.select("text", "toxic").mapInArrow(_count_terms, "term string, toxic int, n long")
-    both = counts.groupBy("term").agg(
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("a"),
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("b"))
-    share = (F.col("a") + F.col("b")) / F.lit(float(n0 + n1))
-    error = F.sqrt(share * (1 - share) * F.lit(1 / n0 + 1 / n1))
-    z = F.abs(F.col("b") / n1 - F.col("a") / n0) / F.when(error > 0, error)
-    chosen = both.where(F.col("a") + F.col("b") >= LEAST_EXAMPLES).withColumn("z", z).where(F.col("z") >= LEAST_Z)
-    return [row["term"] for row in chosen.orderBy(F.desc("z"), "term").limit(MOST_TERMS).collect()]
+    both = stored(counts.groupBy("term").agg(F.sum("n").alias("n")), "toxicity-terms")
+    for least in (LEAST_EXAMPLES, 1):
+        chosen = both.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(MOST_CANDIDATES)
+        terms = [row["term"] for row in chosen.select("term").collect()]
+        if terms:
+            break
+    return terms
+
+
+def differences(a: np.ndarray, b: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """By how many standard errors a / n0 and b / n1 differ."""
+    n0, n1 = max(1, n0), max(1, n1)
+    share = np.minimum((a + b) / (n0 + n1), 1)
+    error = np.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
+    return np.divide(np.abs(b / n1 - a / n0), error, out=np.zeros(len(a)), where=error > 0)
+
+
+def clearest(z: np.ndarray, cut: float) -> np.ndarray:
+    """The numbers of the terms at or above the cut, ascending."""
+    at = np.flatnonzero(z >= cut)
+    return at if len(at) <= MOST_TERMS else np.sort(at[np.argsort(-z[at], kind="stable")[:MOST_TERMS]])
+
+
+def pools(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Pooled adjacent violators: rows (mean share, toxic rate, weight), both means ascending."""
+    at, group = np.unique(shares, return_inverse=True)  # equal shares first
+    total = np.bincount(group, weights, minlength=len(at))
+    rates = np.bincount(group, weights * toxic, minlength=len(at)) / total
+    out: list[list[float]] = []
+    for pool in zip(at.tolist(), rates.tolist(), total.tolist(), strict=True):
+        out.append(list(pool))
+        while len(out) > 1 and out[-2][1] >= out[-1][1]:
+            x2, y2, w2 = out.pop()
+            x1, y1, w1 = out[-1]
+            out[-1] = [(x1 * w1 + x2 * w2) / (w1 + w2), (y1 * w1 + y2 * w2) / (w1 + w2), w1 + w2]
+    return np.array(out).reshape(-1, 3)
+
+
+def calibration(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray, base: float) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and the rates there, ascending; each pool has ``PRIOR_VOTES`` votes of the base rate."""
+    found = pools(shares, toxic, weights)
+    rates = (found[:, 1] * found[:, 2] + PRIOR_VOTES * base) / (found[:, 2] + PRIOR_VOTES)
+    return found[:, 0], np.maximum.accumulate(rates)
+
+
+def _log_loss(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray, base: float) -> float:
+    rate = np.interp(shares, *calibration(shares, toxic, weights, base)).clip(1e-9, 1 - 1e-9)
+    return float(-(weights * np.where(toxic, np.log(rate), np.log(1 - rate))).sum() / weights.sum())
+
+
+def fold_shares(examples: list[tuple], n_terms: int, rates: dict[int, float], base: float) -> dict[float, np.ndarray]:
+    """For each cut the share of every example (id, toxic, terms, counts) by the examples outside its fold.
+
+    The ranks of an example among those of its label deal out the folds. A cut without terms in some fold is left out.
+    """
+    n = len(examples)
+    y = np.array([e[1] for e in examples], dtype=bool)
+    ids = np.array([e[0] for e in examples])
+    stands = np.array([rates[e[1]] for e in examples])
+    fold = np.zeros(n, dtype=int)
+    for label in (False, True):
+        rows = np.flatnonzero(y == label)
+        fold[rows[np.argsort(ids[rows])]] = np.arange(len(rows)) % FOLDS
+    row = np.repeat(np.arange(n), [len(e[2]) for e in examples])
+    term = np.concatenate([np.asarray(e[2], dtype=np.int64) for e in examples])
+    tf = 1 + np.log(np.concatenate([np.asarray(e[3], dtype=float) for e in examples]))
+    out = {cut: np.full(n, base) for cut in CUTS}
+    for f in range(FOLDS):
+        inside = fold != f
+        learn = inside[row]
+        a = np.bincount(term[learn & ~y[row]], minlength=n_terms)
+        b = np.bincount(term[learn & y[row]], minlength=n_terms)
+        z = differences(a, b, int((inside & ~y).sum()), int((inside & y).sum()))
+        for cut in list(out):
+            chosen = clearest(np.where(a + b > 0, z, -1.0), cut)
+            if not len(chosen):
+                del out[cut]
+                continue
+            used = np.zeros(n_terms, dtype=bool)
+            used[chosen] = True
+            at = np.flatnonzero(used[term])
+            idf = np.log((1 + inside.sum()) / (1 + a + b)) + 1
+            x = tf[at] * idf[term[at]]
+            length = np.sqrt(np.bincount(row[at], x * x, minlength=n))
+            x /= length[row[at]]
+            # postings of the examples outside the fold, by term
+            held = at[learn[at]]
+            order = np.argsort(term[held], kind="stable")
+            post_row, post_x = row[held][order], x[learn[at]][order]
+            start = np.searchsorted(term[held][order], np.arange(n_terms + 1))
+            bare = inside & (length == 0)
+            no_terms = ((stands * y)[bare].sum() + PRIOR_VOTES * base) / (stands[bare].sum() + PRIOR_VOTES)
+            low = np.searchsorted(row[at], np.arange(n + 1))
+            for i in np.flatnonzero(fold == f):
+                own = slice(low[i], low[i + 1])
+                terms = term[at[own]]
+                if not len(terms):
+                    out[cut][i] = no_terms
+                    continue
+                parts = [slice(start[t], start[t + 1]) for t in terms]
+                sims = np.bincount(np.concatenate([post_row[p] for p in parts]),
+                                   np.concatenate([post_x[p] * v for p, v in zip(parts, x[own], strict=True)]), minlength=n)
+                near = np.flatnonzero(sims > 0)
+                if len(near) > K:
+                    near = near[np.lexsort((ids[near], -sims[near].round(9)))[:K]]
+                votes = sims[near] * stands[near]
+                out[cut][i] = (votes[y[near]].sum() + PRIOR_VOTES * base) / (votes.sum() + PRIOR_VOTES)
+    return out
+
+
+def fit(examples: list[tuple], n_terms: int, rates: dict[int, float], base: float) -> tuple[np.ndarray, tuple | None]:
+    """The numbers of the terms that are taken, and the map from shares to rates."""
+    y = np.array([e[1] for e in examples], dtype=bool)
+    if not n_terms or y.all() or not y.any():
+        return np.zeros(0, dtype=int), None
+    weights = np.array([rates[e[1]] for e in examples])
+    shares = fold_shares(examples, n_terms, rates, base)
+    counts = [np.bincount(np.concatenate([np.asarray(e[2], dtype=np.int64) for e in examples if e[1] == label]),
+                          minlength=n_terms) for label in (0, 1)]
+    z = differences(*counts, int((~y).sum()), int(y.sum()))
+    cut = min((c for c in shares if (z >= c).any()), key=lambda c: (round(_log_loss(shares[c], y, weights, base), 6), -c))
+    return clearest(z, cut), calibration(shares[cut], y, weights, base)
 
 
 class TermCounter:
@@ -172,6 +289,8 @@ class Index:
     stands_for: np.ndarray
     base: float
     no_terms: float
+    #: Shares and the toxic rates there; without it a share is the score.
+    rate_at: tuple[np.ndarray, np.ndarray] | None = None
 
     def vector(self, terms: list[int], counts: list[int]) -> np.ndarray:
         x = (1 + np.log(np.array(counts, dtype=float))) * self.idf[terms]
@@ -195,11 +314,14 @@ class Index:
     def score(self, near: list[tuple[float, int]]) -> float:
         votes = [(s * self.stands_for[i], self.toxic[i]) for s, i in near]
         total = sum(v for v, _ in votes)
-        return float((sum(v for v, y in votes if y) + PRIOR_VOTES * self.base) / (total + PRIOR_VOTES))
+        return self.calibrated((sum(v for v, y in votes if y) + PRIOR_VOTES * self.base) / (total + PRIOR_VOTES))
+
+    def calibrated(self, share: float) -> float:
+        return float(share if self.rate_at is None else np.interp(share, *self.rate_at))
 
 
 def build_index(examples: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray, rates: dict[int, float],
-                base: float) -> Index:
+                base: float, rate_at: tuple[np.ndarray, np.ndarray] | None = None) -> Index:
     """examples: (id, toxic, terms, counts)."""
     weight = sum(rates[y] for _, y, _, _ in examples if True)
     without = [(y, rates[y]) for _, y, terms, _ in examples if not terms]
@@ -222,7 +344,7 @@ def build_index(examples: list[tuple[int, int, list[int], list[int]]], idf: np.n
         weights[terms, at] = x
         ids[at], toxic[at], stands_for[at] = doc_id, bool(y), rates[y]
     most = weights.reshape(len(idf), n // BLOCK, BLOCK).max(axis=2)
-    return Index(idf, weights, most, ids, toxic, stands_for, base, no_terms)
+    return Index(idf, weights, most, ids, toxic, stands_for, base, no_terms, rate_at)
 
 
 def search(found: DataFrame, index: Index, keep: list[str]) -> DataFrame:
@@ -238,7 +360,7 @@ def search(found: DataFrame, index: Index, keep: list[str]) -> DataFrame:
             for terms, counts in zip(batch.column(at["terms"]).to_pylist(), batch.column(at["counts"]).to_pylist(),
                                      strict=True):
                 if not terms:
-                    scores.append(own.no_terms)
+                    scores.append(own.calibrated(own.no_terms))
                     evidence.append([])
                     continue
                 key = (tuple(terms), tuple(counts))
@@ -272,13 +394,25 @@ def score_documents(docs: DataFrame, labels: DataFrame, learnable: Column | None
     # at most MOST_TOXIC + MOST_CLEAN ids; rows that repeat one count once
     texts = slim.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
     texts = stored(texts.select("doc_id", "text", "toxic"), "toxicity-examples")
-    vocabulary = choose_terms(texts)
-    found = vectors(slim, vocabulary, ["doc_id", "text_key"])
-    idf = inverse_frequencies(found, len(vocabulary)) if vocabulary else np.zeros(0)
     toxic_rows, clean_rows = ((sample.where(F.col("toxic") == y).count() * rates[y]) for y in (1, 0))
     base = toxic_rows / (toxic_rows + clean_rows) if toxic_rows + clean_rows else 0.0
-    examples = [tuple(r) for r in vectors(texts, vocabulary, ["doc_id", "toxic"]).collect()]  # bounded as above
-    return search(found, build_index(examples, idf, rates, base), ["doc_id", "text_key"])
+    terms = candidate_terms(texts)
+    examples = _collected(vectors(texts, terms, ["doc_id", "toxic"]))  # bounded as above
+    chosen, rate_at = fit(examples, len(terms), rates, base)
+    number = np.full(len(terms), -1)
+    number[chosen] = np.arange(len(chosen))
+    vocabulary = [terms[i] for i in chosen]
+    found = vectors(slim, vocabulary, ["doc_id", "text_key"])
+    idf = inverse_frequencies(found, len(vocabulary)) if vocabulary else np.zeros(0)
+    taken = [(i, y, number[t][number[t] >= 0], n[number[t] >= 0]) for i, y, t, n in examples]
+    index = build_index([(i, y, t.tolist(), n.tolist()) for i, y, t, n in taken], idf, rates, base)
+    return search(found, index, ["doc_id", "text_key"])
+
+
+def _collected(found: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    columns = found.select("doc_id", "toxic", "terms", "counts").toArrow()
+    arrays = [[np.asarray(x.values, dtype=np.int64) for x in columns.column(c)] for c in (2, 3)]
+    return sorted(zip(columns.column(0).to_pylist(), columns.column(1).to_pylist(), *arrays, strict=True), key=lambda e: e[:2])
 
 
 def held_out() -> Column:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import math
 import random
 
@@ -88,3 +89,25 @@ def test_terms():
     assert toxicity.beginnings("abcdefgh") == ["abcdefgh", "abcd*", "abcde*", "abcdef*"]
     assert toxicity.words("It's A_B 12 É") == ["it", "s", "a", "b", "12", "é"]
     assert math.isclose(toxicity.build_index([], np.zeros(0), {0: 0, 1: 0}, 0.25).no_terms, 0.25)
+
+
+def few_toxic():
+    """Six learnable toxic rows, in which each of four words stands three times."""
+    vile = ["vileword", "nastyword", "hatefulness", "ugliness"]
+    rows, labels = [], []
+    for i in range(52):
+        more = list(itertools.combinations(vile, 2))[i] if i < 6 else []
+        rows.append((i, " ".join([*prose(i, 40).split(), *more])))
+        labels.append((i, 1, int(i < 6)))
+    rows += [(100 + i, f"{prose(100 + i, 40)} {a} {b}") for i, (a, b) in enumerate(itertools.combinations(vile, 2))]
+    rows += [(200 + i, prose(200 + i, 40)) for i in range(20)]
+    return rows, labels
+
+
+def test_terms_of_few_toxic_examples(spark, docs_of):
+    rows, labels = few_toxic()
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scores = {r["doc_id"]: r for r in toxicity.score_documents(docs_of(*rows), table).collect()}
+    toxic = [scores[i]["score"] for i in range(100, 106)]
+    assert min(toxic) > max(scores[i]["score"] for i in range(200, 220))
+    assert all(scores[i]["evidence"][0]["toxic"] == 1 for i in range(100, 106))
