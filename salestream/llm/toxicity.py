@@ -11,9 +11,11 @@
 4. A document's nearest ``K`` examples by cosine of TF-IDF vectors over the vocabulary are found exactly with
    a block-max inverted index: examples in blocks of like ones, the largest weight of each term in each
    block; blocks are searched in descending order of their bound until no bound exceeds the k-th best.
-5. Votes weighted by similarity and sampling weight, with ``PRIOR_VOTES`` votes of the base rate, give the
-   score; the neighbours are the evidence. A document without terms of the vocabulary has the rate that
+5. Votes weighted by similarity and sampling weight (1 on average), with ``PRIOR_VOTES`` votes of the base rate, give a
+   share; the neighbours are the evidence. A document without terms of the vocabulary has the rate that
    such documents have among the examples.
+6. The score is the toxic rate at that share: a monotone map fitted to the out-of-fold shares of the examples
+   (pooled adjacent violators, then linear between the pools).
 
 Index and vocabulary are bounded by the parameters, so they are handed to the tasks; everything else runs
 over all rows. Labels, language, source and id are no inputs of a score.
@@ -398,6 +400,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, learnable: Column | None
     base = toxic_rows / (toxic_rows + clean_rows) if toxic_rows + clean_rows else 0.0
     terms = candidate_terms(texts)
     examples = _collected(vectors(texts, terms, ["doc_id", "toxic"]))  # bounded as above
+    # 1 on average, so that the prior counts alike however many rows an example stands for
+    mean = sum(rates[y] for _, y, _, _ in examples) / max(1, len(examples)) or 1.0
+    rates = {y: rate / mean for y, rate in rates.items()}
     chosen, rate_at = fit(examples, len(terms), rates, base)
     number = np.full(len(terms), -1)
     number[chosen] = np.arange(len(chosen))
@@ -405,7 +410,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, learnable: Column | None
     found = vectors(slim, vocabulary, ["doc_id", "text_key"])
     idf = inverse_frequencies(found, len(vocabulary)) if vocabulary else np.zeros(0)
     taken = [(i, y, number[t][number[t] >= 0], n[number[t] >= 0]) for i, y, t, n in examples]
-    index = build_index([(i, y, t.tolist(), n.tolist()) for i, y, t, n in taken], idf, rates, base)
+    index = build_index([(i, y, t.tolist(), n.tolist()) for i, y, t, n in taken], idf, rates, base, rate_at)
     return search(found, index, ["doc_id", "text_key"])
 
 

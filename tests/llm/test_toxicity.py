@@ -111,3 +111,29 @@ def test_terms_of_few_toxic_examples(spark, docs_of):
     toxic = [scores[i]["score"] for i in range(100, 106)]
     assert min(toxic) > max(scores[i]["score"] for i in range(200, 220))
     assert all(scores[i]["evidence"][0]["toxic"] == 1 for i in range(100, 106))
+
+
+def test_prior_counts_alike_however_many_rows_an_example_stands_for(spark, docs_of, monkeypatch):
+    rows, labels = few_toxic()
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    score = lambda: {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs_of(*rows), table).collect()}
+    want, real = score(), toxicity.choose_examples
+
+    def many(found):
+        sample, rates = real(found)
+        return sample, {y: rate * 100 for y, rate in rates.items()}
+
+    monkeypatch.setattr(toxicity, "choose_examples", many)
+    assert score() == pytest.approx(want)
+
+
+def test_calibration():
+    shares = np.array([0.1] * 80 + [0.3] * 20 + [0.65] * 17 + [0.9] * 30)
+    toxic = np.array([False] * 80 + [False] * 14 + [True] * 6 + [True] * 15 + [False] * 2 + [True] * 30)
+    at, rate = toxicity.calibration(shares, toxic, np.ones(len(shares)), 0.3)
+    assert (np.diff(at) > 0).all() and (np.diff(rate) >= 0).all()
+    assert np.interp(0.65, at, rate) == pytest.approx(15 / 17, abs=0.03)
+    index = toxicity.build_index([], np.zeros(0), {0: 0, 1: 0}, 0.3, (at, rate))
+    assert index.score([]) == pytest.approx(0.3, abs=0.03) and index.calibrated(0.65) >= toxicity.THRESHOLD
+    falling = toxicity.pools(np.array([0.1, 0.2, 0.2, 0.4]), np.array([1, 0, 1, 0]), np.ones(4))
+    assert falling.tolist() == [[pytest.approx(0.225), 0.5, 4]]
