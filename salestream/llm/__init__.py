@@ -2,10 +2,13 @@
 
 from salestream.llm import (
     exact_dedup,
+    importance_resampling,
+    jaccard_join,
     license_scan,
     line_dedup,
     mixing,
     packing,
+    periodic_runs,
     simhash,
     topk_search,
     toxicity,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_importance_resampling": importance_resampling.op11_importance_resampling,
+    "op12_jaccard_join": jaccard_join.op12_jaccard_join,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -32,4 +38,6 @@ ORACLE_SQL = {
     "op3_topk_search": topk_search.SQL,
     "op6_line_dedup": line_dedup.SQL,
     "op9_warc": warc.SQL,
+    "op11_importance_resampling": importance_resampling.SQL,
+    "op12_jaccard_join": jaccard_join.SQL,
 }

@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from salestream.llm import jaccard_join as jj
+from tests.llm.conftest import prose, rows_of
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    words = (text or "").translate(UPPER).split()
+    if len(words) < 5:
+        return {" ".join(words)} if words else set()
+    return {" ".join(words[i:i + 5]) for i in range(len(words) - 4)}
+
+
+def linked(a, b):
+    return bool(a) and 100 * len(a & b) >= 80 * len(a | b)
+
+
+def brute(rows):
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if linked(sets[i], sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least.setdefault(find(i), []).append(doc_id)
+    of = {r: min((i for i in ids if i is not None), default=None) for r, ids in least.items()}
+    return sorted(((doc_id, len(sets[i]), of[find(i)]) for i, (doc_id, _) in enumerate(rows)), key=repr)
+
+
+def changed(text, n, pick):
+    words = text.split()
+    for i in pick.sample(range(len(words)), min(n, len(words))):
+        words[i] = f"new{pick.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus(seed=1):
+    pick = random.Random(seed)
+    rows = [(i, prose(i, pick.randrange(1, 160), 3000)) for i in range(150)]
+    for i in range(250):
+        base = rows[pick.randrange(len(rows))][1]
+        rows.append((1000 + i, changed(base, pick.randrange(0, 4), pick)))
+    rows += [(2000 + i, f"{prose(77, 60)} {prose(5000 + i, 40)}") for i in range(60)]  # a passage that many share
+    rows += [(3000, None), (3001, ""), (3002, " \n"), (None, prose(3, 50)), (3003, prose(9, 30)), (3003, prose(9, 30))]
+    rows += [(3003, prose(10, 30)), (3004, "One two"), (3005, "one TWO"), (3006, prose(8, 4000)), (3007, prose(8, 4000) + " x")]
+    rows += [(3100 + n, " ".join(f"q{i}" for i in range(n + 4))) for n in range(1, 14)]  # each a part of the next
+    return rows
+
+
+@pytest.mark.parametrize("cold", [32, 2])
+def test_same_as_brute_force(spark, docs_of, monkeypatch, cold):
+    monkeypatch.setattr(jj, "COLD", cold)
+    rows = corpus(cold)
+    assert rows_of(jj.jaccard_groups(docs_of(*rows)), "doc_id", "n_shingles", "component_id") == brute(rows)
+
+
+def test_groups_of_near_copies_by_shuffles(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(jj, "MOST_KEYS", 0)
+    monkeypatch.setattr(jj, "COLD", 4)
+    pick = random.Random(6)
+    base = prose(1, 100, 3000)
+    rows = [(i, changed(base, 1, pick)) for i in range(60)] + [(100 + i, changed(base, 2, pick)) for i in range(60)]
+    rows += [(500 + i, prose(100 + i, 90)) for i in range(60)]
+    assert rows_of(jj.jaccard_groups(docs_of(*rows)), "doc_id", "n_shingles", "component_id") == brute(rows)
+
+
+def test_all_links(spark, docs_of):
+    rows = [r for r in corpus(4) if r[0] is not None]
+    least = {}
+    for doc_id, text in rows:
+        key = frozenset(shingles(text))
+        least[key] = min(doc_id, least.get(key, doc_id))
+    found = sorted((i, s) for s, i in least.items())
+    want = [(a, b) for n, (b, t) in enumerate(found) for a, s in found[:n] if linked(s, t)]
+    assert rows_of(jj.similar_pairs(docs_of(*rows)), "a", "b") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("size", [4, 5, 6, 8, 9, 12, 13, 20, 40, 64, 200, 1000])
+def test_every_linked_pair_shares_a_needed_signature(size):
+    pick = np.random.default_rng(size)
+    for _ in range(40):
+        a = pick.integers(0, 1 << 63, size, dtype=np.uint64)
+        lost = int(pick.integers(0, size // 5 + 1))
+        gained = (size - 5 * lost) // 4
+        b = np.concatenate([a[lost:], pick.integers(0, 1 << 63, gained, dtype=np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        assert jj.similar(a, b)
+        if lost or gained:
+            one, two = ({s for _, _, sigs in jj.signatures(x) for s in sigs.tolist()} for x in (a, b))
+            assert one & two
+        flipped = sum(int(x ^ y).bit_count() for x, y in zip(
+            jj.sketch(a).view(np.uint64).tolist(), jj.sketch(b).view(np.uint64).tolist(), strict=True))
+        assert flipped * 9 <= len(a) + len(b)
+
+
+def test_an_instance_for_every_pair_of_sizes():
+    for a in range(4, 700):
+        for b in range(a, 5 * a // 4 + 1):
+            assert {i[0] for i in jj.instances(a)[:1]} <= {i[0] for i in jj.instances(b)}
+    assert [jj.instances(n) for n in (0, 3)] == [[], []]
+
+
+def test_empty_tables(spark, docs_of):
+    assert rows_of(jj.jaccard_groups(docs_of((1, "a")).limit(0))) == []
+    assert rows_of(jj.jaccard_groups(docs_of((1, None), (2, "")))) == [(1, 0, 1), (2, 0, 2)]
+    assert rows_of(jj.similar_pairs(docs_of((1, "a b c"), (2, "a b c")))) == []

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from salestream.llm import periodic_runs as pr
+from tests.llm.conftest import prose, rows_of
+
+
+def smallest_period(words):
+    return next(q for q in range(1, len(words) + 1) if all(words[i] == words[i + q] for i in range(len(words) - q)))
+
+
+def brute(words):
+    runs, n = [], len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(6, 4 * q) and smallest_period(words[i:i + length]) == q:
+                runs.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(runs, key=lambda r: (r[0], r[2]))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=60), max_size=4))
+def test_runs_of_small_alphabets(texts):
+    texts = [[b"%d" % w for w in ws] for ws in texts]
+    assert pr.find_runs(texts) == [brute(ws) for ws in texts]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), min_size=1, max_size=14), st.integers(1, 7)), max_size=5))
+def test_runs_of_repeated_stretches(parts):
+    words = [b"%d" % w for ws, times in parts for w in ws * times]
+    assert pr.find_runs([words, words[::-1]]) == [brute(words), brute(words[::-1])]
+
+
+def test_a_period_without_any_gram_of_its_own():
+    a, b, c = (list(prose(i, 6, 10**6).encode().split()) for i in (1, 2, 3))
+    period = (a + b) * 2 + (a + c) * 2
+    for times in (4, 5):
+        words = [b"x", *period * times, b"y"]
+        assert pr.find_runs([words]) == [[(1, 48 * times, 48)]]
+
+
+def planted(doc_id, text):
+    words = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i if i < a else a + (i - a) % p] for i in range(n)]
+
+
+def expected(doc_id, words):
+    runs = brute(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else (None,) * 3
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    listed = "".join(f"{a},{b},{c}\n" for a, b, c in runs).encode()
+    kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None, sha(listed), sha(kept))
+
+
+def test_same_as_brute_force(spark, docs_of):
+    pick = random.Random(2)
+    rows = [(i, prose(i, pick.randrange(0, 70), pick.choice((2, 3, 400)))) for i in range(300)]
+    rows += [(900, None), (901, ""), (902, " \t\n"), (903, "a " * 500), (903, "a " * 500), (None, "b\x0bb\x0c b b b b")]
+    rows += [(904, "É é É é É é É é"), (905, "a b a b " * 4), (906, f"{prose(1, 3000)} " * 2)]
+    docs = docs_of(*rows)
+    found = pr.periodic_runs(pr.with_planted_repeats(docs)).select(*pr._NAMES[:8])
+    assert rows_of(found) == sorted((expected(i, planted(i, t)) for i, t in rows), key=repr)
+    plain = pr.periodic_runs(docs)
+    assert rows_of(plain.select(*pr._NAMES[:8])) == sorted((expected(i, (t or "").encode().split()) for i, t in rows), key=repr)
+    assert rows_of(plain.where("doc_id = 903"), "collapsed") == [("a",), ("a",)]
+
+
+def test_batches_do_not_change_results(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(pr, "BATCH_WORDS", 3)
+    rows = [(i, "x y " * (i % 9)) for i in range(30)]
+    found = pr.periodic_runs(docs_of(*rows)).select(*pr._NAMES[:8])
+    assert rows_of(found) == sorted((expected(i, t.encode().split()) for i, t in rows), key=repr)
+
+
+def test_a_very_long_run():
+    words = [b"a", b"b", b"c"] * 200_000
+    assert pr.find_runs([words]) == [[(0, 600_000, 3)]]
+
+
+def test_empty_table(docs_of):
+    assert rows_of(pr.periodic_runs(docs_of((1, "a")).limit(0))) == []

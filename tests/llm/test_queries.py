@@ -14,7 +14,7 @@ from tests.llm.conftest import DOCS, prose, rows_of
 @pytest.mark.parametrize("name", list(llm.ORACLE_SQL))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     want = con.sql(llm.ORACLE_SQL[name])
     names = sorted(want.columns)
