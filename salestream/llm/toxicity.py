@@ -1,70 +1,73 @@
 """Toxicity by the nearest labelled examples.
 
 1. Examples are a bounded sample of the labelled rows: per label the ``MOST_TOXIC`` or ``MOST_CLEAN`` rows
-   of least id hash. Weights undo the different sampling rates.
-2. Terms are words and word beginnings of 4 to 6 letters. The vocabulary is those whose share among
-   the examples differs between labels by a number of standard errors. Which of ``CUTS`` it is, cross-validation over
-   the examples decides: terms are chosen without a fold, and the cut with the least log loss of its calibrated
-   out-of-fold votes is taken. The least cut takes every term. ``MOST_TERMS`` bounds the index in bytes.
-3. Document frequencies of the vocabulary are counted over all documents, in the pass that turns every whole
-   text into term counts; texts are not read again.
+   of least text hash. Weights undo the different sampling rates.
+2. Terms are words and word beginnings of 4 to 6 letters that are in ``LEAST_EXAMPLES`` examples. Their document
+   frequencies are counted over all documents: every task adds up its own, and the sums are added in two steps.
+3. The vocabulary is those terms whose share among the examples differs between labels by a number of standard errors.
+   Which of ``CUTS`` it is, cross-validation over the examples decides: terms are chosen without a fold, and the cut is taken
+   whose out-of-fold votes have the least log loss, each fold calibrated by the others. The least cut takes every term.
 4. A document's nearest ``K`` examples by cosine of TF-IDF vectors over the vocabulary are found exactly with
-   a block-max inverted index: examples in blocks of like ones, the largest weight of each term in each
-   block; blocks are searched in descending order of their bound until no bound exceeds the k-th best.
+   a block-max inverted index: examples in blocks of like ones, postings by term and block with the largest weight of
+   each; blocks are searched in descending order of their bound until no bound exceeds the k-th best.
 5. Votes weighted by similarity and sampling weight (1 on average), with ``PRIOR_VOTES`` votes of the base rate, give a
-   share; the neighbours are the evidence. A document without terms of the vocabulary has the rate that
-   such documents have among the examples.
+   share; the neighbours are the evidence. All examples that tie for the last place share what is left of the ``K`` votes.
+   A document without terms of the vocabulary has the rate that such documents have among the examples.
 6. The score is the toxic rate at that share: a monotone map fitted to the out-of-fold shares of the examples
    (pooled adjacent violators, then linear between the pools).
 
-Index and vocabulary are bounded by the parameters, so they are handed to the tasks; everything else runs
-over all rows. Labels, language, source and id are no inputs of a score.
+Index and vocabulary are bounded by the sample of examples, so they are handed to the tasks; everything else runs
+over all rows, and every term of a document counts. Labels, language, source and id are no inputs of a score: the sample, the
+folds and all ties go by texts, so numbering the documents anew changes no score.
 
-Defined results: null and empty texts have no terms. Rows that repeat an id are scored each; the label of
-an id is the largest of its labels, and null labels are ignored. Without examples of both labels all scores are the
-base rate (0 without any). Equal similarities go to the smaller example id. An empty table gives no rows.
+Defined results: null and empty texts have no terms; texts of any length are read whole, words longer than ``LONGEST_TERM``
+stand as a hash of the whole word. Rows that repeat an id are scored each; the label of an id is the largest of its labels, and
+null labels are ignored. Examples of equal texts are in one fold. A fold that leaves nothing to learn from has the
+base rate. Without examples of both labels all scores are the base rate (0 without any). Other columns are not
+used, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestream.llm.common import in_parts, stored, table
+from salestream.llm.common import in_parts, own_name, stored, table
 
+#: Bounds of the sample that is learned from; the only bounds there are.
 MOST_TOXIC = 2048
 MOST_CLEAN = 4096
-#: Bounds the bytes of the index; the clearest terms stay.
-MOST_TERMS = 8192
 #: Standard errors that a term's share must differ by, one of these.
 CUTS = (0.0, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0)
 FOLDS = 5
 #: A term must be in so many examples.
 LEAST_EXAMPLES = 3
-#: Bounds the terms that are counted at all; the most frequent stay.
-MOST_CANDIDATES = 200_000
 K = 15
 PRIOR_VOTES = 0.5
 BLOCK = 64
 THRESHOLD = 0.7
-#: Longer words are cut, so that the vocabulary's size is bounded in bytes too.
+#: Longer words stand as a hash of the whole word, so that the vocabulary is bounded in bytes too.
 LONGEST_TERM = 40
 WORDS_KEPT = 100_000
+#: Tasks that add up the sums of all others.
+ADDERS = 32
 
 _WORD = re.compile(r"[^\W_]+")
 
 
 def beginnings(word: str) -> list[str]:
-    """The terms of a word: itself (cut) and its beginnings, marked by ``*``."""
-    return [word[:LONGEST_TERM], *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n)]
+    """The terms of a word: itself and its beginnings, marked by ``*``."""
+    whole = word if len(word) <= LONGEST_TERM else "#" + hashlib.sha256(word.encode()).hexdigest()[:32]
+    return [whole, *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n)]
 
 
 def words(text: str | None) -> list[str]:
@@ -78,41 +81,27 @@ def labelled(labels: DataFrame, learnable: Column | None = None) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
 
 
-def choose_examples(labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
-    """The sampled ids (doc_id, toxic), and how many labelled rows a sampled one stands for."""
-    labels = stored(labels, "toxicity-labels")
-    total = {row["toxic"]: row["n"] for row in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def choose_examples(slim: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
+    """The sampled rows (doc_id, text_key, toxic), and how many labelled rows a sampled one stands for."""
+    keys = slim.select("doc_id", "text_key").distinct()
+    rows = stored(keys.join(labels, "doc_id"), "toxicity-labels")
+    total = {row["toxic"]: row["n"] for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     most = {1: MOST_TOXIC, 0: MOST_CLEAN}
-    parts = [labels.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[y]) for y in (0, 1)]
+    parts = [rows.where(F.col("toxic") == y).orderBy("text_key", "doc_id").limit(most[y]) for y in (0, 1)]
     weights = {y: total.get(y, 0) / max(1, min(most[y], total.get(y, 0))) for y in (0, 1)}
     return stored(parts[0].unionByName(parts[1]), "toxicity-sample"), weights
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) to (term, toxic, n), added up over a task."""
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for batch in in_parts(batches):
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts[toxic].update({t for w in set(words(text)) for t in beginnings(w)})
-    for toxic, terms in counts.items():
-        names = list(terms)
-        for at in range(0, len(names), 50_000):
-            part = names[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array([toxic] * len(part), pa.int32()),
-                 pa.array([terms[t] for t in part], pa.int64())], names=["term", "toxic", "n"])
-
-
-def candidate_terms(examples: DataFrame) -> list[str]:
-    """The terms of rows (text, toxic) that are in ``LEAST_EXAMPLES``, or all if none is."""
-    counts = examples.select("text", "toxic").mapInArrow(_count_terms, "term string, toxic int, n long")
-    both = stored(counts.groupBy("term").agg(F.sum("n").alias("n")), "toxicity-terms")
+def candidate_terms(texts: list[str]) -> list[str]:
+    """The terms in ``LEAST_EXAMPLES`` of the texts, or all if none is, the most frequent first."""
+    counts: Counter = Counter()
+    for text in texts:
+        counts.update({t for w in set(words(text)) for t in beginnings(w)})
     for least in (LEAST_EXAMPLES, 1):
-        chosen = both.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(MOST_CANDIDATES)
-        terms = [row["term"] for row in chosen.select("term").collect()]
-        if terms:
+        chosen = sorted((-n, t) for t, n in counts.items() if n >= least)
+        if chosen:
             break
-    return terms
+    return [t for _, t in chosen]
 
 
 def differences(a: np.ndarray, b: np.ndarray, n0: int, n1: int) -> np.ndarray:
@@ -123,12 +112,6 @@ def differences(a: np.ndarray, b: np.ndarray, n0: int, n1: int) -> np.ndarray:
     return np.divide(np.abs(b / n1 - a / n0), error, out=np.zeros(len(a)), where=error > 0)
 
 
-def clearest(z: np.ndarray, cut: float) -> np.ndarray:
-    """The numbers of the terms at or above the cut, ascending."""
-    at = np.flatnonzero(z >= cut)
-    return at if len(at) <= MOST_TERMS else np.sort(at[np.argsort(-z[at], kind="stable")[:MOST_TERMS]])
-
-
 def pools(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Pooled adjacent violators: rows (mean share, toxic rate, weight), both means ascending."""
     at, group = np.unique(shares, return_inverse=True)  # equal shares first
@@ -151,87 +134,112 @@ def calibration(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray, base
     return found[:, 0], np.maximum.accumulate(rates)
 
 
-def _log_loss(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray, base: float) -> float:
-    rate = np.interp(shares, *calibration(shares, toxic, weights, base)).clip(1e-9, 1 - 1e-9)
+def cross_loss(shares: np.ndarray, toxic: np.ndarray, weights: np.ndarray, fold: np.ndarray, base: float) -> float:
+    """Log loss of the shares, those of a fold calibrated by the other folds."""
+    rate = np.full(len(shares), base)
+    for f in range(FOLDS):
+        own = fold == f
+        if own.any() and not own.all():
+            rate[own] = np.interp(shares[own], *calibration(shares[~own], toxic[~own], weights[~own], base))
+    rate = rate.clip(1e-9, 1 - 1e-9)
     return float(-(weights * np.where(toxic, np.log(rate), np.log(1 - rate))).sum() / weights.sum())
 
 
-def fold_shares(examples: list[tuple], n_terms: int, rates: dict[int, float], base: float) -> dict[float, np.ndarray]:
-    """For each cut the share of every example (id, toxic, terms, counts) by the examples outside its fold.
+def voted(sims: np.ndarray, toxic: np.ndarray, stands_for: np.ndarray, base: float) -> float:
+    """The toxic share of the votes of the nearest ``K``; those that tie for the last place share what is left."""
+    sims = sims.round(12)
+    kth = np.partition(sims, -K)[-K] if len(sims) > K else sims.min(initial=0.0)
+    near, last = sims > kth, sims == kth
+    votes = sims * stands_for * (near + last * ((min(K, len(sims)) - near.sum()) / max(1, last.sum())))
+    # summed by value, so that the order of the examples shows nowhere
+    hits = np.sort(votes[toxic]).sum()
+    return float((hits + PRIOR_VOTES * base) / (hits + np.sort(votes[~toxic]).sum() + PRIOR_VOTES))
 
-    The ranks of an example among those of its label deal out the folds. A cut without terms in some fold is left out.
-    """
-    n = len(examples)
-    y = np.array([e[1] for e in examples], dtype=bool)
-    ids = np.array([e[0] for e in examples])
-    stands = np.array([rates[e[1]] for e in examples])
-    fold = np.zeros(n, dtype=int)
-    for label in (False, True):
-        rows = np.flatnonzero(y == label)
-        fold[rows[np.argsort(ids[rows])]] = np.arange(len(rows)) % FOLDS
-    row = np.repeat(np.arange(n), [len(e[2]) for e in examples])
-    term = np.concatenate([np.asarray(e[2], dtype=np.int64) for e in examples])
-    tf = 1 + np.log(np.concatenate([np.asarray(e[3], dtype=float) for e in examples]))
+
+@dataclass
+class Examples:
+    """What is known of the sampled rows, by number."""
+
+    ids: np.ndarray
+    text_keys: np.ndarray
+    toxic: np.ndarray
+    stands_for: np.ndarray
+    terms: list[np.ndarray]
+    counts: list[np.ndarray]
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def folds(self) -> np.ndarray:
+        """Equal texts are in one fold; those of each label are dealt out by text hash."""
+        fold = np.zeros(len(self), dtype=int)
+        for label in (False, True):
+            at = np.flatnonzero(self.toxic == label)
+            fold[at] = np.unique(self.text_keys[at], return_inverse=True)[1] % FOLDS
+        of_toxic = dict(zip(self.text_keys[self.toxic].tolist(), fold[self.toxic].tolist(), strict=True))
+        return np.array([of_toxic.get(k, f) for k, f in zip(self.text_keys.tolist(), fold.tolist(), strict=True)], dtype=int)
+
+
+def fold_shares(known: Examples, idf: np.ndarray, fold: np.ndarray, base: float) -> dict[float, np.ndarray]:
+    """For each cut the share of every example by the examples outside its fold."""
+    n, n_terms, y = len(known), len(idf), known.toxic
+    row = np.repeat(np.arange(n), [len(t) for t in known.terms])
+    term = np.concatenate(known.terms)
+    weight = (1 + np.log(np.concatenate(known.counts).astype(float))) * idf[term]
     out = {cut: np.full(n, base) for cut in CUTS}
     for f in range(FOLDS):
         inside = fold != f
         learn = inside[row]
         a = np.bincount(term[learn & ~y[row]], minlength=n_terms)
         b = np.bincount(term[learn & y[row]], minlength=n_terms)
-        z = differences(a, b, int((inside & ~y).sum()), int((inside & y).sum()))
-        for cut in list(out):
-            chosen = clearest(np.where(a + b > 0, z, -1.0), cut)
-            if not len(chosen):
-                del out[cut]
-                continue
-            used = np.zeros(n_terms, dtype=bool)
-            used[chosen] = True
-            at = np.flatnonzero(used[term])
-            idf = np.log((1 + inside.sum()) / (1 + a + b)) + 1
-            x = tf[at] * idf[term[at]]
+        z = np.where(a + b > 0, differences(a, b, int((inside & ~y).sum()), int((inside & y).sum())), -1.0)
+        for cut, shares in out.items():
+            at = np.flatnonzero((z >= cut)[term])
+            if not len(at) or not inside.any():
+                continue  # nothing to learn from: the base rate
+            x = weight[at]
             length = np.sqrt(np.bincount(row[at], x * x, minlength=n))
-            x /= length[row[at]]
+            x = x / length[row[at]]
             # postings of the examples outside the fold, by term
             held = at[learn[at]]
             order = np.argsort(term[held], kind="stable")
             post_row, post_x = row[held][order], x[learn[at]][order]
             start = np.searchsorted(term[held][order], np.arange(n_terms + 1))
             bare = inside & (length == 0)
+            stands = known.stands_for
             no_terms = ((stands * y)[bare].sum() + PRIOR_VOTES * base) / (stands[bare].sum() + PRIOR_VOTES)
             low = np.searchsorted(row[at], np.arange(n + 1))
             for i in np.flatnonzero(fold == f):
                 own = slice(low[i], low[i + 1])
                 terms = term[at[own]]
                 if not len(terms):
-                    out[cut][i] = no_terms
+                    shares[i] = no_terms
                     continue
                 parts = [slice(start[t], start[t + 1]) for t in terms]
                 sims = np.bincount(np.concatenate([post_row[p] for p in parts]),
                                    np.concatenate([post_x[p] * v for p, v in zip(parts, x[own], strict=True)]), minlength=n)
                 near = np.flatnonzero(sims > 0)
-                if len(near) > K:
-                    near = near[np.lexsort((ids[near], -sims[near].round(9)))[:K]]
-                votes = sims[near] * stands[near]
-                out[cut][i] = (votes[y[near]].sum() + PRIOR_VOTES * base) / (votes.sum() + PRIOR_VOTES)
+                shares[i] = voted(sims[near], y[near], stands[near], base)
     return out
 
 
-def fit(examples: list[tuple], n_terms: int, rates: dict[int, float], base: float) -> tuple[np.ndarray, tuple | None]:
+def fit(known: Examples, idf: np.ndarray, base: float) -> tuple[np.ndarray, tuple | None]:
     """The numbers of the terms that are taken, and the map from shares to rates."""
-    y = np.array([e[1] for e in examples], dtype=bool)
+    y, n_terms = known.toxic, len(idf)
     if not n_terms or y.all() or not y.any():
         return np.zeros(0, dtype=int), None
-    weights = np.array([rates[e[1]] for e in examples])
-    shares = fold_shares(examples, n_terms, rates, base)
-    counts = [np.bincount(np.concatenate([np.asarray(e[2], dtype=np.int64) for e in examples if e[1] == label]),
-                          minlength=n_terms) for label in (0, 1)]
+    fold = known.folds()
+    shares = fold_shares(known, idf, fold, base)
+    counts = [np.bincount(np.concatenate([t for t, of in zip(known.terms, y, strict=True) if of == label]),
+                          minlength=n_terms) for label in (False, True)]
     z = differences(*counts, int((~y).sum()), int(y.sum()))
-    cut = min((c for c in shares if (z >= c).any()), key=lambda c: (round(_log_loss(shares[c], y, weights, base), 6), -c))
-    return clearest(z, cut), calibration(shares[cut], y, weights, base)
+    loss = lambda c: round(cross_loss(shares[c], y, known.stands_for, fold, base), 6)
+    cut = min((c for c in CUTS if (z >= c).any()), key=lambda c: (loss(c), -c))
+    return np.flatnonzero(z >= cut), calibration(shares[cut], y, known.stands_for, base)
 
 
 class TermCounter:
-    """Counts of the vocabulary's terms in a text."""
+    """Terms of the vocabulary in a text, by number."""
 
     def __init__(self, vocabulary: list[str]):
         self.number = {t: i for i, t in enumerate(vocabulary)}
@@ -245,143 +253,189 @@ class TermCounter:
             terms = self.known[word] = tuple(self.number[t] for t in beginnings(word) if t in self.number)
         return terms
 
-    def of_text(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
-        for word, n in Counter(words(text)).items():
-            for t in self.of_word(word):
-                out[t] = out.get(t, 0) + n
-        return out
-
-
-def vectors(df: DataFrame, vocabulary: list[str], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``df`` with terms and counts (arrays) of its column text, stored."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(vocabulary)
-        for batch in in_parts(batches):
-            rows = [sorted(counter.of_text(t).items()) for t in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)],
-                 pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.int32())),
-                 pa.array([[n for _, n in r] for r in rows], pa.list_(pa.int32()))],
-                names=[*keep, "terms", "counts"])
-
-    picked = df.select(*keep, "text")
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.select(*keep).schema)
-    return stored(picked.mapInArrow(run, f"{kinds}, terms array<int>, counts array<int>"), "toxicity-vectors")
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Terms, ascending, and how often each stands there."""
+        found = np.fromiter(chain.from_iterable(map(self.of_word, words(text))), dtype=np.int64)
+        return np.unique(found, return_counts=True)
+
+    def distinct(self, text: str | None) -> set[int]:
+        return set(chain.from_iterable(map(self.of_word, set(words(text)))))
+
+
+def document_frequencies(slim: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
+    """In how many texts each term is, and how many texts there are."""
+    n = len(vocabulary) + 1  # the last counts the texts
+    shared = slim.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by the examples
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, total = TermCounter(shared.value), np.zeros(n, dtype=np.int64)
+        for batch in batches:
+            for part in in_parts([batch]):
+                found: list[int] = []
+                for text in part.column(0).to_pylist():
+                    found.extend(counter.distinct(text))
+                total += np.bincount(np.array(found, dtype=np.int64), minlength=n)
+                total[-1] += part.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n, dtype=np.int64)
+        for batch in batches:
+            for one in batch.column(0):
+                total += np.frombuffer(one.as_py(), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["counts"])
+
+    sums = slim.select("text").mapInArrow(count, "counts binary").repartition(ADDERS).mapInArrow(add, "counts binary")
+    total = np.zeros(n, dtype=np.int64)
+    for row in sums.collect():  # ADDERS rows
+        total += np.frombuffer(row["counts"], dtype=np.int64)
+    return total[:-1], int(total[-1])
 
 
-def inverse_frequencies(found: DataFrame, n_terms: int) -> np.ndarray:
-    n_docs = found.count()
-    rows = found.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()  # bounded by the vocabulary
-    df = np.zeros(n_terms)
-    for row in rows:
-        df[row["t"]] = row["n"]
-    return np.log((1 + n_docs) / (1 + df)) + 1
-
-
-@dataclass
 class Index:
     """Block-max inverted index of the examples, and what their votes need."""
 
-    idf: np.ndarray
-    weights: np.ndarray  # term x example, unit vectors
-    most: np.ndarray  # term x block: largest weight
-    ids: np.ndarray
-    toxic: np.ndarray
-    stands_for: np.ndarray
-    base: float
-    no_terms: float
-    #: Shares and the toxic rates there; without it a share is the score.
-    rate_at: tuple[np.ndarray, np.ndarray] | None = None
-
-    def vector(self, terms: list[int], counts: list[int]) -> np.ndarray:
-        x = (1 + np.log(np.array(counts, dtype=float))) * self.idf[terms]
-        return x / math.sqrt(float((x * x).sum()))
-
-    def nearest(self, terms: list[int], counts: list[int], k: int = K) -> list[tuple[float, int]]:
-        """(similarity, example) of the k nearest, the best first; ties to the smaller id."""
+    def __init__(self, known: Examples, chosen: np.ndarray, idf: np.ndarray, base: float,
+                 rate_at: tuple[np.ndarray, np.ndarray] | None = None):
+        """``chosen``: the numbers of the terms that count, ascending; a term's number is its place there from here on."""
+        self.idf, self.base, self.rate_at = idf[chosen], base, rate_at
+        number = np.full(len(idf), -1)
+        number[chosen] = np.arange(len(chosen))
+        rows, bare = [], []
+        for i, (terms, counts) in enumerate(zip(known.terms, known.counts, strict=True)):
+            held = number[terms] >= 0
+            if held.any():
+                terms = number[terms][held]
+                x = self.vector(terms, counts[held])
+                # like ones side by side, so that a block's largest weights are close to those of its members
+                rows.append((bool(known.toxic[i]), int(terms[x.argmax()]), int(known.text_keys[i]), i, terms, x))
+            else:
+                bare.append(i)
+        rows.sort(key=lambda r: r[:4])
+        of = [r[3] for r in rows]
+        self.ids, self.toxic, self.stands_for = known.ids[of], known.toxic[of], known.stands_for[of]
+        stands, toxic = known.stands_for[bare], known.toxic[bare]
+        self.no_terms = (stands[toxic].sum() + PRIOR_VOTES * base) / (stands.sum() + PRIOR_VOTES)
+        # postings by term and block, with one entry for each of these pairs that occurs
+        self.n_blocks = -(-len(rows) // BLOCK)
+        at = np.repeat(np.arange(len(rows)), [len(r[4]) for r in rows])
+        term = np.concatenate([r[4] for r in rows]) if rows else np.zeros(0, dtype=np.int64)
+        x = np.concatenate([r[5] for r in rows]) if rows else np.zeros(0)
+        order = np.lexsort((at, term))
+        self.post_at, self.post_x, term = at[order], x[order], term[order]
+        pair = term * max(1, self.n_blocks) + self.post_at // BLOCK
+        _, self.entry_from = np.unique(pair, return_index=True)
+        self.entry_block = (self.post_at // BLOCK)[self.entry_from]
+        self.entry_most = np.maximum.reduceat(self.post_x, self.entry_from) if len(pair) else np.zeros(0)
+        self.term_from = np.searchsorted(term[self.entry_from], np.arange(len(chosen) + 1))
+        self.entry_from = np.append(self.entry_from, len(pair))
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        x = (1 + np.log(counts.astype(float))) * self.idf[terms]
+        return x / np.sqrt((x * x).sum())
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and similarities of the k nearest examples and of all that tie with the last of them."""
         x = self.vector(terms, counts)
-        bound = (x[:, None] * self.most[terms]).sum(axis=0)
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] * -1 - 1e-9):
-                break
-            low = int(b) * BLOCK
-            sims = (x[:, None] * self.weights[terms, low:low + BLOCK]).sum(axis=0).round(9)
-            hits = np.flatnonzero(sims > 0) if len(best) < k else np.flatnonzero(sims >= -best[-1][0])
-            if len(hits):
-                best = sorted([*best, *((-float(sims[i]), int(self.ids[low + i]), low + int(i)) for i in hits)])[:k]
-        return [(-s, at) for s, _, at in best]
-
-    def score(self, near: list[tuple[float, int]]) -> float:
-        votes = [(s * self.stands_for[i], self.toxic[i]) for s, i in near]
-        total = sum(v for v, _ in votes)
-        return self.calibrated((sum(v for v, y in votes if y) + PRIOR_VOTES * self.base) / (total + PRIOR_VOTES))
+        low, high = self.term_from[terms], self.term_from[terms + 1]
+        entry = _ranges(low, high)
+        x = np.repeat(x, high - low)
+        block = self.entry_block[entry]
+        bound = np.bincount(block, x * self.entry_most[entry], minlength=self.n_blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        examples, sims, kth, done, size = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0, 0, 8
+        rank = np.full(self.n_blocks, self.n_blocks)
+        rank[order] = np.arange(len(order))
+        place = rank[block]
+        while done < len(order) and (len(sims) < k or bound[order[done]] >= kth - 1e-9):
+            taken = (place >= done) & (place < done + size)
+            own = entry[taken]
+            post = _ranges(self.entry_from[own], self.entry_from[own + 1])
+            part = np.repeat(x[taken], self.entry_from[own + 1] - self.entry_from[own]) * self.post_x[post]
+            hit, at = np.unique(self.post_at[post], return_inverse=True)
+            examples = np.concatenate([examples, hit])
+            sims = np.concatenate([sims, np.bincount(at, part).round(12)])
+            if len(sims) > k:
+                kth = np.partition(sims, -k)[-k]
+                near = sims >= kth
+                examples, sims = examples[near], sims[near]
+            done, size = done + size, size * 2
+        return examples, sims
+
+    def score(self, examples: np.ndarray, sims: np.ndarray) -> float:
+        return self.calibrated(voted(sims, self.toxic[examples], self.stands_for[examples], self.base))
 
     def calibrated(self, share: float) -> float:
         return float(share if self.rate_at is None else np.interp(share, *self.rate_at))
 
 
-def build_index(examples: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray, rates: dict[int, float],
-                base: float, rate_at: tuple[np.ndarray, np.ndarray] | None = None) -> Index:
-    """examples: (id, toxic, terms, counts)."""
-    weight = sum(rates[y] for _, y, _, _ in examples if True)
-    without = [(y, rates[y]) for _, y, terms, _ in examples if not terms]
-    no_terms = (sum(w for y, w in without if y) + PRIOR_VOTES * base) / (sum(w for _, w in without) + PRIOR_VOTES)
-    if not weight:
-        no_terms = base
-    held = [e for e in examples if e[2]]
-    # like ones side by side, so that a block's largest weights are close to those of its members
-    rows = []
-    for doc_id, toxic, terms, counts in held:
-        x = (1 + np.log(np.array(counts, dtype=float))) * idf[terms]
-        x = x / math.sqrt(float((x * x).sum()))
-        rows.append((toxic, int(terms[int(x.argmax())]), doc_id, terms, x))
-    rows.sort(key=lambda r: r[:3])
-    n = max(1, math.ceil(len(rows) / BLOCK)) * BLOCK
-    weights = np.zeros((len(idf), n), dtype=np.float32)
-    ids = np.zeros(n, dtype=np.int64)
-    toxic, stands_for = np.zeros(n, dtype=bool), np.zeros(n)
-    for at, (y, _, doc_id, terms, x) in enumerate(rows):
-        weights[terms, at] = x
-        ids[at], toxic[at], stands_for[at] = doc_id, bool(y), rates[y]
-    most = weights.reshape(len(idf), n // BLOCK, BLOCK).max(axis=2)
-    return Index(idf, weights, most, ids, toxic, stands_for, base, no_terms, rate_at)
-
-
-def search(found: DataFrame, index: Index, keep: list[str]) -> DataFrame:
-    """``keep`` of ``found`` with score and evidence (the nearest examples: doc_id, similarity, toxic)."""
-    shared = found.sparkSession.sparkContext.broadcast(index)  # bounded by terms and examples
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers from each ``low`` to before its ``high``, one range after the other."""
+    size = high - low
+    return np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)
+
+
+_EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
+
+
+def search(slim: DataFrame, vocabulary: list[str], index: Index) -> DataFrame:
+    """doc_id, text_key, score and evidence (the ``K`` nearest examples: doc_id, similarity, toxic) of each row of ``slim``."""
+    shared = slim.sparkSession.sparkContext.broadcast((vocabulary, index))  # bounded by the examples
+
+    def evidence(own: Index, examples: np.ndarray, sims: np.ndarray) -> list[dict]:
+        first = np.lexsort((own.ids[examples], -sims))[:K]
+        return [{"doc_id": int(own.ids[i]), "similarity": float(s), "toxic": int(own.toxic[i])}
+                for i, s in zip(examples[first], sims[first], strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        seen: dict[tuple, tuple[float, list]] = {}
+        terms_of, own = shared.value
+        counter = TermCounter(terms_of)
+        seen: dict[int, tuple[float, list]] = {}
         for batch in in_parts(batches):
-            at = {n: i for i, n in enumerate(batch.schema.names)}
-            scores, evidence = [], []
-            for terms, counts in zip(batch.column(at["terms"]).to_pylist(), batch.column(at["counts"]).to_pylist(),
-                                     strict=True):
-                if not terms:
-                    scores.append(own.calibrated(own.no_terms))
-                    evidence.append([])
-                    continue
-                key = (tuple(terms), tuple(counts))
+            found = []
+            for key, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if key not in seen:
                     if len(seen) > 2_000:
                         seen.clear()
-                    near = own.nearest(terms, counts)
-                    seen[key] = (own.score(near), [
-                        {"doc_id": int(own.ids[i]), "similarity": s, "toxic": int(own.toxic[i])} for s, i in near])
-                scores.append(seen[key][0])
-                evidence.append(seen[key][1])
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
+                    terms, counts = counter.counts(text)
+                    if len(terms):
+                        near = own.nearest(terms, counts)
+                        seen[key] = own.score(*near), evidence(own, *near)
+                    else:
+                        seen[key] = own.calibrated(own.no_terms), []
+                found.append(seen[key])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(at[c]) for c in keep), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
-                names=[*keep, "score", "evidence"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.select(*keep).schema)
-    return found.mapInArrow(
-        run, f"{kinds}, score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>")
+                [batch.column(0), batch.column(1), pa.array([s for s, _ in found], pa.float64()),
+                 pa.array([e for _, e in found], _EVIDENCE)], names=["doc_id", "text_key", "score", "evidence"])
+
+    return slim.select("doc_id", "text_key", "text").mapInArrow(
+        run, "doc_id long, text_key long, score double, evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>")
+
+
+def learned(slim: DataFrame, labels: DataFrame) -> tuple[list[str], Index]:
+    """The vocabulary and the index; slim: doc_id, text_key, text."""
+    sample, rates = choose_examples(slim, labels)
+    # at most MOST_TOXIC + MOST_CLEAN rows; rows that repeat id and text count once
+    texts = slim.join(F.broadcast(sample), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    rows = stored(texts.select("text_key", "doc_id", "toxic", "text"), "toxicity-examples").collect()  # bounded as above
+    rows.sort(key=lambda r: (r["text_key"], r["toxic"], r["doc_id"]))
+    toxic = np.array([r["toxic"] == 1 for r in rows], dtype=bool)
+    stands = np.array([rates[r["toxic"]] for r in rows], dtype=float)
+    base = float(stands[toxic].sum() / stands.sum()) if len(rows) else 0.0
+    # 1 on average, so that the prior counts alike however many rows an example stands for
+    stands = stands / stands.mean() if len(rows) else stands
+    terms = candidate_terms([r["text"] for r in rows]) if toxic.any() and not toxic.all() else []
+    counter = TermCounter(terms)
+    counted = [counter.counts(r["text"]) for r in rows]
+    known = Examples(np.array([r["doc_id"] for r in rows], dtype=np.int64), np.array([r["text_key"] for r in rows], dtype=np.int64),
+                     toxic, stands, [t for t, _ in counted], [n for _, n in counted])
+    idf = np.zeros(0)
+    if terms:
+        found, n_docs = document_frequencies(slim, terms)
+        idf = np.log((1 + n_docs) / (1 + found)) + 1
+    chosen, rate_at = fit(known, idf, base)
+    return [terms[i] for i in chosen], Index(known, chosen, idf, base, rate_at)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, id_col: str = "doc_id",
@@ -392,32 +446,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, learnable: Column | None
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     slim = slim.withColumn("text_key", F.xxhash64("text"))
-    sample, rates = choose_examples(labelled(labels, learnable))
-    # at most MOST_TOXIC + MOST_CLEAN ids; rows that repeat one count once
-    texts = slim.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    texts = stored(texts.select("doc_id", "text", "toxic"), "toxicity-examples")
-    toxic_rows, clean_rows = ((sample.where(F.col("toxic") == y).count() * rates[y]) for y in (1, 0))
-    base = toxic_rows / (toxic_rows + clean_rows) if toxic_rows + clean_rows else 0.0
-    terms = candidate_terms(texts)
-    examples = _collected(vectors(texts, terms, ["doc_id", "toxic"]))  # bounded as above
-    # 1 on average, so that the prior counts alike however many rows an example stands for
-    mean = sum(rates[y] for _, y, _, _ in examples) / max(1, len(examples)) or 1.0
-    rates = {y: rate / mean for y, rate in rates.items()}
-    chosen, rate_at = fit(examples, len(terms), rates, base)
-    number = np.full(len(terms), -1)
-    number[chosen] = np.arange(len(chosen))
-    vocabulary = [terms[i] for i in chosen]
-    found = vectors(slim, vocabulary, ["doc_id", "text_key"])
-    idf = inverse_frequencies(found, len(vocabulary)) if vocabulary else np.zeros(0)
-    taken = [(i, y, number[t][number[t] >= 0], n[number[t] >= 0]) for i, y, t, n in examples]
-    index = build_index([(i, y, t.tolist(), n.tolist()) for i, y, t, n in taken], idf, rates, base, rate_at)
-    return search(found, index, ["doc_id", "text_key"])
-
-
-def _collected(found: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    columns = found.select("doc_id", "toxic", "terms", "counts").toArrow()
-    arrays = [[np.asarray(x.values, dtype=np.int64) for x in columns.column(c)] for c in (2, 3)]
-    return sorted(zip(columns.column(0).to_pylist(), columns.column(1).to_pylist(), *arrays, strict=True), key=lambda e: e[:2])
+    return search(slim, *learned(slim, labelled(labels, learnable)))
 
 
 def held_out() -> Column:
@@ -435,8 +464,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, learnable: Column | None = No
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below the threshold."""
     toxic = score_documents(docs, labels, learnable, id_col, text_col).where(F.col("score") >= THRESHOLD)
-    toxic = stored(toxic.select(F.col("doc_id").alias("toxic_id"), F.col("text_key").alias("toxic_key")).distinct(),
-                   "toxic-rows")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("toxic_id")) & (
-        F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col("toxic_key"))
+    name, key = own_name(docs, "toxic_id"), own_name(docs, "toxic_key")
+    toxic = stored(toxic.select(F.col("doc_id").alias(name), F.col("text_key").alias(key)).distinct(), "toxic-rows")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(name)) & (
+        F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col(key))
     return docs.join(toxic, same, "left_anti")
