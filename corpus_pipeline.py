@@ -5,7 +5,7 @@ that is written and read again as the next one's documents. All but the last ret
 
 1. toxicity: documents that score as toxic go.
 2. line_dedup: lines that repeat across documents go, save in one of them.
-3. near_dedup: one document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) stays.
+3. near_dedup: one document of each group of near copies (SimHash of four-word shingles, at most 4 of 64 bits) stays.
 4. mixing: sources get tempered weights. Every document is used at least once, those of small sources up
    to ``MOST_REPEATS`` times (as repeated rows), so no clean document is lost here.
 5. packing: documents become sequences.
@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestream.llm import line_dedup, mixing, near_copies, packing, toxicity
+from salestream.llm import line_dedup, mixing, packing, simhash, toxicity
 from salestream.llm.common import stored, table
 
 #: The most any source is repeated relative to the least repeated one.
@@ -38,7 +38,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: Nearest neighbours, fingerprints and tokens are beyond SQL; tests hold every stage against brute force.
+#: Nearest neighbours, fingerprints and tokens are beyond SQL; tests/llm holds the operators against brute force.
 ORACLE_SQL = None
 
 
