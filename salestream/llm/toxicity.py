@@ -34,7 +34,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +56,7 @@ BLOCK = 64
 THRESHOLD = 0.7
 #: Longer words stand as a hash of the whole word, so that the vocabulary is bounded in bytes too.
 LONGEST_TERM = 40
-WORDS_KEPT = 100_000
+WORDS_KEPT = 400_000
 #: Tasks that add up the sums of all others.
 ADDERS = 32
 
@@ -156,6 +155,12 @@ def voted(sims: np.ndarray, toxic: np.ndarray, stands_for: np.ndarray, base: flo
     return float((hits + PRIOR_VOTES * base) / (hits + np.sort(votes[~toxic]).sum() + PRIOR_VOTES))
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers from each ``low`` to before its ``high``, one range after the other."""
+    size = high - low
+    return np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)
+
+
 @dataclass
 class Examples:
     """What is known of the sampled rows, by number."""
@@ -215,9 +220,9 @@ def fold_shares(known: Examples, idf: np.ndarray, fold: np.ndarray, base: float)
                 if not len(terms):
                     shares[i] = no_terms
                     continue
-                parts = [slice(start[t], start[t + 1]) for t in terms]
-                sims = np.bincount(np.concatenate([post_row[p] for p in parts]),
-                                   np.concatenate([post_x[p] * v for p, v in zip(parts, x[own], strict=True)]), minlength=n)
+                post = _ranges(start[terms], start[terms + 1])
+                part = np.repeat(x[own], start[terms + 1] - start[terms]) * post_x[post]
+                sims = np.bincount(post_row[post], part, minlength=n)
                 near = np.flatnonzero(sims > 0)
                 shares[i] = voted(sims[near], y[near], stands[near], base)
     return out
@@ -238,28 +243,48 @@ def fit(known: Examples, idf: np.ndarray, base: float) -> tuple[np.ndarray, tupl
     return np.flatnonzero(z >= cut), calibration(shares[cut], y, known.stands_for, base)
 
 
-class TermCounter:
-    """Terms of the vocabulary in a text, by number."""
+class _WordNumbers(dict):
+    """Numbers of words by their terms of the vocabulary, as words come up; 0 for words without any."""
 
-    def __init__(self, vocabulary: list[str]):
-        self.number = {t: i for i, t in enumerate(vocabulary)}
-        self.known: dict[str, tuple[int, ...]] = {}
+    def __init__(self, number: dict[str, int]):
+        super().__init__()
+        self.number = number
+        self.terms: list[int] = []
+        self.ends = [0]
 
-    def of_word(self, word: str) -> tuple[int, ...]:
-        terms = self.known.get(word)
-        if terms is None:
-            if len(self.known) > WORDS_KEPT:
-                self.known.clear()
-            terms = self.known[word] = tuple(self.number[t] for t in beginnings(word) if t in self.number)
-        return terms
+    def __missing__(self, word: str) -> int:
+        terms = [self.number[t] for t in beginnings(word) if t in self.number]
+        if terms:
+            self.terms += terms
+            self.ends.append(len(self.terms))
+        self[word] = len(self.ends) - 1 if terms else 0
+        return self[word]
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Terms, ascending, and how often each stands there."""
-        found = np.fromiter(chain.from_iterable(map(self.of_word, words(text))), dtype=np.int64)
-        return np.unique(found, return_counts=True)
 
-    def distinct(self, text: str | None) -> set[int]:
-        return set(chain.from_iterable(map(self.of_word, set(words(text)))))
+class TermCounter:
+    """Terms of the vocabulary in texts, by number; many texts at once."""
+
+    def __init__(self, vocabulary: list[str]):
+        self.number = {t: i for i, t in enumerate(vocabulary)}
+        self.known = _WordNumbers(self.number)
+
+    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, terms and how often each stands there, by row and term."""
+        if len(self.known) > WORDS_KEPT:
+            self.known = _WordNumbers(self.number)
+        found, sizes = [], []
+        for text in texts:
+            numbers = list(map(self.known.__getitem__, words(text)))
+            found += numbers
+            sizes.append(len(numbers))
+        word = np.array(found, dtype=np.int64) - 1
+        row = np.repeat(np.arange(len(texts)), sizes)[word >= 0]
+        word = word[word >= 0]
+        ends = np.array(self.known.ends, dtype=np.int64)
+        term = np.array(self.known.terms, dtype=np.int64)[_ranges(ends[word], ends[word + 1])]
+        n_terms = max(1, len(self.number))
+        pair, n = np.unique(np.repeat(row, ends[word + 1] - ends[word]) * n_terms + term, return_counts=True)
+        return pair // n_terms, pair % n_terms, n
 
 
 def document_frequencies(slim: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
@@ -271,10 +296,7 @@ def document_frequencies(slim: DataFrame, vocabulary: list[str]) -> tuple[np.nda
         counter, total = TermCounter(shared.value), np.zeros(n, dtype=np.int64)
         for batch in batches:
             for part in in_parts([batch]):
-                found: list[int] = []
-                for text in part.column(0).to_pylist():
-                    found.extend(counter.distinct(text))
-                total += np.bincount(np.array(found, dtype=np.int64), minlength=n)
+                total += np.bincount(counter.counts(part.column(0).to_pylist())[1], minlength=n)
                 total[-1] += part.num_rows
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["counts"])
 
@@ -301,7 +323,7 @@ class Index:
         self.idf, self.base, self.rate_at = idf[chosen], base, rate_at
         number = np.full(len(idf), -1)
         number[chosen] = np.arange(len(chosen))
-        rows, bare = [], []
+        rows, without = [], np.ones(len(known), dtype=bool)
         for i, (terms, counts) in enumerate(zip(known.terms, known.counts, strict=True)):
             held = number[terms] >= 0
             if held.any():
@@ -309,12 +331,11 @@ class Index:
                 x = self.vector(terms, counts[held])
                 # like ones side by side, so that a block's largest weights are close to those of its members
                 rows.append((bool(known.toxic[i]), int(terms[x.argmax()]), int(known.text_keys[i]), i, terms, x))
-            else:
-                bare.append(i)
+                without[i] = False
         rows.sort(key=lambda r: r[:4])
-        of = [r[3] for r in rows]
+        of = np.array([r[3] for r in rows], dtype=np.int64)
         self.ids, self.toxic, self.stands_for = known.ids[of], known.toxic[of], known.stands_for[of]
-        stands, toxic = known.stands_for[bare], known.toxic[bare]
+        stands, toxic = known.stands_for[without], known.toxic[without]
         self.no_terms = (stands[toxic].sum() + PRIOR_VOTES * base) / (stands.sum() + PRIOR_VOTES)
         # postings by term and block, with one entry for each of these pairs that occurs
         self.n_blocks = -(-len(rows) // BLOCK)
@@ -370,12 +391,6 @@ class Index:
         return float(share if self.rate_at is None else np.interp(share, *self.rate_at))
 
 
-def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """All numbers from each ``low`` to before its ``high``, one range after the other."""
-    size = high - low
-    return np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)
-
-
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
 
@@ -393,14 +408,15 @@ def search(slim: DataFrame, vocabulary: list[str], index: Index) -> DataFrame:
         counter = TermCounter(terms_of)
         seen: dict[int, tuple[float, list]] = {}
         for batch in in_parts(batches):
-            found = []
-            for key, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            found, keys = [], batch.column(1).to_pylist()
+            rows, terms, counts = counter.counts(batch.column(2).to_pylist())
+            starts = np.searchsorted(rows, np.arange(len(keys) + 1)).tolist()
+            for key, low, high in zip(keys, starts, starts[1:], strict=False):
                 if key not in seen:
                     if len(seen) > 2_000:
                         seen.clear()
-                    terms, counts = counter.counts(text)
-                    if len(terms):
-                        near = own.nearest(terms, counts)
+                    if high > low:
+                        near = own.nearest(terms[low:high], counts[low:high])
                         seen[key] = own.score(*near), evidence(own, *near)
                     else:
                         seen[key] = own.calibrated(own.no_terms), []
@@ -426,10 +442,10 @@ def learned(slim: DataFrame, labels: DataFrame) -> tuple[list[str], Index]:
     # 1 on average, so that the prior counts alike however many rows an example stands for
     stands = stands / stands.mean() if len(rows) else stands
     terms = candidate_terms([r["text"] for r in rows]) if toxic.any() and not toxic.all() else []
-    counter = TermCounter(terms)
-    counted = [counter.counts(r["text"]) for r in rows]
+    at, term, count = TermCounter(terms).counts([r["text"] for r in rows])
+    cuts = np.searchsorted(at, np.arange(1, len(rows)))
     known = Examples(np.array([r["doc_id"] for r in rows], dtype=np.int64), np.array([r["text_key"] for r in rows], dtype=np.int64),
-                     toxic, stands, [t for t, _ in counted], [n for _, n in counted])
+                     toxic, stands, np.split(term, cuts), np.split(count, cuts))
     idf = np.zeros(0)
     if terms:
         found, n_docs = document_frequencies(slim, terms)
