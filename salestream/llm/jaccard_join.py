@@ -10,7 +10,8 @@ seen from the smaller and 2 b / 9 as seen from the larger one.
    shingles it has there. Empty partitions have none. A set with more occupied partitions than it may
    differ in shares a signature with every partner. One with fewer also takes part in a further instance of the
    same band with another cut, until it has enough; two such sets meet there.
-3. Signatures that one set alone has are dropped by an aggregation. Of what is left, a signature of more than ``COLD`` sets is
+3. Signatures that one set alone has are dropped after the one shuffle of all signatures; very frequent ones are found by a
+   sketch and combined before it. Of what is left, a signature of more than ``COLD`` sets is
    hot. A set whose other signatures, unique ones included, still outnumber what it may differ in does not
    need its hot ones: each of its partners is met on one of the others. So only sets made mostly of what very many
    share, such as members of a large group of near copies, are compared under hot signatures.
@@ -35,9 +36,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from salestream.llm.common import fits_broadcast, in_parts, stored, table
+from salestream.llm.common import fits_broadcast, in_parts, remove, stored, table, write_path
 from salestream.llm.simhash import components, shingle_hashes
 
 SHINGLE = 5
@@ -48,7 +50,9 @@ SPARE = 1.2
 #: A signature of more sets is hot.
 COLD = 32
 #: Least sets of its signatures that a set is compared with at first.
-FIRST_LINKS = 4
+FIRST_LINKS = 2
+#: Signatures that the sketch names, its counters, and the least count to name one.
+NAMED, COUNTERS, LEAST_NAMED = 4096, 16384, 1000
 #: Up to so many rows are handed to every task; more are shuffled.
 MOST_KEYS = 200_000
 SKETCH = ("s0", "s1", "s2", "s3")
@@ -182,42 +186,69 @@ def _near():
     return (F.least(a, b) * 5 >= F.greatest(a, b) * 4) & (flipped * 9 <= a + b)
 
 
+def _shared(flat: DataFrame) -> DataFrame:
+    """sig, node, head of the signatures that several nodes of ``flat`` (node, sig) have.
+
+    A sketch names the most frequent ones; their rows are combined before they are shuffled. All other rows are shuffled
+    once and meet by signature. Which are named changes the work only.
+    """
+    named = (
+        flat.agg(F.expr(f"approx_top_k(sig, {NAMED}, {COUNTERS})").alias("top")).select(F.explode("top").alias("top"))
+        .where(F.col("top.count") >= LEAST_NAMED).select(F.col("top.item").alias("sig"))
+    )
+    named = F.broadcast(stored(named, "jaccard-named"))  # at most NAMED rows
+    heavy = flat.join(named, "sig", "left_semi").distinct()
+    heads = heavy.groupBy("sig").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last")
+    heavy = heavy.join(F.broadcast(heads), "sig").select("sig", "node", "head")
+    same = W.partitionBy("sig")
+    others = (
+        flat.join(named, "sig", "left_anti")
+        .withColumns({"head": F.min("node").over(same), "last": F.max("node").over(same)})
+        .where("head <> last").select("sig", "node", "head").distinct()
+    )
+    return heavy.unionByName(others)
+
+
 class Join:
     """The join of one table of texts with itself, up to its candidates."""
 
     def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
         slim = df.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("text_key"),
                          F.col(text_col).cast("binary").alias("text"))
-        self.rows = stored(slim.mapInArrow(_sign, _SIGNED), "jaccard-signatures")
         self.texts = slim.select(_row_key(F.col("doc_id"), F.col("text_key")).alias("row_key"), "text")
+        path = write_path(slim.mapInArrow(_sign, _SIGNED), "jaccard-signatures")
+        rows = df.sparkSession.read.schema(_SIGNED).parquet(path)
+        self.rows = stored(rows.select("doc_id", "node", "size"), "jaccard-rows")
         best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("best")
         #: node, size, sketch, best (its least row); one row for each different set that is not empty
-        self.nodes = stored(self.rows.where("size > 0").groupBy("node").agg(
+        self.nodes = stored(rows.where("size > 0").groupBy("node").agg(
             best, *(F.min(c).alias(c) for c in ("size", *SKETCH))), "jaccard-nodes")
-        signed = self.rows.select("node", F.explode("groups").alias("g"))
-        flat = signed.select("node", F.explode("g.sigs").alias("sig"))
-        shared = flat.groupBy("sig").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last")
-        shared = stored(shared.select("sig", "head"), "jaccard-shared")
-        shared = F.broadcast(shared) if fits_broadcast(shared, MOST_KEYS) else shared
+        signed = rows.select("node", F.explode("groups").alias("g"))
+        #: node, instance, spare
+        self.spare = stored(signed.select("node", "g.instance", "g.spare").distinct(), "jaccard-spare")
         #: sig, node, head: the least node of the signature; signatures of two or more sets
-        self.members = stored(flat.join(shared, "sig").groupBy("sig", "node").agg(F.min("head").alias("head")),
-                              "jaccard-members")
-        self.spare = signed.select("node", "g.instance", "g.spare").distinct()
+        self.members = stored(_shared(signed.select("node", F.explode("g.sigs").alias("sig"))), "jaccard-members")
+        remove(df.sparkSession, path)
 
     def _facts(self, side: str) -> DataFrame:
         return self.nodes.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("size", *SKETCH)))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) whose whole sets are similar, stored."""
-        pairs = stored(pairs, "jaccard-pairs")
+        spark = pairs.sparkSession
+        paths = [write_path(pairs, "jaccard-pairs")]
+        pairs = spark.read.schema("a long, b long").parquet(paths[0])
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         keys = self.nodes.select("node", _row_key(F.col("best.doc_id"), F.col("best.text_key")).alias("row_key"))
         wanted = stored(keys.join(wanted, "node", "left_semi"), "jaccard-wanted")
         wanted = F.broadcast(wanted) if fits_broadcast(wanted, MOST_KEYS) else wanted
-        texts = stored(self.texts.join(wanted, "row_key").select("node", "text").dropDuplicates(["node"]), "jaccard-texts")
+        paths.append(write_path(self.texts.join(wanted, "row_key").select("node", "text").dropDuplicates(["node"]), "jaccard-texts"))
+        texts = spark.read.schema("node long, text binary").parquet(paths[1])
         of = lambda side: texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
         full = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
-        return stored(full.mapInArrow(_keep_similar, "a long, b long"), "jaccard-links")
+        links = stored(full.mapInArrow(_keep_similar, "a long, b long"), "jaccard-links")
+        remove(spark, *paths)
+        return links
 
     def first_pairs(self) -> DataFrame:
         """a, b: sets and the least sets of their signatures."""

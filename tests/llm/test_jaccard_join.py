@@ -72,6 +72,7 @@ def test_same_as_brute_force(spark, docs_of, monkeypatch, cold):
 def test_groups_of_near_copies_by_shuffles(spark, docs_of, monkeypatch):
     monkeypatch.setattr(jj, "MOST_KEYS", 0)
     monkeypatch.setattr(jj, "COLD", 4)
+    monkeypatch.setattr(jj, "LEAST_NAMED", 10)
     pick = random.Random(6)
     base = prose(1, 100, 3000)
     rows = [(i, changed(base, 1, pick)) for i in range(60)] + [(100 + i, changed(base, 2, pick)) for i in range(60)]
