@@ -30,8 +30,8 @@ def add_source_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--width", default=WINDOW)
     parser.add_argument(
         "--slide",
-        help="defaults to the width: windows do not overlap. A stream copies each event to all "
-             "windows that hold it; for many, stream panes and derive the windows on reading",
+        help="defaults to the width: windows do not overlap. A log gets panes, from which the report job makes the "
+             "windows",
     )
 
 

@@ -15,7 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from salestream.jobs.common import add_session_arguments, session
-from salestream.operators import serving, text_report
+from salestream.operators import manifest, serving, text_report
+from salestream.operators.aggregate import WINDOW, sliding_windows
 
 # Headings of the printed reports.
 HEADINGS = (
@@ -38,6 +39,8 @@ def parser() -> argparse.ArgumentParser:
         "--every-emission", action="store_true",
         help="count each emission of the log, as an append-only store does",
     )
+    p.add_argument("--width", default=WINDOW)
+    p.add_argument("--slide", help="the log has panes; make windows of --width every --slide of them")
     p.add_argument("--output-path", help="folder for the whole reports, as text")
     p.add_argument("--lines", type=int, default=1000, help="lines printed of a report at most")
     add_session_arguments(p)
@@ -45,10 +48,16 @@ def parser() -> argparse.ArgumentParser:
 
 
 def current_windows(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """A log is read with its compacted table, wherever its manifest says that is."""
     if args.windows_path:
         return serving.read_windows(spark, args.windows_path, args.format)
-    log = serving.read_log(spark, args.log_path, args.format)
-    return log if args.every_emission else serving.latest(log)
+    if args.every_emission:
+        found = manifest.read(spark, args.log_path)
+        if found is not None and found.folded is not None:
+            raise SystemExit("the log is compacted: earlier emissions of its windows are no longer kept")
+        return serving.read_log(spark, args.log_path, args.format)
+    windows = serving.latest(serving.read_current(spark, args.log_path, fmt=args.format))
+    return sliding_windows(windows, args.width, args.slide) if args.slide else windows
 
 
 def write(windows: DataFrame, path: str) -> None:

@@ -50,21 +50,26 @@ def _totals(events: DataFrame, counted: str, *keys: Column | str) -> DataFrame:
     )
 
 
-def _stream_windows(
-    events: DataFrame, width: str, slide: str, watermark: str, counted: str
-) -> DataFrame:
-    # The whole window struct is the key: it carries the watermark that lets
-    # Spark drop finished windows from the state. A watermark needs a TIMESTAMP: a
-    # wall-clock time is taken as if it were UTC while windows are found.
+def timed(events: DataFrame, watermark: str) -> tuple[DataFrame, Column, Column]:
+    """Stream events with a watermark, and the bounds of their column ``window`` once they have one.
+
+    A watermark needs a TIMESTAMP: a wall-clock time is taken as if it were UTC while windows are found.
+    """
     time, start, end = F.col("event_time"), F.col("window.start"), F.col("window.end")
     if isinstance(events.schema["event_time"].dataType, T.TimestampNTZType):
         zone = F.lit(events.sparkSession.conf.get("spark.sql.session.timeZone"))
         time = F.from_utc_timestamp(time.cast("timestamp"), zone)
         start, end = F.to_utc_timestamp(start, zone), F.to_utc_timestamp(end, zone)
-    timed = events.withColumn("event_time", time)
-    window = F.window("event_time", width, slide)
-    timed = timed.withWatermark("event_time", watermark)
-    return _totals(timed, counted, window, "category").select(
+    return events.withColumn("event_time", time).withWatermark("event_time", watermark), start, end
+
+
+def _stream_windows(
+    events: DataFrame, width: str, slide: str, watermark: str, counted: str
+) -> DataFrame:
+    # The whole window struct is the key: it carries the watermark that lets
+    # Spark drop finished windows from the state.
+    marked, start, end = timed(events, watermark)
+    return _totals(marked, counted, F.window("event_time", width, slide), "category").select(
         start.alias("window_start"),
         end.alias("window_end"),
         "category",
@@ -73,6 +78,29 @@ def _stream_windows(
     )
 
 
+def chained_windows(
+    events: DataFrame,
+    width: str,
+    slide: str,
+    watermark: str = WATERMARK,
+    counted: str = "sale_id",
+) -> DataFrame:
+    """Overlapping windows of a stream that are final when they appear, made of panes.
+
+    Two stateful steps in one query, for append mode (``streaming.start_final_windows``): events are summed to panes,
+    and the windows are summed from panes as the watermark closes them. Each event updates one pane; only the rows of
+    closed panes are copied to the windows that cover them. State holds the open panes, and per window one row.
+    """
+    marked, start, end = timed(events, watermark)
+    pane = F.window("event_time", pane_width(width, slide)).alias("pane")
+    panes = _totals(marked, counted, pane, "category")
+    window = F.window(F.col("pane"), width, slide).alias("window")
+    summed = panes.groupBy(window, "category").agg(
+        F.sum("revenue").alias("revenue"), F.sum("sales_count").alias("sales_count"))
+    return summed.select(
+        start.alias("window_start"), end.alias("window_end"), "category", "revenue", "sales_count")
+
+
 def _table_windows(
     events: DataFrame, width: str, slide: str, counted: str, panes: bool
 ) -> DataFrame:

@@ -7,14 +7,21 @@ window and category, which is the upsert a plain append cannot give.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salestream import files
+from salestream.operators import manifest
+from salestream.operators.manifest import Manifest
 from salestream.schema import LOG_SCHEMA, WINDOW_SCHEMA
 
+_GENERATION = "generation-"
+
 
 def _stored(
     spark: SparkSession, path: str, fmt: str, schema: StructType, missing_ok: bool
@@ -70,82 +77,123 @@ def _newest(log: DataFrame) -> DataFrame:
         *newest, F.max("batch_id").alias("batch_id")).select(LOG_SCHEMA.fieldNames())
 
 
-def _generation(spark: SparkSession, table_path: str) -> int | None:
-    """The last batch of the newest complete generation of a compacted table."""
-    names = [n for n in files.children(spark, table_path) if n.startswith("upto=")]
-    done = [n for n in names if files.exists(spark, f"{table_path}/{n}/_SUCCESS")]
-    return max((int(n.removeprefix("upto=")) for n in done), default=None)
+def _live(spark: SparkSession, log_path: str, fmt: str, found: Manifest) -> DataFrame:
+    """The rows of the batches that are live in ``found``; other folders are not opened."""
+    if not found.batches:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    live = F.lit(False)
+    for first, last in found.batches:
+        live = live | F.col("batch_id").between(first, last)
+    return read_log(spark, log_path, fmt).filter(live)
+
+
+def _folded(spark: SparkSession, fmt: str, found: Manifest, days: list[str] | None = None) -> DataFrame:
+    """The rows of the compacted table, or of some of its days."""
+    wanted = sorted(found.days if days is None else found.days.keys() & set(days))
+    if not wanted:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    paths = [f"{found.table}/{found.days[day]}/day={day}" for day in wanted]
+    return spark.read.format(fmt).schema(LOG_SCHEMA).load(paths)
 
 
 def read_current(
-    spark: SparkSession, log_path: str, table_path: str, fmt: str = "parquet",
-    last: int | None = None,
+    spark: SparkSession, log_path: str, table_path: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """The current table from the newest generation and the batches after it.
+    """The current table from the compacted days and the batches after them, with batch ids.
 
-    Equal to ``latest(read_log(...))``, but only later batches are read from the log.
-    It has the batch ids; ``last`` leaves out batches after that one.
+    Equal to ``latest(read_log(...))`` of a log that was never compacted. What belongs to it is read from the manifest
+    once, so a compaction that runs meanwhile is seen whole or not at all. ``table_path`` need not be stated; if it
+    is, it must be where the manifest says.
     """
-    upto = _generation(spark, table_path)
-    log = read_log(spark, log_path, fmt, missing_ok=upto is not None)
-    if last is not None:
-        log = log.filter(F.col("batch_id") <= last)
-    if upto is None:
-        return _newest(log)
-    later = log.filter(F.col("batch_id") > upto)
-    folded = spark.read.format(fmt).schema(LOG_SCHEMA).load(f"{table_path}/upto={upto}")
-    return _newest(folded.unionByName(later))
+    found = manifest.read(spark, log_path)
+    if found is None:
+        return _newest(read_log(spark, log_path, fmt))
+    if table_path and found.table and table_path != found.table:
+        raise ValueError(f"the log {log_path} is compacted to {found.table}, not {table_path}")
+    return _newest(_folded(spark, fmt, found).unionByName(_live(spark, log_path, fmt, found)))
+
+
+def _day() -> Column:
+    return F.date_format("window_start", "yyyy-MM-dd")
 
 
 def compact(
     spark: SparkSession, log_path: str, table_path: str, fmt: str = "parquet"
 ) -> int | None:
-    """Fold all batches of the log into a new generation; returns the last one folded.
+    """Fold the live batches of the log into the compacted table; returns the last one folded.
 
-    A generation is a folder of its own and readers take the newest complete one, so
-    nothing that is being read is ever replaced. An interrupted compaction leaves a folder
-    without ``_SUCCESS``, which the next one replaces. A stream may write meanwhile; the
-    batches it adds are left for the next compaction.
+    The table is kept by day of the window (session zone). Only days that the batches touch are written again, into a
+    new generation of their own; all other files stay as they are. Nothing that is being read is replaced: the new
+    generation counts once the manifest names it. An interrupted compaction leaves files that no manifest names, which
+    ``drop_folded`` deletes. A stream may write meanwhile; the batches it adds stay live. Of two compactions
+    at once the second to finish fails and changes nothing.
     """
-    names = [n for n in files.children(spark, log_path) if n.startswith("batch_id=")]
-    last = max((int(n.removeprefix("batch_id=")) for n in names), default=None)
-    before = _generation(spark, table_path)
-    if last is None or (before is not None and last <= before):
-        return before
-    rows = read_current(spark, log_path, table_path, fmt, last)
-    rows.sortWithinPartitions("window_start", "category").write.format(fmt).mode("overwrite").save(
-        f"{table_path}/upto={last}")
+    found = manifest.read(spark, log_path) or manifest.listed(spark, log_path)
+    last = found.last
+    if last is None:
+        return found.folded
+    live = _live(spark, log_path, fmt, found)
+    touched = live.agg(F.collect_set(_day())).first()[0]  # as many as days
+    rows = _newest(_folded(spark, fmt, found, touched).unionByName(live))
+    generation = f"{_GENERATION}{last:012}-{uuid.uuid4().hex[:8]}"
+    # a day's rows meet in few tasks, so a day has few files; sorting lets a lookup skip row groups
+    dealt = rows.withColumn("day", _day()).repartitionByRange("window_start", "category")
+    (
+        dealt.sortWithinPartitions("day", "window_start", "category").write.format(fmt).partitionBy("day")
+        .option("partitionOverwriteMode", "static").mode("overwrite").save(f"{table_path}/{generation}")
+    )
+
+    def step(now: Manifest) -> Manifest:
+        if (now.stream, now.folded, now.table, now.days) != (found.stream, found.folded, found.table, found.days):
+            raise RuntimeError(f"{log_path} was compacted or emptied by another run meanwhile")
+        days = {**now.days, **dict.fromkeys(touched, generation)}
+        return replace(now, folded=last, table=table_path, days=days, batches=now.without(last))
+
+    manifest.change(spark, log_path, step)
     return last
 
 
-def drop_folded(spark: SparkSession, log_path: str, table_path: str) -> None:
-    """Delete the batches that the newest generation holds, and older generations.
+def drop_folded(spark: SparkSession, log_path: str, table_path: str | None = None) -> None:
+    """Delete what the manifest no longer names: folded batches, days that a later generation holds, leftovers.
 
-    Run it when no reader still uses them.
+    Run it when no reader still uses them and no compaction runs.
     """
-    upto = _generation(spark, table_path)
-    if upto is None:
+    found = manifest.read(spark, log_path)
+    if found is None:
         return
-    for path, prefix, stop in ((log_path, "batch_id=", upto + 1), (table_path, "upto=", upto)):
-        for name in files.children(spark, path):
-            if name.startswith(prefix) and int(name.removeprefix(prefix)) < stop:
-                files.delete(spark, f"{path}/{name}")
+    for name in files.children(spark, log_path):
+        if name.startswith("batch_id=") and found.folded is not None:
+            if int(name.removeprefix("batch_id=")) <= found.folded:
+                files.delete(spark, f"{log_path}/{name}")
+    table_path = found.table or table_path
+    generations = files.children(spark, table_path) if table_path else []
+    for generation in (g for g in generations if g.startswith(_GENERATION)):
+        named = {f"day={day}" for day, of in found.days.items() if of == generation}
+        if not named:
+            files.delete(spark, f"{table_path}/{generation}")
+            continue
+        for name in files.children(spark, f"{table_path}/{generation}"):
+            if name.startswith("day=") and name not in named:
+                files.delete(spark, f"{table_path}/{generation}/{name}")
 
 
 def truncate(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
-    """Remove all rows of the log at ``path``.
+    """Remove all rows of the log at ``path`` and forget its stream and its compacted table.
 
-    Batch ids start again at 0 with a new checkpoint, so truncate the log and
-    discard the stream's checkpoint (and a compacted table) together, while the stream is
-    stopped; a stream refuses to start on one without the other.
+    Batch ids start again at 0 with a new checkpoint. The checkpoint of the stream so far is refused from now on, and a running
+    one fails at its next batch; a new one may start. Files of the compacted table are no longer read.
     """
     if not path:
         raise ValueError("truncate needs the path of the log")
+    manifest.change(spark, path, lambda found: Manifest(version=found.version), create=True)
     (
         spark.createDataFrame([], LOG_SCHEMA)
         .write.format(fmt)
         .partitionBy("batch_id")
-        .option("partitionOverwriteMode", "static")
-        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("append")
         .save(path)
     )
+    for name in files.children(spark, path):
+        if name.startswith("batch_id="):
+            files.delete(spark, f"{path}/{name}")

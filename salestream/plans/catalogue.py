@@ -15,9 +15,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salestream import sinks, sources, streaming
 from salestream.functions import to_cents
-from salestream.operators import parse, reconcile, reports, serving, text_report
+from salestream.operators import (
+    baseline,
+    digests,
+    manifest,
+    parse,
+    reconcile,
+    reports,
+    rollup,
+    serving,
+    text_report,
+)
 from salestream.operators.aggregate import (
     WATERMARK,
+    chained_windows,
     events_in_window,
     pane_width,
     sliding_windows,
@@ -25,6 +36,7 @@ from salestream.operators.aggregate import (
 )
 from salestream.schema import (
     SALE_COLUMNS,
+    WINDOW_SCHEMA,
     as_sales,
     from_documents,
     in_session_time,
@@ -35,8 +47,12 @@ from salestream.workspace import new_path
 
 HOUR = "1 hour"
 HALF = "30 minutes"
+QUARTER = "15 minutes"
 CATEGORY = "purchase"
 WINDOW_START = "2024-01-15 12:00:00"
+LATER_DAYS = "2024-01-20"
+CORRECTED_DAY = "2024-01-10"
+EMPTIED_DAY = "2024-01-12"
 DRAIN = {"availableNow": True}
 SLICES = 4
 FILES_PER_SLICE = 4
@@ -169,6 +185,17 @@ def partition_profile(spark, sf_dir):
     return sources.partition_profile(envelope)
 
 
+def offset_gaps(spark, sf_dir):
+    """A topic that lost some offsets and has others twice, also across the borders of the ranges."""
+    placed, offset = placed_sales(spark, sf_dir), F.col("offset")
+    lost = offset.between(95, 104) | (offset % 97).isin(13, 14)
+    twice = offset.between(195, 205) | (offset % 101 == 7)
+    kept = placed.filter(~lost).withColumn("copies", F.when(twice, F.lit(2)).otherwise(F.lit(1)))
+    sent = kept.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    envelope = sinks.to_envelope(sent, keep=("topic", "partition", "offset"))
+    return sources.offset_gaps(envelope, offsets_per_range=100)
+
+
 def peek_messages(spark, sf_dir):
     """The first messages of the topic; only those are encoded."""
     place = ("partition", "offset")
@@ -236,6 +263,15 @@ def anomalous_windows(spark, sf_dir):
     return cents(found, "revenue", "deviation")
 
 
+def anomalies_by_baseline(spark, sf_dir):
+    """Quarter hours far from earlier ones of their hour of the week; the baseline is merged from four parts."""
+    windows = windowed_sales(sales(spark, sf_dir), QUARTER)
+    part = F.minute("window_start")
+    parts = [baseline.states(windows.filter(part == n)) for n in (0, 15, 30, 45)]
+    merged = baseline.merge(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]))
+    return cents(baseline.anomalies(windows, merged, 2.0), "revenue", "expected", "deviation")
+
+
 def serving_documents(spark, sf_dir):
     return to_documents(cents(hourly(spark, sf_dir)))
 
@@ -268,7 +304,8 @@ def category_distribution_lines(spark, sf_dir):
 
 
 def drain_slices(
-    spark: SparkSession, sf_dir: str, path: str, slices: Sequence[int] = range(SLICES)
+    spark: SparkSession, sf_dir: str, path: str, slices: Sequence[int] = range(SLICES),
+    start: Callable[[DataFrame], StreamingQuery] | None = None,
 ) -> None:
     """Feed the events to a stream of hourly windows, a slice at a time.
 
@@ -283,7 +320,10 @@ def drain_slices(
         source = sources.read_stream(
             spark, "parquet", {"maxFilesPerTrigger": str(FILES_PER_SLICE)},
             schema=events.schema, path=f"{path}/feed")
-        _drain_to_log(source, path, watermark="3650 days")
+        if start:
+            start(source).awaitTermination()
+        else:
+            _drain_to_log(source, path, watermark="3650 days")
 
 
 def emission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,6 +377,90 @@ def compacted_log_latest(spark, sf_dir):
     return cents(without_zone(serving.latest(serving.read_current(spark, log, table))))
 
 
+def stream_after_compaction(spark, sf_dir):
+    """A log whose batches are all folded and deleted refuses a new checkpoint; its own stream goes on."""
+    path = new_path(spark, "folded-log")
+    log, table = f"{path}/log", f"{path}/current"
+    drain_slices(spark, sf_dir, path, (0, 1))
+    serving.compact(spark, log, table)
+    serving.drop_folded(spark, log)
+    other = windowed_sales(sources.read_stream(
+        spark, "parquet", schema=sales(spark, sf_dir).schema, path=f"{path}/feed"), HOUR)
+    try:
+        streaming.start_update_log(other, log, f"{path}/other", DRAIN)
+        refused = False
+    except ValueError:
+        refused = True
+    drain_slices(spark, sf_dir, path, (2, 3))
+    current = serving.latest(serving.read_current(spark, log))
+    return cents(without_zone(current)).withColumn("refused", F.lit(refused))
+
+
+def compacted_partitions(spark, sf_dir):
+    """The days of a compacted table, and which of two compactions wrote each; the second batch has later days only."""
+    path = new_path(spark, "compacted-days")
+    log, table = f"{path}/log", f"{path}/current"
+    windows, generations = in_session_time(hourly(spark, sf_dir)), []
+    later = F.col("window_start") >= F.lit(LATER_DAYS)
+    for batch_id, part in enumerate((windows.filter(~later), windows.filter(later))):
+        sinks.write_batch(part, batch_id, log)
+        serving.compact(spark, log, table)
+        serving.drop_folded(spark, log)
+        days = manifest.read(spark, log).days
+        generations += sorted(set(days.values()) - set(generations))
+    number = {day: generations.index(of) + 1 for day, of in days.items()}
+    named = spark.createDataFrame(sorted(number.items()), "day string, compaction int")
+    current = serving.latest(serving.read_current(spark, log)).withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    by_day = current.groupBy("day").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("revenue").alias("revenue"), F.sum("sales_count").alias("sales_count"))
+    return cents(by_day.join(named, "day"))
+
+
+def rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored states of all days, after one day was corrected and another lost its windows."""
+    path = new_path(spark, "rollup")
+    windows = hourly(spark, sf_dir)
+    rollup.write_rollup(windows, path)
+    day = F.date_format("window_start", "yyyy-MM-dd")
+    corrected = windows.filter(day != EMPTIED_DAY).withColumn(
+        "revenue", F.col("revenue") + F.when((day == CORRECTED_DAY) & (F.col("category") == CATEGORY), 100.0).otherwise(0.0))
+    rollup.refresh(corrected, path, [CORRECTED_DAY, EMPTIED_DAY])
+    return rollup.read_rollup(spark, path)
+
+
+def rollup_reports(spark, sf_dir):
+    """Revenue, tickets and share of each category from the states by day."""
+    states = rolled_up(spark, sf_dir)
+    shares = cents(rollup.category_distribution(states), "percent").select(F.col("category").alias("of"), "percent")
+    return rollup.revenue_by_category(states).join(shares, F.col("category").eqNullSafe(F.col("of"))).drop("of")
+
+
+def rollup_stats(spark, sf_dir):
+    """The overall figures from the states by day."""
+    return cents(rollup.general_stats(rolled_up(spark, sf_dir)),
+                 "revenue", "avg_revenue", "avg_sales_count", "max_revenue", "min_revenue")
+
+
+def appended_deltas(spark, sf_dir):
+    """The sums of all documents of a plain append-only collection, after four runs and a repeated batch."""
+    path = new_path(spark, "delta-documents")
+    options = {"path": f"{path}/documents"}
+    streaming.use_state_store(spark)
+
+    def start(source: DataFrame) -> StreamingQuery:
+        windows = windowed_sales(source, HOUR, watermark="3650 days")
+        return streaming.start_delta_append(windows, "parquet", options, f"{path}/checkpoint", DRAIN)
+
+    drain_slices(spark, sf_dir, path, start=start)
+    sinks.append_deltas(in_session_time(hourly(spark, sf_dir)), "parquet", options)  # the whole table once more
+    documents = spark.read.schema(to_documents(spark.createDataFrame([], WINDOW_SCHEMA)).schema).parquet(options["path"])
+    held = from_documents(documents)
+    summed = held.groupBy("category").agg(
+        F.sum("revenue").alias("revenue"), F.sum("sales_count").alias("sales_count"),
+        F.count_distinct("window_start").alias("n_windows"))
+    return cents(summed)
+
+
 def replayed_batch(spark, sf_dir):
     """A batch written to the log twice, as after a failure, then read back."""
     path = new_path(spark, "replayed-batch")
@@ -410,6 +534,15 @@ def reconcile_injected(spark, sf_dir):
     return cents(found, "served_revenue", "expected_revenue")
 
 
+def reconcile_pruned(spark, sf_dir):
+    """The same faults, found by digests: events are summed again only for windows that differ."""
+    path = new_path(spark, "digests")
+    digests.write_digests(hourly(spark, sf_dir), path)
+    found = digests.pruned_diff(
+        served_with_faults(spark, sf_dir), sales(spark, sf_dir), digests.read_digests(spark, path), HOUR)
+    return cents(found, "served_revenue", "expected_revenue")
+
+
 def reconcile_one_window(spark, sf_dir):
     """The served row of a window, doubled, against its raw events."""
     served = stored_hours(spark, sf_dir).withColumn("revenue", F.col("revenue") * 2)
@@ -497,6 +630,47 @@ def stream_final_windows(spark, sf_dir):
     return cents(without_zone(serving.read_windows(spark, f"{path}/windows")))
 
 
+def stream_sliding_final(spark, sf_dir):
+    """Overlapping windows summed from panes within one stream, each written once when it is final."""
+    path = new_path(spark, "sliding-final")
+    streaming.use_state_store(spark)
+    windows = chained_windows(sales_stream(spark, sf_dir), HOUR, HALF)
+    streaming.start_final_windows(windows, f"{path}/windows", f"{path}/checkpoint", DRAIN).awaitTermination()
+    return cents(without_zone(serving.read_windows(spark, f"{path}/windows")))
+
+
+def stream_late_side(spark, sf_dir):
+    """Served and late hourly totals by day, with those before the middle of the month sent last: none is lost."""
+    path = new_path(spark, "late-side")
+    streaming.use_state_store(spark)
+    hours = in_session_time(hourly(spark, sf_dir))
+    feed = as_sales(hours.withColumn("id", F.col("category")), "id", "category", "revenue", "window_start")
+    in_time = F.col("event_time") >= F.lit("2024-01-15")
+    for part in (feed.filter(in_time), feed.filter(~in_time)):
+        part.write.mode("append").parquet(f"{path}/feed")
+        source = sources.read_stream(spark, "parquet", schema=feed.schema, path=f"{path}/feed")
+        streaming.start_update_log_with_late(
+            source, f"{path}/log", f"{path}/late", f"{path}/checkpoint", "1 day", trigger=DRAIN).awaitTermination()
+    served = serving.latest(serving.read_current(spark, f"{path}/log")).select(
+        "window_start", "category", "revenue", "sales_count", F.lit(0).cast("bigint").alias("late_count"))
+    late = streaming.read_late(spark, f"{path}/late").select(
+        "window_start", "category", F.col("amount").alias("revenue"), F.lit(0).cast("bigint").alias("sales_count"),
+        (F.col("late_by_ms") > 0).cast("bigint").alias("late_count"))
+    both = served.unionByName(late).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return cents(both.groupBy("window_start", "category").agg(
+        *(F.sum(c).alias(c) for c in ("revenue", "sales_count", "late_count"))))
+
+
+def stream_observed(spark, sf_dir):
+    """What a stream counted of its messages in passing, summed over its micro-batches."""
+    path = new_path(spark, "observed-log")
+    name = path.rsplit("/", 1)[-1]
+    events = streaming.observed(parse.parse_events(dirty_envelope(sales_stream(spark, sf_dir))))
+    with streaming.record_progress(spark, name, f"{path}/progress"):
+        _drain_to_log(events, path)
+    return streaming.observed_totals(streaming.progress_log(spark, f"{path}/progress"))
+
+
 def stream_rejects(spark, sf_dir):
     path = new_path(spark, "rejects")
     events = parse.parse_events(dirty_envelope(sales_stream(spark, sf_dir)))
@@ -533,6 +707,7 @@ QUERIES: dict[str, Query] = {
         event_quality,
         split_rejects,
         partition_profile,
+        offset_gaps,
         peek_messages,
         latest_windows,
         top_windows,
@@ -545,6 +720,9 @@ QUERIES: dict[str, Query] = {
         count_rows,
         find_window,
         anomalous_windows,
+        anomalies_by_baseline,
+        rollup_reports,
+        rollup_stats,
         serving_documents,
         latest_windows_lines,
         revenue_by_category_lines,
@@ -558,11 +736,15 @@ QUERIES: dict[str, Query] = {
         appended_documents,
         truncated_log,
         reconcile_injected,
+        reconcile_pruned,
         reconcile_one_window,
         reconcile_sliding_window,
         windows_and_rejects,
         published_messages,
         compacted_log_latest,
+        compacted_partitions,
+        stream_after_compaction,
+        appended_deltas,
         stream_update_latest,
         stream_reemitted_latest,
         stream_reemitted_as_appended,
@@ -571,7 +753,10 @@ QUERIES: dict[str, Query] = {
         stream_envelope_latest,
         stream_late_rows,
         stream_final_windows,
+        stream_sliding_final,
+        stream_late_side,
         stream_rejects,
+        stream_observed,
         stream_progress,
     )
 }

@@ -171,6 +171,38 @@ _SLIDING = " UNION ALL ".join([
     ),
 ])
 
+# One day's purchases corrected, another day without windows.
+_CORRECTED = f"""WITH hours AS ({_windows('1 hour')}),
+    w AS (
+      SELECT * REPLACE (revenue + CASE WHEN CAST(window_start AS DATE) = DATE '2024-01-10'
+               AND category = 'purchase' THEN 100 ELSE 0 END AS revenue)
+      FROM hours WHERE CAST(window_start AS DATE) <> DATE '2024-01-12')"""
+
+_TOPIC = """
+    WITH placed AS (
+      SELECT CAST(event_id % 3 AS INTEGER) AS p, event_id // 3 AS o FROM events),
+    held AS (
+      SELECT p, o, sum(CASE WHEN o BETWEEN 195 AND 205 OR o % 101 = 7 THEN 2 ELSE 1 END) AS n
+      FROM placed WHERE NOT (o BETWEEN 95 AND 104 OR o % 97 IN (13, 14)) GROUP BY ALL),
+    steps AS (SELECT p, o, lag(o) OVER (PARTITION BY p ORDER BY o) AS before FROM held),
+    islands AS (SELECT p, o, n, o - row_number() OVER (PARTITION BY p ORDER BY o) AS i FROM held WHERE n > 1)
+    SELECT 'sales' AS topic, p AS "partition", 'gap' AS kind, before + 1 AS first_offset, o - 1 AS last_offset,
+           o - before - 1 AS n_messages
+    FROM steps WHERE o > before + 1
+    UNION ALL
+    SELECT 'sales', p, 'repeat', min(o), max(o), CAST(sum(n - 1) AS BIGINT) FROM islands GROUP BY p, i"""
+
+_QUALITY = """
+    WITH told AS (
+      SELECT CASE event_type WHEN 'error' THEN 'rejected_sale_id' WHEN 'view' THEN 'rejected_sale_id'
+               WHEN 'signup' THEN 'rejected_event_time' WHEN 'purchase' THEN 'rejected_amount'
+               ELSE 'valid' END AS metric, event_type FROM events)
+    SELECT m.metric, (SELECT count(*) FROM told WHERE told.metric = m.metric) AS n
+    FROM (VALUES ('valid'), ('rejected_sale_id'), ('rejected_category'), ('rejected_amount'),
+                 ('rejected_event_time')) AS m(metric)
+    UNION ALL SELECT 'events', count(*) FROM told
+    UNION ALL SELECT 'null_ids', count(*) FROM told WHERE event_type IN ('error', 'view')"""
+
 ORACLE_SQL: dict[str, str] = {
     "windowed_sales_1m": _windows("1 minute", "round_even(sum(value), 2)"),
     "windowed_sales_1h": _HOURLY,
@@ -208,6 +240,7 @@ ORACLE_SQL: dict[str, str] = {
                       replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', ''))
                  AS message
         FROM events ORDER BY 1, 2 LIMIT 10""",
+    "offset_gaps": _TOPIC,
     "latest_windows": f"""{_W}
         SELECT window_start, window_end, category, {_CENTS}, sales_count {_LATEST}""",
     "top_windows": f"""{_W}
@@ -296,6 +329,40 @@ ORACLE_SQL: dict[str, str] = {
         SELECT window_start, window_end, category, {_CENTS}, sales_count,
                round_even(deviation, 2) AS deviation
         FROM far WHERE abs(deviation) > 2.0""",
+    "anomalies_by_baseline": f"""
+        WITH w AS ({_windows('15 minutes')}),
+        placed AS (
+          SELECT *, CAST(window_start AS DATE) AS day,
+                 (isodow(window_start) - 1) * 24 + hour(window_start) AS how FROM w),
+        judged AS (
+          SELECT a.window_start, a.window_end, a.category, a.revenue, a.sales_count,
+                 avg(b.revenue) AS expected, stddev_samp(b.revenue) AS sd, count(b.revenue) AS n
+          FROM placed a JOIN placed b ON a.how = b.how AND a.category = b.category AND b.day < a.day
+          GROUP BY ALL)
+        SELECT window_start, window_end, category, {_CENTS}, sales_count,
+               round_even(expected, 2) AS expected, round_even((revenue - expected) / sd, 2) AS deviation
+        FROM judged WHERE n >= 3 AND sd > 0 AND abs((revenue - expected) / sd) > 2.0""",
+    "rollup_reports": f"""{_CORRECTED}, report AS ({_BY_CATEGORY}), shares AS ({_SHARES})
+        SELECT report.*, round_even(percent, 2) AS percent FROM report JOIN shares USING (category)""",
+    "rollup_stats": _CORRECTED + _STATS,
+    "reconcile_pruned": _DIFF,
+    "compacted_partitions": f"""{_W}
+        SELECT strftime(window_start, '%Y-%m-%d') AS day, count(*) AS n_rows,
+               round_even(sum(revenue), 2) AS revenue, CAST(sum(sales_count) AS BIGINT) AS sales_count,
+               CASE WHEN min(window_start) >= TIMESTAMP '2024-01-20' THEN 2 ELSE 1 END AS compaction
+        FROM w GROUP BY 1""",
+    "stream_after_compaction": f"SELECT *, true AS refused FROM ({_HOURLY})",
+    "appended_deltas": f"""{_W}
+        SELECT category, round_even(sum(revenue), 2) AS revenue, CAST(sum(sales_count) AS BIGINT) AS sales_count,
+               count(DISTINCT window_start) AS n_windows FROM w GROUP BY category""",
+    "stream_sliding_final": f"""SELECT * FROM ({_SLIDING})
+        WHERE window_end <= (SELECT max(ts) - INTERVAL '2 minutes' FROM events)""",
+    "stream_late_side": f"""{_W}
+        SELECT date_trunc('day', window_start) AS window_start, category, round_even(sum(revenue), 2) AS revenue,
+               count(*) FILTER (window_start >= TIMESTAMP '2024-01-15') AS sales_count,
+               count(*) FILTER (window_start < TIMESTAMP '2024-01-15') AS late_count
+        FROM w GROUP BY 1, 2""",
+    "stream_observed": _QUALITY,
     "stream_update_latest": _HOURLY,
     "stream_reemitted_latest": f"""{_W}
         SELECT window_start AS janela_inicio, window_end AS janela_fim,

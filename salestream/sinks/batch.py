@@ -3,12 +3,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salestream.schema import in_session_time, to_documents
+from salestream.operators import manifest
+from salestream.schema import DOCUMENT_FIELDS, WINDOW_SCHEMA, from_documents, in_session_time, to_documents
 
 ROWS_PER_FILE = 1_000_000
+#: A smaller change of a revenue is the rounding of sums.
+LEAST_DELTA = 1e-6
 
 
 def write_batch(
@@ -18,9 +23,12 @@ def write_batch(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    stream: str | None = None,
 ) -> int:
     """Store one micro-batch in the emission log and return its number of rows.
 
+    A log with a manifest takes the batch up once it is written; with ``stream``, only if it is that stream's.
+
     The batch replaces its own ``batch_id`` partition, so a batch that Spark runs
     again after a failure leaves the log as it was. An empty batch writes nothing.
 
@@ -29,7 +37,7 @@ def write_batch(
     cached partitions costs no shuffle, and a log with one small file per state
     partition and batch would soon be slow to list.
     """
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    spark, batch = batch.sparkSession, batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_rows = batch.count()
         if n_rows:
@@ -44,6 +52,7 @@ def write_batch(
                 .mode("overwrite")
                 .save(path)
             )
+            manifest.add_batch(spark, path, batch_id, stream)
         return n_rows
     finally:
         batch.unpersist()
@@ -82,3 +91,52 @@ def append_documents(
         return n_rows
     finally:
         batch.unpersist()
+
+
+def append_deltas(batch: DataFrame, fmt: str, options: Mapping[str, str]) -> int:
+    """Append what the windows of a micro-batch have over what the document store holds; returns its number of rows.
+
+    ``batch`` has whole figures of windows. The store's documents of the same time range are summed by window and subtracted, so
+    all documents of a window sum to its newest figures, although nothing in the store is ever replaced. A batch that
+    runs again, or whose first run stopped halfway, appends only what is still missing. The store must show its own
+    appends to the next read, and have one writer. A window without revenue has the sum 0 here.
+    """
+    spark, batch = batch.sparkSession, batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # the time range of the batch reaches the scan of the store; a batch changes few windows of a long history
+        low, high = batch.agg(F.min("window_start"), F.max("window_start")).first()
+        if low is None:
+            return 0
+        keys = ("window_start", "window_end", "category")
+        figures = ("revenue", "sales_count")
+        new = batch.select(*keys, *figures)
+        try:
+            fields = T.StructType([T.StructField(DOCUMENT_FIELDS[f.name], f.dataType) for f in WINDOW_SCHEMA])
+            held = from_documents(spark.read.format(fmt).options(**options).schema(fields).load())
+            old = held.filter(F.col("window_start").between(low, high)).select(*keys, *(-F.col(c) for c in figures))
+            old = old.join(batch.select(*keys), _same(keys, batch, old), "left_semi")
+            new = new.union(old)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        deltas = new.groupBy(*keys).agg(
+            F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("revenue"), F.sum("sales_count").alias("sales_count"))
+        # what is left of two equal sums of doubles is no change
+        deltas = deltas.filter((F.abs("revenue") >= LEAST_DELTA) | (F.col("sales_count") != 0))
+        deltas = deltas.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n_rows = deltas.count()
+            if n_rows:
+                to_documents(deltas).write.format(fmt).options(**options).mode("append").save()
+            return n_rows
+        finally:
+            deltas.unpersist()
+    finally:
+        batch.unpersist()
+
+
+def _same(keys: tuple[str, ...], one: DataFrame, two: DataFrame) -> Column:
+    same = F.lit(True)
+    for key in keys:
+        same = same & one[key].eqNullSafe(two[key])
+    return same

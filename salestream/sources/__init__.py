@@ -1,6 +1,6 @@
 """Where sale events come from: streams, bounded replays, and looks at a topic."""
 
 from salestream.sources.readers import peek, read_batch, read_stream
-from salestream.sources.topic import partition_profile
+from salestream.sources.topic import offset_gaps, partition_profile
 
-__all__ = ["partition_profile", "peek", "read_batch", "read_stream"]
+__all__ = ["offset_gaps", "partition_profile", "peek", "read_batch", "read_stream"]

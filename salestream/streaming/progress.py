@@ -1,7 +1,11 @@
+"""The figures of every micro-batch as a table: durations, rows, watermark, state, and what the stream observed."""
+
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import threading
+import uuid
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from salestream import files
+from salestream.operators.parse import missing_field
+from salestream.schema import SALE_COLUMNS
+
+#: Name of the observation that :func:`observed` adds.
+QUALITY = "event_quality"
+#: Files of single micro-batches that become one.
+FOLD = 100
 
 _REPORTED = T.StructType([
     T.StructField("batch_id", T.LongType()),
@@ -24,9 +35,25 @@ _REPORTED = T.StructType([
     T.StructField("state_rows_updated", T.LongType()),
     T.StructField("late_rows_dropped", T.LongType()),
     T.StructField("max_offsets_behind", T.LongType()),
+    T.StructField("observed", T.MapType(T.StringType(), T.LongType())),
 ])
 
 
+def observed(events: DataFrame, required: Sequence[str] = SALE_COLUMNS) -> DataFrame:
+    """``events`` unchanged, counted as they pass: all, valid, rejected by reason, and NULL ids.
+
+    The counts are part of the batch's own evaluation and appear in its progress; no second pass is made.
+    """
+    reason = missing_field(required)
+    return events.observe(
+        QUALITY,
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(reason.isNull()).alias("valid"),
+        *(F.count_if(reason == F.lit(c)).alias(f"rejected_{c}") for c in required),
+        F.count_if(F.col("sale_id").isNull()).alias("null_ids"),
+    )
+
+
 def _as_row(progress) -> tuple:
     event_time = progress.eventTime
     state = progress.stateOperators
@@ -35,6 +62,7 @@ def _as_row(progress) -> tuple:
         for source in progress.sources
         if "maxOffsetsBehindLatest" in (source.metrics or {})
     ]
+    quality = (progress.observedMetrics or {}).get(QUALITY)
     return (
         progress.batchId,
         progress.timestamp,
@@ -48,6 +76,7 @@ def _as_row(progress) -> tuple:
         sum(op.numRowsUpdated for op in state),
         sum(op.numRowsDroppedByWatermark for op in state),
         max(behind, default=None),
+        quality.asDict() if quality else {},
     )
 
 
@@ -60,45 +89,89 @@ def _timed(rows: DataFrame) -> DataFrame:
 
 
 class _Recorder(StreamingQueryListener):
+    """One small file for each micro-batch as it ends; every ``FOLD`` of them become one file."""
+
     def __init__(self, spark: SparkSession, name: str, folder: str):
         self.spark, self.name, self.folder = spark, name, folder
+        self.running: set[str] = set()
+        self.single: dict[int, str] = {}
+        self.changed = threading.Condition()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        if event.name == self.name:
+            with self.changed:
+                self.running.add(str(event.runId))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        with self.changed:
+            self.running.discard(str(event.runId))
+            self.changed.notify_all()
 
     def onQueryProgress(self, event) -> None:
-        if event.progress.name == self.name:
-            row = dict(zip(_REPORTED.fieldNames(), _as_row(event.progress), strict=True))
+        if event.progress.name != self.name:
+            return
+        row = dict(zip(_REPORTED.fieldNames(), _as_row(event.progress), strict=True))
+        with self.changed:
             # a batch that runs again replaces its file
-            files.write_text(
-                self.spark, f"{self.folder}/{row['batch_id']:020}.json", json.dumps(row))
+            files.write_text(self.spark, self._path(row["batch_id"]), json.dumps(row) + "\n")
+            self.single[row["batch_id"]] = json.dumps(row)
+            if len(self.single) >= FOLD:
+                self.fold()
+
+    def _path(self, batch_id: int) -> str:
+        return f"{self.folder}/{batch_id:020}.json"
+
+    def fold(self) -> None:
+        """Readers see a batch twice for a moment, never not at all."""
+        if len(self.single) < 2:
+            return
+        ids = sorted(self.single)
+        lines = "".join(self.single[i] + "\n" for i in ids)
+        files.write_text(self.spark, f"{self.folder}/{ids[0]:020}-{ids[-1]:020}-{uuid.uuid4().hex[:8]}.json", lines)
+        for i in ids:
+            files.delete(self.spark, self._path(i))
+        self.single.clear()
+
+    def finish(self, seconds: float) -> None:
+        """Wait for the end of runs that have ended: Spark tells it after all of their progress."""
+        with self.changed:
+            active = {str(q.runId) for q in self.spark.streams.active}
+            self.changed.wait_for(lambda: not self.running - active, seconds)
+            self.fold()
 
 
 @contextmanager
-def record_progress(spark: SparkSession, name: str, folder: str) -> Iterator[None]:
-    """Keep the figures of every micro-batch of the query called ``name``, in ``folder``.
+def record_progress(spark: SparkSession, name: str, folder: str, wait_seconds: float = 60) -> Iterator[None]:
+    """Keep the figures of every micro-batch of the query called ``name``, in ``folder``, also when the body fails.
 
-    Start the query inside; on leaving, what Spark has reported so far is written. One small
-    file for each micro-batch, beside the checkpoint, which has as many.
+    Start the query inside. On leaving, what Spark still has to report of ended queries is waited for.
     """
     recorder = _Recorder(spark, name, folder)
     spark.streams.addListener(recorder)
     try:
         yield
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
+        recorder.finish(wait_seconds)
         spark.streams.removeListener(recorder)
 
 
 def progress_log(spark: SparkSession, folder: str) -> DataFrame:
-    """All micro-batches that :func:`record_progress` has kept; columns of :func:`progress_table`."""
-    return _timed(spark.read.schema(_REPORTED).json(folder))
+    """All micro-batches that :func:`record_progress` has kept; columns of :func:`progress_table`.
+
+    Of a batch that ran again the later run counts.
+    """
+    rows = spark.read.schema(_REPORTED).json(folder)
+    others = [c for c in _REPORTED.fieldNames() if c != "batch_id"]
+    newest = rows.groupBy("batch_id").agg(F.max_by(F.struct(*others), "started_at").alias("kept"))
+    return _timed(newest.select("batch_id", "kept.*"))
+
+
+def observed_totals(progress: DataFrame) -> DataFrame:
+    """What :func:`observed` counted over all micro-batches of a progress table: metric, n."""
+    return progress.select(F.explode("observed").alias("metric", "n")).groupBy("metric").agg(F.sum("n").alias("n"))
 
 
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:

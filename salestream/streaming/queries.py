@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from salestream import files
+from salestream.operators import manifest
 from salestream.operators.parse import split_valid_invalid
 from salestream.schema import SALE_COLUMNS
-from salestream.sinks.batch import ROWS_PER_FILE, append_documents, write_batch
+from salestream.sinks.batch import ROWS_PER_FILE, append_deltas, append_documents, write_batch
 
 # State on local disk with incremental snapshots to the checkpoint, instead of
 # on the executor heap: the number of open windows is then not bounded by memory.
@@ -31,6 +33,11 @@ def use_state_store(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+#: Kept in the checkpoint.
+_STREAM_ID = "salestream-id"
+_TOGETHER = "; reset both together, see serving.truncate"
+
+
 def _guard(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Refuse an output and a checkpoint that are not of one stream.
 
@@ -40,15 +47,39 @@ def _guard(spark: SparkSession, path: str, checkpoint: str) -> None:
     begun = bool(files.children(spark, f"{checkpoint}/offsets"))
     names = files.children(spark, path)
     filled = [n for n in names if not n.startswith(("_", "."))] or "_spark_metadata" in names
-    together = "; reset both together, see serving.truncate"
     if filled and not begun:
-        raise ValueError(f"{path} holds batches, but the checkpoint {checkpoint} is new{together}")
+        raise ValueError(f"{path} holds batches, but the checkpoint {checkpoint} is new{_TOGETHER}")
     if begun and _OWNED not in names:
-        raise ValueError(f"the checkpoint {checkpoint} has begun, but {path} is not its output{together}")
+        raise ValueError(f"the checkpoint {checkpoint} has begun, but {path} is not its output{_TOGETHER}")
     if _OWNED not in names:
         files.write_text(spark, f"{path}/{_OWNED}", "")
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint keeps; a checkpoint without one gets one."""
+    path = f"{checkpoint}/{_STREAM_ID}"
+    if not files.exists(spark, path):
+        files.write_new(spark, path, uuid.uuid4().hex)
+    return files.read_text(spark, path)
+
+
+def claim(spark: SparkSession, path: str, checkpoint: str) -> str:
+    """The id of the stream of ``checkpoint``, entered as the writer of the log at ``path``.
+
+    The manifest outlives the batches: a log whose batches are all folded and deleted still names its stream.
+    """
+    begun = bool(files.children(spark, f"{checkpoint}/offsets"))
+    found = manifest.read(spark, path)
+    stream = stream_id(spark, checkpoint)
+    if begun and (found is None or found.stream != stream):
+        raise ValueError(f"the checkpoint {checkpoint} has begun, but {path} is not its output{_TOGETHER}")
+    try:
+        manifest.own(spark, path, stream)
+    except manifest.ForeignLog as error:
+        raise ValueError(f"{path} holds batches, but the checkpoint {checkpoint} is new{_TOGETHER}") from error
+    return stream
+
+
 def _start(
     writer: DataStreamWriter, checkpoint: str, trigger: Trigger | None, name: str | None
 ) -> StreamingQuery:
@@ -77,13 +108,14 @@ def _start_append(
     return _start(writer, checkpoint, trigger, name)
 
 
-def _start_update(
+def start_update(
     windows: DataFrame,
     write: Callable[[DataFrame, int], object],
     checkpoint: str,
     trigger: Trigger | None,
     name: str | None,
 ) -> StreamingQuery:
+    """A query in update mode whose micro-batches go to ``write``."""
     writer = windows.writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, checkpoint, trigger, name)
 
@@ -104,12 +136,12 @@ def start_update_log(
     back-to-back micro-batches. ``path`` and ``checkpoint`` belong together: a new
     checkpoint on a log with batches, or the reverse, is an error.
     """
-    _guard(windows.sparkSession, path, checkpoint)
+    stream = claim(windows.sparkSession, path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, path, fmt, options, rows_per_file)
+        write_batch(batch, batch_id, path, fmt, options, rows_per_file, stream)
 
-    return _start_update(windows, write, checkpoint, trigger, name)
+    return start_update(windows, write, checkpoint, trigger, name)
 
 
 def start_document_append(
@@ -129,7 +161,27 @@ def start_document_append(
     def write(batch: DataFrame, batch_id: int) -> None:
         append_documents(batch, batch_id, fmt, options)
 
-    return _start_update(windows, write, checkpoint, trigger, name)
+    return start_update(windows, write, checkpoint, trigger, name)
+
+
+def start_delta_append(
+    windows: DataFrame,
+    fmt: str,
+    options: Mapping[str, str],
+    checkpoint: str,
+    trigger: Trigger | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Append to a document store what each change of a window adds to what the store holds already.
+
+    The documents of a window then sum to its figures, in a plain append-only collection, also when a batch
+    runs again; see :func:`salestream.sinks.append_deltas`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_deltas(batch, fmt, options)
+
+    return start_update(windows, write, checkpoint, trigger, name)
 
 
 def start_final_windows(
@@ -164,7 +216,9 @@ def start_rejects(
     """Write events that lack a required field, with the reason, to a table.
 
     Parse with ``keep_raw=True`` to keep the messages themselves. This is a query
-    of its own with its own checkpoint and does not hold up the aggregation.
+    of its own with its own checkpoint and does not hold up the aggregation. A new checkpoint on
+    rejects that are there already, or the reverse, is an error.
     """
+    _guard(events.sparkSession, path, checkpoint)
     _, rejected = split_valid_invalid(events, required)
     return _start_append(rejected, path, checkpoint, trigger, name, fmt, options)

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from salestream import sinks
-from salestream.operators import reports, serving
-from salestream.schema import LOG_SCHEMA
+from salestream.operators import manifest, reports, serving
+from salestream.schema import LOG_SCHEMA, WINDOW_SCHEMA
 from tests.conftest import at, plan_text, rows
 
 
@@ -173,12 +173,109 @@ def test_compaction_changes_nothing_that_is_read(spark, windows_of, tmp_path):
     assert serving.compact(spark, log, table) == 2
     serving.drop_folded(spark, log, table)
     assert current() == [("a", 2.0), ("b", 5.0)]
+    assert serving.compact(spark, log, table) == 2
     assert [p.name for p in (tmp_path / "log").glob("batch_id=*")] == []
-    assert [p.name for p in (tmp_path / "table").glob("upto=*")] == ["upto=2"]
-    (tmp_path / "table" / "upto=9").mkdir()  # interrupted: without _SUCCESS
+    assert len(list((tmp_path / "table").glob("generation-*"))) == 1
+    (tmp_path / "table" / "generation-000000000009-00000000" / "day=2024-11-25").mkdir(parents=True)  # interrupted
+    assert current() == [("a", 2.0), ("b", 5.0)]
+    serving.drop_folded(spark, log)
+    assert len(list((tmp_path / "table").glob("generation-*"))) == 1
+    batch(1, ("10:30:00", "a", 99.0, 9))  # a batch that is folded already, written again
     assert current() == [("a", 2.0), ("b", 5.0)]
 
 
+def day_batch(spark, day, category, revenue):
+    start = at("10:30:00", day)
+    return spark.createDataFrame([(start, start.replace(second=59), category, revenue, 1)], WINDOW_SCHEMA)
+
+
+def test_compaction_rewrites_only_days_that_were_touched(spark, tmp_path):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    for n, day in enumerate(("2024-11-25", "2024-11-26", "2024-11-27")):
+        sinks.write_batch(day_batch(spark, day, "a", float(n)), n, log)
+    serving.compact(spark, log, table)
+    files_of = lambda: {p.relative_to(table).as_posix() for p in (tmp_path / "table").rglob("*.parquet")}
+    first = files_of()
+    sinks.write_batch(day_batch(spark, "2024-11-26", "a", 10.0), 3, log)
+    sinks.write_batch(day_batch(spark, "2024-11-28", "b", 20.0), 4, log)
+    serving.compact(spark, log, table)
+    serving.drop_folded(spark, log, table)
+    kept = {f for f in first if "2024-11-26" not in f}
+    assert files_of() & first == kept and len(kept) == 2 and len(files_of()) == 4
+    got = sorted(rows(serving.read_current(spark, log), "category", "revenue"))
+    assert got == [("a", 0.0), ("a", 2.0), ("a", 10.0), ("b", 20.0)]
+
+
+def test_a_reader_during_a_compaction_sees_one_state(spark, windows_of, tmp_path):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    sinks.write_batch(windows_of(("10:30:00", "a", 1.0, 1)), 0, log)
+    serving.compact(spark, log, table)
+    sinks.write_batch(windows_of(("10:30:00", "a", 2.0, 2)), 1, log)
+    reader = serving.read_current(spark, log, table)  # planned before, read after
+    serving.compact(spark, log, table)
+    sinks.write_batch(windows_of(("10:30:00", "a", 3.0, 3)), 2, log)
+    assert rows(reader, "revenue") == [(2.0,)]
+    assert rows(serving.read_current(spark, log, table), "revenue") == [(3.0,)]
+    with pytest.raises(ValueError, match="is compacted to"):
+        serving.read_current(spark, log, table + "-other")
+
+
+def test_of_two_compactions_the_second_fails(spark, windows_of, tmp_path, monkeypatch):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    sinks.write_batch(windows_of(("10:30:00", "a", 1.0, 1)), 0, log)
+    real, busy = manifest.change, []
+
+    def change(*given, **more):
+        if not busy:
+            busy.append(1)
+            serving.compact(spark, log, table)
+        return real(*given, **more)
+
+    monkeypatch.setattr(manifest, "change", change)
+    with pytest.raises(RuntimeError, match="another run"):
+        serving.compact(spark, log, table)
+    assert rows(serving.read_current(spark, log, table), "revenue") == [(1.0,)]
+
+
+def test_manifest_versions(spark, tmp_path):
+    log = str(tmp_path / "log")
+    manifest.own(spark, log, "one")
+    for batch in (0, 1, 2, 5, 4, 1):
+        manifest.add_batch(spark, log, batch, "one")
+    found = manifest.read(spark, log)
+    assert found.batches == ((0, 2), (4, 5)) and found.stream == "one" and found.version == 5
+    with pytest.raises(manifest.ForeignLog):
+        manifest.own(spark, log, "two")
+    with pytest.raises(manifest.ForeignLog):
+        manifest.add_batch(spark, log, 6, "two")
+    lost = []
+
+    def step(before):
+        if not lost:  # another writer is faster once
+            lost.append(1)
+            manifest.add_batch(spark, log, 7, "one")
+        return before.with_batch(8)
+
+    assert manifest.change(spark, log, step).batches == ((0, 2), (4, 5), (7, 8))
+    for batch in range(9, 30):
+        manifest.add_batch(spark, log, batch, "one")
+    assert len(list((tmp_path / "log" / "_manifest").glob("[0-9]*.json"))) == manifest.KEPT_VERSIONS
+    assert manifest.read(spark, log).batches == ((0, 2), (4, 5), (7, 29))
+
+
+def test_truncating_a_compacted_log(spark, windows_of, tmp_path):
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    sinks.write_batch(windows_of(("10:30:00", "a", 1.0, 1)), 5, log)
+    serving.compact(spark, log, table)
+    serving.truncate(spark, log)
+    assert rows(serving.read_current(spark, log)) == []
+    sinks.write_batch(windows_of(("10:30:00", "b", 2.0, 1)), 0, log)
+    assert rows(serving.read_current(spark, log), "category", "batch_id") == [("b", 0)]
+    serving.compact(spark, log, table)
+    serving.drop_folded(spark, log, table)
+    assert rows(serving.read_current(spark, log), "category", "batch_id") == [("b", 0)]
+
+
 def test_another_read_error_is_not_hidden(spark, tmp_path):
     with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
         serving.read_log(spark, str(tmp_path), "nosuchformat")
