@@ -11,14 +11,13 @@ seen from the smaller and 2 b / 9 as seen from the larger one.
    differ in shares a signature with every partner. One with fewer also takes part in a further instance of the
    same band with another cut, until it has enough; two such sets meet there.
 3. Signatures that one set alone has are dropped after the one shuffle of all signatures; very frequent ones are found by a
-   sketch and combined before it. Of what is left, a signature of more than ``COLD`` sets is
-   hot. A set whose other signatures, unique ones included, still outnumber what it may differ in does not
-   need its hot ones: each of its partners is met on one of the others. So only sets made mostly of what very many
-   share, such as members of a large group of near copies, are compared under hot signatures.
+   sketch, and their rows spread over several parts. A set probes with its least frequent signatures only: it agrees with a
+   partner on so many that it can leave out as many of the most frequent ones as it has to spare, less one. What very many
+   texts share, such as a passage, is thus compared only by sets that are made mostly of such things.
 4. Candidates pass an exact filter inside the join (sizes, and a 256-bit parity sketch, in which each differing shingle flips
    one bit). Those left are compared by their whole sets of shingles.
 5. For components, pairs within a group are not listed: each set is first compared with the least sets of its
-   signatures (a linear number), and then only sets that still are in different components are.
+   signatures (a linear number), those it shares most with, and then only sets that still are in different components are.
 
 ``similar_pairs`` lists all links between different sets. Equal sets are one node throughout, so exact copies cost
 nothing.
@@ -47,12 +46,11 @@ SHINGLE = 5
 LEAST_SIZE = 4
 #: Partitions for each difference allowed; more than 1, as some stay empty.
 SPARE = 1.2
-#: A signature of more sets is hot.
-COLD = 32
-#: Least sets of its signatures that a set is compared with at first.
+#: Heads of its signatures that a set is compared with at first.
 FIRST_LINKS = 2
-#: Signatures that the sketch names, its counters, and the least count to name one.
+#: Signatures that the sketch names, its counters, the least count to name one, and the parts their rows are spread over.
 NAMED, COUNTERS, LEAST_NAMED = 4096, 16384, 1000
+SALTS = 64
 #: Up to so many rows are handed to every task; more are shuffled.
 MOST_KEYS = 200_000
 SKETCH = ("s0", "s1", "s2", "s3")
@@ -187,24 +185,22 @@ def _near():
 
 
 def _shared(flat: DataFrame) -> DataFrame:
-    """sig, node, head of the signatures that several nodes of ``flat`` (node, sig) have.
+    """sig, node, spare, head, n: rows of the signatures that several nodes of ``flat`` (sig, node, spare) have.
 
-    A sketch names the most frequent ones; their rows are combined before they are shuffled. All other rows are shuffled
-    once and meet by signature. Which are named changes the work only.
+    head is the least node of the signature, n how many rows it has. A sketch names the most frequent signatures; their rows are
+    spread over ``SALTS`` parts, each with its own head, so no task gets all rows of one. All other rows meet by
+    signature after one shuffle. Which are named changes the work only.
     """
-    named = (
-        flat.agg(F.expr(f"approx_top_k(sig, {NAMED}, {COUNTERS})").alias("top")).select(F.explode("top").alias("top"))
-        .where(F.col("top.count") >= LEAST_NAMED).select(F.col("top.item").alias("sig"))
-    )
-    named = F.broadcast(stored(named, "jaccard-named"))  # at most NAMED rows
-    heavy = flat.join(named, "sig", "left_semi").distinct()
-    heads = heavy.groupBy("sig").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last")
-    heavy = heavy.join(F.broadcast(heads), "sig").select("sig", "node", "head")
+    top = flat.agg(F.expr(f"approx_top_k(sig, {NAMED}, {COUNTERS})").alias("top")).first()["top"]  # at most NAMED
+    named = F.col("sig").isin([t["item"] for t in top or [] if t["count"] >= LEAST_NAMED])
+    part = W.partitionBy("sig", F.pmod(F.xxhash64("sig", "node"), F.lit(SALTS)))
+    heavy = flat.where(named).distinct().withColumns(
+        {"head": F.min("node").over(part), "n": F.count("*").over(part) * SALTS})
     same = W.partitionBy("sig")
     others = (
-        flat.join(named, "sig", "left_anti")
-        .withColumns({"head": F.min("node").over(same), "last": F.max("node").over(same)})
-        .where("head <> last").select("sig", "node", "head").distinct()
+        flat.where(~named)
+        .withColumns({"head": F.min("node").over(same), "last": F.max("node").over(same), "n": F.count("*").over(same)})
+        .where("head <> last").drop("last").distinct()
     )
     return heavy.unionByName(others)
 
@@ -224,10 +220,8 @@ class Join:
         self.nodes = stored(rows.where("size > 0").groupBy("node").agg(
             best, *(F.min(c).alias(c) for c in ("size", *SKETCH))), "jaccard-nodes")
         signed = rows.select("node", F.explode("groups").alias("g"))
-        #: node, instance, spare
-        self.spare = stored(signed.select("node", "g.instance", "g.spare").distinct(), "jaccard-spare")
-        #: sig, node, head: the least node of the signature; signatures of two or more sets
-        self.members = stored(_shared(signed.select("node", F.explode("g.sigs").alias("sig"))), "jaccard-members")
+        flat = signed.select(F.explode("g.sigs").alias("sig"), "node", "g.spare")
+        self.members = stored(_shared(flat), "jaccard-members")
         remove(df.sparkSession, path)
 
     def _facts(self, side: str) -> DataFrame:
@@ -251,38 +245,32 @@ class Join:
         return links
 
     def first_pairs(self) -> DataFrame:
-        """a, b: sets and the least sets of their signatures."""
-        heads = self.members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        """a, b: sets and those heads of their signatures that they share most with."""
+        heads = self.members.where("node <> head").groupBy(F.col("node").alias("a"), F.col("head").alias("b")).agg(
+            F.count("*").alias("n"))
         near = heads.join(self._facts("a"), "a").join(self._facts("b"), "b").where(_near())
-        few = near.groupBy("a").agg(F.slice(F.array_sort(F.collect_set("b")), 1, FIRST_LINKS).alias("bs"))
-        return few.select("a", F.explode("bs").alias("b"))
-
-    def needed(self) -> DataFrame:
-        """sig, node: all but the hot signatures of sets that can do without them."""
-        hot = self.members.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > COLD).select("sig")
-        hot = stored(hot, "jaccard-hot")
-        hot = F.broadcast(hot) if fits_broadcast(hot, MOST_KEYS) else hot
-        rows = self.members.select("sig", "node")
-        under_hot = stored(rows.join(hot, "sig", "left_semi").withColumn(
-            "instance", F.col("sig").bitwiseAND(4095).cast("int")), "jaccard-under-hot")
-        many = under_hot.groupBy("node", "instance").agg(F.count("*").alias("n"))
-        short = many.join(self.spare, ["node", "instance"]).where(F.col("n") >= F.col("spare")).select("node", "instance")
-        kept = under_hot.join(short, ["node", "instance"], "left_semi").select("sig", "node")
-        return rows.join(hot, "sig", "left_anti").unionByName(kept)
+        best = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "b")))
+        few = near.groupBy("a").agg(F.slice(best, 1, FIRST_LINKS).alias("bs"))
+        return few.select("a", F.explode("bs.b").alias("b"))
+
+    def probes(self) -> DataFrame:
+        """sig, node: all rows of ``members`` but, for each set and instance, the most frequent it can do without."""
+        own = W.partitionBy("node", F.col("sig").bitwiseAND(4095)).orderBy(F.desc("n"), "sig")
+        return self.members.withColumn("place", F.row_number().over(own)).where("place >= spare").select("sig", "node")
 
     def cross_pairs(self, roots: DataFrame) -> DataFrame:
         """a, b: candidates with different roots; roots: node, root."""
         facts = self.nodes.select("node", "size", *SKETCH).join(roots, "node")
-        known = stored(self.needed().join(facts, "node"), "jaccard-needed")
+        known = stored(self.members.select("sig", "node").join(facts, "node"), "jaccard-known")
         mixed = (
             known.groupBy("sig", "root").agg(F.count("*").alias("n"))
             .groupBy("sig").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("n_roots"))
             .where("n_roots > 1").select("sig", F.col("top.root").alias("top"))
         )
-        inside = stored(known.join(mixed, "sig"), "jaccard-mixed")
         named = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("size", *SKETCH, "root")]
-        left = inside.where("root <> top").select("sig", F.col("node").alias("a"), *named("a"), "top")
-        right = inside.select("sig", F.col("node").alias("b"), *named("b"))
+        right = known.select("sig", F.col("node").alias("b"), *named("b"))
+        left = known.join(mixed, "sig").where("root <> top").join(self.probes(), ["sig", "node"], "left_semi").select(
+            "sig", F.col("node").alias("a"), *named("a"), "top")
         # two rows outside the largest component meet twice, once is enough
         once = (F.col("root_b") == F.col("top")) | (F.col("a") < F.col("b"))
         met = left.join(right, "sig").where(once & (F.col("root_a") != F.col("root_b")) & _near())
