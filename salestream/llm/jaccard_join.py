@@ -17,7 +17,8 @@ seen from the smaller and 2 b / 9 as seen from the larger one.
 4. Candidates pass an exact filter inside the join (sizes, and a 256-bit parity sketch, in which each differing shingle flips
    one bit). Those left are compared by their whole sets of shingles.
 5. For components, pairs within a group are not listed: each set is first compared with the least sets of its
-   signatures (a linear number), those it shares most with, and then only sets that still are in different components are.
+   signatures (a linear number), those it shares most with, then with a member of the largest component of a signature, and at last
+   only sets that still are in different components are.
 
 ``similar_pairs`` lists all links between different sets. Equal sets are one node throughout, so exact copies cost
 nothing.
@@ -244,15 +245,27 @@ class Join:
         remove(spark, *paths)
         return links
 
-    def first_pairs(self) -> DataFrame:
-        """a, b: sets and those heads of their signatures that they share most with."""
-        heads = self.members.where("node <> head").groupBy(F.col("node").alias("a"), F.col("head").alias("b")).agg(
-            F.count("*").alias("n"))
-        near = heads.join(self._facts("a"), "a").join(self._facts("b"), "b").where(_near())
+    def _most_shared(self, heads: DataFrame) -> DataFrame:
+        """a, b: of rows a, b (one for each shared signature) the few b for each a that it shares most with."""
+        counted = heads.groupBy("a", "b").agg(F.count("*").alias("n"))
+        near = counted.join(self._facts("a"), "a").join(self._facts("b"), "b").where(_near())
         best = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "b")))
         few = near.groupBy("a").agg(F.slice(best, 1, FIRST_LINKS).alias("bs"))
         return few.select("a", F.explode("bs.b").alias("b"))
 
+    def first_pairs(self) -> DataFrame:
+        """a, b: sets and the heads of their signatures."""
+        return self._most_shared(self.members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
+
+    def next_pairs(self, roots: DataFrame) -> DataFrame:
+        """a, b: sets outside the largest component of a signature, and a member of that component."""
+        known = stored(self.members.select("sig", "node").join(roots, "node"), "jaccard-rooted")
+        by_root = known.groupBy("sig", "root").agg(F.count("*").alias("n"), F.max("node").alias("head"))
+        top = by_root.groupBy("sig").agg(F.max(F.struct("n", "root", "head")).alias("top"), F.count("*").alias("n_roots"))
+        top = top.where("n_roots > 1").select("sig", "top.root", "top.head").withColumnRenamed("root", "top_root")
+        outside = known.join(top, "sig").where("root <> top_root")
+        return self._most_shared(outside.select(F.col("node").alias("a"), F.col("head").alias("b")))
+
     def probes(self) -> DataFrame:
         """sig, node: all rows of ``members`` but, for each set and instance, the most frequent it can do without."""
         own = W.partitionBy("node", F.col("sig").bitwiseAND(4095)).orderBy(F.desc("n"), "sig")
@@ -279,10 +292,12 @@ class Join:
     def roots(self) -> DataFrame:
         """node, root."""
         names = self.nodes.select("node")
-        first = self.links(self.first_pairs())
-        roots = stored(components(first, names), "jaccard-components")
-        cross = self.links(self.cross_pairs(roots))
-        return stored(components(first.union(cross), names), "jaccard-components")
+        links = self.links(self.first_pairs())
+        roots = stored(components(links, names), "jaccard-components")
+        links = links.union(self.links(self.next_pairs(roots)))
+        roots = stored(components(links, names), "jaccard-components")
+        links = links.union(self.links(self.cross_pairs(roots)))
+        return stored(components(links, names), "jaccard-components")
 
 
 def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
