@@ -374,9 +374,10 @@ class Index:
             own = entry[taken]
             post = _ranges(self.entry_from[own], self.entry_from[own + 1])
             part = np.repeat(x[taken], self.entry_from[own + 1] - self.entry_from[own]) * self.post_x[post]
-            hit, at = np.unique(self.post_at[post], return_inverse=True)
+            found = np.bincount(self.post_at[post], part)
+            hit = np.flatnonzero(found)
             examples = np.concatenate([examples, hit])
-            sims = np.concatenate([sims, np.bincount(at, part).round(12)])
+            sims = np.concatenate([sims, found[hit].round(12)])
             if len(sims) > k:
                 kth = np.partition(sims, -k)[-k]
                 near = sims >= kth
