@@ -269,7 +269,9 @@ def anomalies_by_baseline(spark, sf_dir):
     part = F.minute("window_start")
     parts = [baseline.states(windows.filter(part == n)) for n in (0, 15, 30, 45)]
     merged = baseline.merge(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]))
-    return cents(baseline.anomalies(windows, merged, 2.0), "revenue", "expected", "deviation")
+    # means of cents fall on half cents, so they are rounded further out
+    return cents(baseline.anomalies(windows, merged, 2.0), "revenue", "deviation").withColumn(
+        "expected", F.bround("expected", 6))
 
 
 def serving_documents(spark, sf_dir):

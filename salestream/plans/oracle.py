@@ -340,7 +340,7 @@ ORACLE_SQL: dict[str, str] = {
           FROM placed a JOIN placed b ON a.how = b.how AND a.category = b.category AND b.day < a.day
           GROUP BY ALL)
         SELECT window_start, window_end, category, {_CENTS}, sales_count,
-               round_even(expected, 2) AS expected, round_even((revenue - expected) / sd, 2) AS deviation
+               round_even(expected, 6) AS expected, round_even((revenue - expected) / sd, 2) AS deviation
         FROM judged WHERE n >= 3 AND sd > 0 AND abs((revenue - expected) / sd) > 2.0""",
     "rollup_reports": f"""{_CORRECTED}, report AS ({_BY_CATEGORY}), shares AS ({_SHARES})
         SELECT report.*, round_even(percent, 2) AS percent FROM report JOIN shares USING (category)""",
