@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from salestream.llm import license_scan
 from tests.llm.conftest import prose, rows_of
 
@@ -45,3 +47,69 @@ def test_table(docs_of):
     assert rows_of(license_scan.scan(docs), "doc_id", "license", "start") == sorted(
         [(1, "Apache-2.0", 2), (4, "Apache-2.0", 0), (4, "Apache-2.0", 0), (None, "Apache-2.0", 0)], key=repr)
     assert rows_of(license_scan.scan(docs.limit(0))) == []
+
+
+def least_changes(own, words):
+    """Brute force: the fewest changes between a template and any stretch, by the textbook table for every start."""
+    best = len(own)
+    for start in range(len(words)):
+        row = list(range(len(words) - start + 1))
+        for i, w in enumerate(own, 1):
+            after = [i]
+            for j, v in enumerate(words[start:], 1):
+                after.append(min(row[j] + 1, after[j - 1] + 1, row[j - 1] + (w != v)))
+            row = after
+        best = min(best, *row[1:])
+    return best
+
+
+def test_changes_are_those_of_brute_force():
+    pick = random.Random(4)
+    scanner = license_scan.Scanner()
+    for i, (license_id, _, wording) in enumerate(license_scan.TEMPLATES):
+        if len(wording) > 250:
+            continue
+        stated = wording.replace("{}", "3.0").split()
+        for _ in range(int(len(stated) * 0.1)):
+            at = pick.randrange(len(stated))
+            stated[at:at + 1] = pick.choice(([], [stated[at], "indeed"], ["other"]))
+        text = f"{prose(i, 12)} {' '.join(stated)} {prose(i + 1, 12)}"
+        words = [w for w, _, _ in license_scan.wording(text)]
+        every = {t: least_changes(own, words) for t, own in enumerate(scanner.words) if len(own) < 60}
+        for f in scanner.scan(text):
+            assert f[5] == every[f[1]] and max(len(f[6]), len(f[7])) <= f[5] <= len(f[6]) + len(f[7])
+        names = set(words)
+        if set(license_scan.TEMPLATES[i][1]) <= names and every[i] <= license_scan.MOST_CHANGED * len(scanner.words[i]):
+            assert license_id in {f[0] for f in scanner.scan(text)}
+
+
+def test_a_rejected_stretch_hides_none():
+    assert found("Licensed under CC BY-ND 4.0. Licensed under CC BY-SA") == [("CC-BY-SA", "Licensed under CC BY-SA", 1)]
+    assert [f[2] for f in found("Licensed under CC BY-SA 4.0. Licensed under CC BY-SA")] == [0, 1]
+
+
+def whole(license_id):
+    return max((t for name, _, t in license_scan.TEMPLATES if name == license_id), key=len)
+
+
+def test_whole_texts_with_a_clause_left_out_or_added():
+    scan = license_scan.Scanner().scan
+    (mit,) = scan(whole("MIT").replace("sublicense, ", "").replace("TORT OR OTHERWISE", "TORT, CRIME OR OTHERWISE"))
+    assert mit[0] == "MIT" and mit[5] == 2 and mit[6] == ["sublicense"] and mit[7] == ["crime"]
+    assert [f[0] for f in scan(whole("BSD-2-Clause"))] == ["BSD-2-Clause"]
+    (three,) = scan("\n * " + whole("BSD-3-Clause").replace(" ", "\n * "))
+    assert three[0] == "BSD-3-Clause" and three[5] == 0
+    (agpl,) = scan("x " + whole("AGPL").replace("{}", "3"))
+    assert agpl[0] == "AGPL" and agpl[5] == 0 and agpl[8] == "3"
+
+
+def test_versions():
+    text = "Licensed under the Apache License, Version 2.0. " + prose(5, 400) + \
+        " This work is licensed under the GNU General Public License, version 3. Licensed under CC BY-SA"
+    assert [(f[0], f[8]) for f in license_scan.Scanner().scan(text)] == [
+        ("Apache-2.0", "2.0"), ("GPL", "3"), ("CC-BY-SA", None)]
+
+
+def test_whole_texts_across_pieces():
+    text = "  ".join(f"{whole('MIT')} {prose(i, 20 + 31 * (i % 5))} {whole('BSD-3-Clause')}" for i in range(20))
+    assert [(f[0], f[5]) for f in license_scan.Scanner().scan(text)] == [("MIT", 0), ("BSD-3-Clause", 0)] * 20
