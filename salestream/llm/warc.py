@@ -7,18 +7,25 @@ payloads of at least ``LEAST_REVISIT`` bytes one is stored, the others are revis
 Records go out through Spark's text sink (strings are bytes there, and the record end is its line
 separator), so the archives are on any file system and are committed like other tables.
 
-Reading: files come whole (written ones unpack to ``FILE_BYTES`` at most) and are parsed
+Reading: all visible files below a path, packed or not, come whole (written ones unpack to ``FILE_BYTES`` at most, and
+no file may be larger than a task's memory) and are parsed
 record by record in Arrow batches. Continuation records are grouped by their origin, ordered by number, and
 joined; missing, repeated or excess segments and a wrong total length are errors, as is broken framing:
-``error`` names it, and the payload is null. Revisits take length and digest from what they refer to.
+``error`` names it, and the payload is null. Revisits take length and digest from what they refer to. Resources and
+conversions are payload throughout; warcinfo, request and metadata records have none, and are no pages.
+A stated payload digest (hex or base32, of the payload or of its body as transferred) is compared where its algorithm is
+one of ``DIGESTS``.
 
 Defined results: a null payload is written as an empty one, a null target or page id as no header. Control
 characters of a target are percent-encoded. Rows that repeat an id are records of their own. Payloads may
-hold anything, record ends included. An empty table gives an empty archive and no rows.
+hold anything, record ends included. An empty table gives an empty archive and no rows. Where a file is broken,
+the records before that place are read, and a row without type and id has an ``error`` with the byte (unpacked) and the file;
+the other files are read as ever. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -39,6 +46,9 @@ FILE_BYTES = 64_000_000
 #: All records of this writer have the same date, so that an archive is the same whenever it is written.
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
+DIGESTS = ("sha1", "md5", "sha256")
+#: Records that stand for a page; what is broken beyond recognition has no type.
+PAGES = ("response", "resource", "revisit")
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 RECORD = "record_type string, record_id string, target string, page_id long, digest string, refers_to string, " \
@@ -171,41 +181,70 @@ def parse_records(content: bytes) -> Iterator[tuple]:
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[] for _ in _KINDS]
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, _KINDS, strict=True)], names=_NAMES)
+    """Rows of ``RECORD`` with error."""
+    kinds, names = (*_KINDS, pa.string()), [*_NAMES, "error"]
+    columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
-def gunzip(content: bytes) -> bytes:
-    """All members of a gzip file, one for the whole or one for each record."""
+def _unpacked(content: bytes) -> tuple[bytes, str | None]:
+    """What the members of a gzip file hold, as far as they can be read, and what is wrong with them."""
     out = []
     while content:
         member = zlib.decompressobj(31)
-        out.append(member.decompress(content))
+        try:
+            out.append(member.decompress(content))
+        except zlib.error:
+            return b"".join(out), "broken gzip member"
+        if not member.eof:
+            return b"".join(out), "gzip member is cut off"
         content = member.unused_data
-    return b"".join(out)
+    return b"".join(out), None
+
+
+def gunzip(content: bytes) -> bytes:
+    """All members of a gzip file, one for the whole or one for each record."""
+    whole, wrong = _unpacked(content)
+    if wrong:
+        raise ValueError(wrong)
+    return whole
+
+
+def _file_records(file: str, content: bytes) -> Iterator[tuple]:
+    """The records of a file with error, and a row that is nothing but an error where it is broken."""
+    content, wrong = _unpacked(content) if content[:2] == b"\x1f\x8b" else (content, None)
+    try:
+        for row in parse_records(content):
+            yield *row, None
+    except ValueError as error:
+        wrong = f"{wrong}, {error}" if wrong else str(error)
+    else:
+        wrong = wrong and f"{wrong} after byte {len(content)}"
+    if wrong:
+        yield *[None] * len(_NAMES), f"{wrong} of {file}"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for content in batch.column(0):
+        for file, content in zip(batch.column(0), batch.column(1), strict=True):
             rows, size = [], 0
-            whole = content.as_py()
-            if whole[:2] == b"\x1f\x8b":
-                whole = gunzip(whole)
-            for row in parse_records(whole):
+            for row in _file_records(file.as_py(), content.as_py()):
                 rows.append(row)
-                size += len(row[9])
+                size += len(row[9] or b"")
                 if size > 2_000_000:
                     yield _record_batch(rows)
                     rows, size = [], 0
             yield _record_batch(rows)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record as it stands: the columns of ``RECORD``."""
+def read_records(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Every record as it stands: the columns of ``RECORD``, and error.
+
+    ``pattern``: names of the files to read; those that begin with a dot or an underscore are hidden.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(_parse, RECORD)
+        "pathGlobFilter", pattern).load(path)
+    return files.select("path", "content").mapInArrow(_parse, f"{RECORD}, error string")
 
 
 def reassemble(records: DataFrame) -> DataFrame:
@@ -214,8 +253,8 @@ def reassemble(records: DataFrame) -> DataFrame:
     Whole records pass by; only segmented ones are shuffled, each by its origin. A group is one record's block.
     """
     base = ["record_type", "record_id", "target", "page_id", "digest", "refers_to"]
-    whole = records.where("origin IS NULL AND segment IS NULL").select(
-        *base, "block", F.lit(None).cast("string").alias("error"))
+    stated = F.col("error") if "error" in records.columns else F.lit(None).cast("string")
+    whole = records.where("origin IS NULL AND segment IS NULL").select(*base, "block", stated.alias("error"))
     parts = records.where("origin IS NOT NULL OR segment IS NOT NULL").withColumn(
         "key", F.coalesce("origin", "record_id"))
     firsts = [F.max(F.when(F.col("origin").isNull(), F.col(c))).alias(c) for c in base]
@@ -261,15 +300,32 @@ def decode_http(block: bytes) -> tuple[bytes | None, str | None]:
         at += n + 2
 
 
+def _differs(stated: str | None, payload: bytes, block: bytes) -> bool:
+    """Whether a stated digest is neither that of the payload nor that of the body as transferred."""
+    kind, _, value = (stated or "").partition(":")
+    if kind.lower() not in DIGESTS:
+        return False
+    head = _STATUS_END.search(block)
+    for body in (payload, block[head.end():] if head else block):
+        digest = hashlib.new(kind.lower(), body).digest()
+        if value.lower() == digest.hex() or value.upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("="):
+            return False
+    return True
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.schema.names
         columns = {n: batch.column(i) for i, n in enumerate(names)}
         payloads, errors = [], []
-        for kind, block, error in zip(columns["record_type"], columns["block"], columns["error"], strict=True):
-            payload, wrong = None, error.as_py()
-            if kind.as_py() != "revisit" and wrong is None:
+        for kind, block, error, digest in zip(*(columns[c] for c in ("record_type", "block", "error", "digest")), strict=True):
+            payload, wrong, kind = None, error.as_py(), kind.as_py()
+            if wrong is None and kind == "response":
                 payload, wrong = decode_http(block.as_py())
+            elif wrong is None and kind in ("resource", "conversion"):
+                payload = block.as_py()
+            if payload is not None and _differs(digest.as_py(), payload, block.as_py()):
+                wrong = "digest differs"
             payloads.append(payload)
             errors.append(wrong)
         columns |= {
@@ -281,26 +337,26 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([columns[n] for n in order], names=order)
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Responses and revisits: record_type, record_id, target, page_id, digest, refers_to, payload, error,
+def read_archive(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """All records, segments put together: record_type, record_id, target, page_id, digest, refers_to, payload, error,
     payload_bytes, payload_digest.
 
     ``digest`` is the one that the archive states; a response whose payload has another gets an error.
     """
-    decoded = reassemble(read_records(spark, path)).mapInArrow(
+    return reassemble(read_records(spark, path, pattern)).mapInArrow(
         _decode, "record_type string, record_id string, target string, page_id long, digest string, "
                  "refers_to string, payload binary, error string, payload_bytes long, payload_digest string")
-    wrong = F.when(F.concat(F.lit("sha1:"), "payload_digest") != F.col("digest"), "digest differs")
-    return decoded.withColumn("error", F.coalesce("error", wrong))
 
 
 def resolve(archive: DataFrame) -> DataFrame:
     """One row per page record: page_id, payload_bytes, payload_digest, record_type, refers_to, error.
 
+    Records of other types than ``PAGES`` are left out; what is broken beyond recognition is a row with an error.
     A revisit has the figures of the response it names. Responses are looked up by their record id, so the
     revisits of one response may meet in a partition; adaptive execution splits it.
     """
-    found = stored(archive.select(
+    pages = archive.where(F.col("record_type").isin(*PAGES) | F.col("record_type").isNull())
+    found = stored(pages.select(
         "record_type", "record_id", "page_id", "refers_to", "error", "payload_bytes", "payload_digest"), "warc-read")
     responses = found.where("refers_to IS NULL").drop("refers_to")
     named = responses.select(

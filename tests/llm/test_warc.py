@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
+import pathlib
 import random
 
 import pytest
@@ -99,3 +102,51 @@ def test_empty_table(spark):
     path = new_path(spark, "archive")
     warc.write_archive(pages(spark, [(1, "u", "x")]).where(F.lit(False)), path)
     assert rows_of(warc.resolve(warc.read_archive(spark, path))) == []
+
+
+def record(kind, record_id, block, *headers):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id}>", *headers, f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_a_folder_of_ordinary_archives(spark):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    body = b"<p>page</p>" * 3
+    base32 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    chunked = b"3\r\nabc\r\n0\r\n\r\n"
+    as_sent = base64.b32encode(hashlib.sha1(chunked).digest()).decode()
+    one = [record("warcinfo", "i", b"software: x"), record("request", "q", b"GET / HTTP/1.1\r\n\r\n"),
+           record("response", "r", http + body, f"WARC-Payload-Digest: sha1:{base32}", "WARC-Page-ID: 1"),
+           record("metadata", "m", b"a: b")]
+    two = [record("resource", "s", b"plain, no headers", "WARC-Page-ID: 2"),
+           record("revisit", "v", b"", "WARC-Refers-To: <r>", "WARC-Page-ID: 3"),
+           record("response", "c", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked,
+                  f"WARC-Payload-Digest: sha1:{as_sent}", "WARC-Page-ID: 4"),
+           record("response", "w", http + body, "WARC-Payload-Digest: sha1:AAAA", "WARC-Page-ID: 5"),
+           record("response", "x", http + body, "WARC-Payload-Digest: other:AAAA", "WARC-Page-ID: 6")]
+    good = record("resource", "g", b"good", "WARC-Page-ID: 7")
+    path = new_path(spark, "ordinary")
+    folder = pathlib.Path(path.removeprefix("file:"))
+    (folder / "below").mkdir(parents=True)
+    packed = [gzip.compress(r) for r in two]
+    (folder / "a.warc").write_bytes(b"".join(one))
+    (folder / "below" / "b.warc.gz").write_bytes(b"".join(packed))
+    (folder / "cut.warc").write_bytes(good + one[2][:-20])
+    (folder / "cut.warc.gz").write_bytes(gzip.compress(good) + packed[2][:-12])
+    (folder / "bad.warc.gz").write_bytes(gzip.compress(good) + b"not packed")
+    (folder / "_notes").write_bytes(b"hidden")
+    archive = warc.read_archive(spark, path)
+    found = warc.resolve(archive).orderBy("page_id").collect()
+    whole = {r["page_id"]: (r["record_type"], r["payload_bytes"], r["refers_to"], r["error"]) for r in found if r["page_id"]}
+    assert whole == {1: ("response", len(body), None, None), 2: ("resource", 17, None, None), 3: ("revisit", len(body), 1, None),
+                     4: ("response", 3, None, None), 5: ("response", len(body), None, "digest differs"),
+                     6: ("response", len(body), None, None), 7: ("resource", 4, None, None)}
+    assert sum(r["page_id"] == 7 for r in found) == 3
+    broken = sorted(r["error"] for r in found if r["page_id"] is None)
+    assert [(e.split(" of file:")[0], e.rsplit("/", 1)[1]) for e in broken] == [
+        (f"broken gzip member after byte {len(good)}", "bad.warc.gz"),
+        (broken[1].split(" of file:")[0], "cut.warc.gz"),
+        (f"record is cut off before byte {broken[2].split('before byte ')[1].split()[0]}", "cut.warc")]
+    assert broken[1].startswith("gzip member is cut off")
+    assert {r["record_type"] for r in archive.collect()} >= {"warcinfo", "request", "metadata"}
+    assert warc.read_records(spark, path, "*.warc").where("error IS NULL").count() == len(one) + 1
