@@ -2,12 +2,12 @@
 
 1. One scan hashes every whole text (white space removed) and stores a slim table: id, length, digest.
 2. A Misra-Gries sketch (``approx_top_k``; one per digest slice, so that sketches are merged by many
-   tasks) names the digests that may be frequent. Any digest with more than about one in
-   ``SLICES * COUNTERS * 3/4`` rows is among them.
+   tasks) names up to ``NAMED`` digests of each slice, the most frequent first. With these figures a digest with more
+   than one in 20 rows of its slice is among them, the sketch's error allowed for.
 3. Exact sizes and winners of the named digests are counted with map-side partial sums: the verified
    winners. At most ``SLICES * NAMED`` rows, whatever the input, so they are broadcast and their rows are
    settled without a shuffle.
-4. The remaining digests, none of them frequent, take the ordinary way: one shuffle by digest.
+4. The remaining digests, none with a larger share than that, take the ordinary way: one shuffle by digest.
 
 Defined results: a null text counts as empty; all empty texts are equal. A null id loses every tie. Of
 rows that repeat both id and text exactly one stays. An empty table gives no rows. Columns other than id
