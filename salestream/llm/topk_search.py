@@ -9,16 +9,18 @@
 3. The last pass keeps the scores above that value, and of those equal to it the least ids as far as
    they can be needed. One ranking of these few rows breaks ties.
 
-Defined results: vectors that are null, or hold a null or non-finite component, take no part. Only vectors
-of one length are compared. Every row is a vector of its own: a row that repeats an id is compared with its
-likes, and null ids come last among ties and ask nothing. Scores beyond ``MOST_SCORE`` are cut to it. Fewer than k
-candidates give fewer rows. An empty table gives none. Other columns are not read.
+Scores are exact at any size. The histograms count keys that never fall as scores rise: a score below ``WIDE`` is its own
+key, a larger one has its sign, bit length and leading bits. Scores of one key are then compared in full.
+
+Defined results: vectors that are null, or hold a component that is null or whose multiple by the scale is no finite
+double, take no part. Only vectors of one length are compared. Every row is a vector of its own: a row that repeats an id is
+compared with its likes, and null ids come last among ties and ask nothing. Ranks go by exact scores; the score
+column alone is held within the longs. Fewer than k candidates give fewer rows. An empty table gives none. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,54 +40,86 @@ QUERY_BLOCK = 1_000
 CANDIDATE_BLOCK = 8_000
 #: Scores held at once in a task.
 SCORES_AT_ONCE = 1_000_000
-#: Scores are cut to this size, so that differences of two are longs.
-MOST_SCORE = 2**61 - 1
+#: Scores held at once where they are beyond ``WIDE``.
+WIDE_SCORES_AT_ONCE = 100_000
+#: From this size on, a score's key is made of its bit length and leading bits.
+WIDE = 2**60
+LEADING_BITS = 47
+#: Above all keys; differences of two are longs.
+MOST_KEY = 2**61
+LONG = 2**63
 #: Up to this size sums of doubles are exact whole numbers.
 EXACT_DOUBLE = 2**53
 
 
 def whole_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """row, vec_id, dim, vec (whole numbers) of the rows that take part, stored."""
-    x = lambda c: c.cast("double")
+    """row, vec_id, dim, vec (whole numbers, as doubles) of the rows that take part, stored."""
+    x = lambda c: F.lit(float(scale)) * c.cast("double")
     usable = F.forall(vec_col, lambda c: c.isNotNull() & ~F.isnan(x(c)) & (F.abs(x(c)) != float("inf")))
+    # a double of EXACT_DOUBLE or more is a whole number, and may be no long
+    whole = lambda y: F.when(F.abs(y) < EXACT_DOUBLE, F.floor(y).cast("double")).otherwise(y)
     rows = df.where(F.col(vec_col).isNotNull() & usable).select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"),
-        F.transform(vec_col, lambda c: F.floor(scale * x(c)).cast("long")).alias("vec"))
+        F.transform(vec_col, lambda c: whole(x(c))).alias("vec"))
     return stored(rows.withColumn("dim", F.size("vec")), "vectors")
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.int64).reshape(len(column), -1)
+    return np.array(column.tolist(), dtype=np.float64).reshape(len(column), -1)
+
+
+def _largest(queries: np.ndarray, candidates: np.ndarray) -> int:
+    """No score is larger, either way."""
+    most = lambda a: int(np.abs(a).max(initial=0))
+    return most(queries) * most(candidates) * queries.shape[1]
+
+
+def _key(score: int) -> int:
+    size = abs(score)
+    if size < WIDE:
+        return score
+    bits = size.bit_length()
+    key = WIDE + (bits << LEADING_BITS) + ((size >> (bits - 1 - LEADING_BITS)) & ((1 << LEADING_BITS) - 1))
+    return key if score > 0 else -key
 
 
-def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Inner products as longs, exactly."""
-    # in Python numbers: the absolute value of the least long is no long
-    most = lambda a: max(abs(int(a.max())), abs(int(a.min()))) if a.size else 0
-    bound = most(queries) * most(candidates) * queries.shape[1]
+def _detail(score: int) -> bytes | None:
+    """Orders the scores of one key, which have one sign and bit length; None where the key is the score."""
+    size = abs(score)
+    if size < WIDE:
+        return None
+    n = (size.bit_length() + 7) // 8
+    return (size if score > 0 else (1 << (8 * n)) - 1 - size).to_bytes(n, "big")
+
+
+def scores(queries: np.ndarray, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Keys of the inner products, and these themselves (as Python numbers) where some may be ``WIDE``."""
+    bound = _largest(queries, candidates)
     if bound < EXACT_DOUBLE:
-        return (queries.astype(np.float64) @ candidates.astype(np.float64).T).astype(np.int64)
-    if bound <= MOST_SCORE:
-        return queries @ candidates.T
-    exact = queries.astype(object) @ candidates.astype(object).T
-    return np.clip(exact, -MOST_SCORE, MOST_SCORE).astype(np.int64)
+        return (queries @ candidates.T).astype(np.int64), None
+    if bound < WIDE:
+        return queries.astype(np.int64) @ candidates.astype(np.int64).T, None
+    whole = lambda a: np.array([[int(x) for x in row] for row in a], dtype=object).reshape(a.shape)
+    exact = whole(queries) @ whole(candidates).T
+    return np.array([_key(x) for x in exact.ravel()], dtype=np.int64).reshape(exact.shape), exact
 
 
-def _parts(queries: pd.DataFrame, candidates: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
-    """Queries, as many as memory allows; their scores; and which of these are of other rows."""
+def _parts(queries: pd.DataFrame, candidates: pd.DataFrame):
+    """Queries, as many as memory allows; keys and exact scores; and which of these are of other rows."""
     if not len(queries) or not len(candidates):
         return
     them, rows = _matrix(candidates["vec"]), candidates["row"].to_numpy()
-    step = max(1, SCORES_AT_ONCE // len(candidates))
+    wide = _largest(_matrix(queries["vec"]), them) >= WIDE
+    step = max(1, (WIDE_SCORES_AT_ONCE if wide else SCORES_AT_ONCE) // len(candidates))
     for at in range(0, len(queries), step):
         part = queries.iloc[at:at + step]
-        yield part, scores(_matrix(part["vec"]), them), rows[None, :] != part["row"].to_numpy()[:, None]
+        yield part, *scores(_matrix(part["vec"]), them), rows[None, :] != part["row"].to_numpy()[:, None]
 
 
 def _histogram(k: int):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"row": np.zeros(0, np.int64), "bin": np.zeros(0, np.int32), "n": np.zeros(0, np.int64)})]
-        for part, found, others in _parts(queries, candidates):
+        for part, found, _, others in _parts(queries, candidates):
             low, bits = part["low"].to_numpy()[:, None], part["bits"].to_numpy()[:, None]
             # a bin beyond the interval's end is the same for all that are above, one before its start for all below
             bins = np.clip((found - low) >> np.maximum(bits - BIN_BITS, 0), -1, 1 << np.minimum(bits, BIN_BITS)) + 1
@@ -103,23 +137,32 @@ def _histogram(k: int):
     return run
 
 
+BEST = "query_row long, query_id long, row long, vec_id long, key long, detail binary, score long"
+
+
 def _best(k: int):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_row", "query_id", "row", "vec_id", "score"]
         out = []
         # equal scores are taken in the order of the ranking: least id first, null last, then row
         order = np.lexsort((candidates["row"], candidates["vec_id"].fillna(0), candidates["vec_id"].isna()))
         candidates = candidates.iloc[order].reset_index(drop=True)
-        for part, found, others in _parts(queries, candidates):
+        for part, found, exact, others in _parts(queries, candidates):
             kth = part["low"].to_numpy()[:, None]
             above, equal = others & (found > kth), others & (found == kth)
-            equal &= equal.cumsum(axis=1) <= k - above.sum(axis=1)[:, None]
+            room = k - above.sum(axis=1)
+            for q in np.flatnonzero(np.abs(kth[:, 0]) >= WIDE) if exact is not None else ():
+                best = sorted(np.flatnonzero(equal[q]), key=lambda c, q=q: -exact[q, c])  # stable: ties by id
+                equal[q] = False
+                equal[q, best[:room[q]]] = True
+            equal &= equal.cumsum(axis=1) <= room[:, None]
             at, c = np.nonzero(above | equal)
+            full = found[at, c].tolist() if exact is None else exact[at, c].tolist()
             out.append(pd.DataFrame({
                 "query_row": part["row"].to_numpy()[at], "query_id": part["vec_id"].to_numpy()[at],
                 "row": candidates["row"].to_numpy()[c], "vec_id": candidates["vec_id"].iloc[c].to_numpy(),
-                "score": found[at, c]}))
-        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in columns})
+                "key": found[at, c], "detail": pd.Series([_detail(x) for x in full], dtype=object),
+                "score": pd.Series([max(-LONG, min(LONG - 1, x)) for x in full], dtype="int64")}))
+        return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in BEST.split(", ")})
 
     return run
 
@@ -158,7 +201,8 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
     largest = candidates.select("dim", F.array_max(F.transform("vec", lambda c: F.abs(c.cast("double")))).alias("m"))
     most = largest.groupBy("dim").agg(F.max("m").alias("m"))
     total = F.aggregate("vec", F.lit(0.0), lambda a, c: a + F.abs(c.cast("double")))
-    reach = F.least(total * F.coalesce("m", F.lit(0.0)) * (1 + 1e-9) + 2, F.lit(float(MOST_SCORE)))
+    reach = total * F.coalesce("m", F.lit(0.0)) * (1 + 1e-9) + 2
+    reach = F.when(reach < float(WIDE), reach).otherwise(F.lit(float(MOST_KEY)))
     bits = (F.ceil(F.log2(reach)) + 1).cast("int")
     asked = candidates.where(is_query).join(most, "dim").withColumn("bits", bits)
     queries = stored(asked.select(
@@ -171,9 +215,9 @@ def search(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str
         counts = tiles.applyInPandas(_histogram(k), "row long, bin int, n long").groupBy("row", "bin").agg(
             F.sum("n").alias("n"))
         queries = stored(_refined(queries, counts, k), "queries")
-    best = _tiles(queries, candidates, n_q, n_c).applyInPandas(
-        _best(k), "query_row long, query_id long, row long, vec_id long, score long")
-    ranked = W.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
+    best = _tiles(queries, candidates, n_q, n_c).applyInPandas(_best(k), BEST)
+    ranked = W.partitionBy("query_row").orderBy(
+        F.desc("key"), F.desc("detail"), F.asc_nulls_last("vec_id"), "row")
     return best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 

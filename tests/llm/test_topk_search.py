@@ -13,15 +13,15 @@ SCHEMA = "vec_id long, embedding array<double>, label int, row int, score int"
 
 
 def brute(rows, k, every=20):
-    usable = [(n, i, [max(-2**63, min(2**63 - 1, math.floor(64 * x))) for x in v]) for n, (i, v) in enumerate(rows)
-              if v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    most, out = topk_search.MOST_SCORE, []
+    usable = [(n, i, [math.floor(64 * x) for x in v]) for n, (i, v) in enumerate(rows)
+              if v is not None and all(x is not None and math.isfinite(64 * x) for x in v)]
+    out = []
     for n, i, v in usable:
         if i is None or i % every:
             continue
-        scored = [(-max(-most, min(most, sum(a * b for a, b in zip(v, w, strict=True)))), j is None, j or 0, m)
+        scored = [(-sum(a * b for a, b in zip(v, w, strict=True)), j is None, j or 0, m)
                   for m, j, w in usable if m != n and len(w) == len(v)]
-        out += [(i, rank, None if none else j, -s) for rank, (s, none, j, _) in enumerate(sorted(scored)[:k], 1)]
+        out += [(i, rank, None if none else j, max(-2**63, min(2**63 - 1, -s))) for rank, (s, none, j, _) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out, key=repr)
 
 
@@ -55,3 +55,14 @@ def test_one_common_vector(spark):
 
 def test_empty_table(spark):
     check(spark, [])
+
+
+@pytest.mark.parametrize("size", [2.0**24, 2.0**26, 1e30, 1e300])
+def test_scores_beyond_a_long_are_ranked_exactly(spark, monkeypatch, size):
+    monkeypatch.setattr(topk_search, "CANDIDATE_BLOCK", 15)
+    pick = random.Random(3)
+    # many scores agree in all their leading bits and differ in the last ones, on both sides of zero
+    rows = [(i, [pick.choice([size, -size]), pick.choice([size, 0.0]), pick.randrange(3) / 64, pick.choice([1.0, -1.0])])
+            for i in range(60)]
+    rows += [(20, rows[20][1]), (70, [1.7e308, 0.0, 0.0, 0.0]), (71, [1e-3, 0.5, 3.0, 1.0])]
+    check(spark, rows, 9)
