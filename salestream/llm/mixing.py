@@ -5,11 +5,13 @@
 2. A source's weight is its token share to the power of an exponent, normalised. The exponent is bisected until the
    weights' entropy meets the target, or the most repeated source meets the limit on repetition; of two
    exponents the larger holds (the limit is hard). Each job measures all midpoints of ``LEVELS`` levels of
-   the bisection, over the table of sources, and returns a few numbers.
+   the bisection, over the table of sources, and returns a few numbers. With ``cap_each`` (without a budget) sources beyond the
+   limit on repetition are held at it one by one, so that a tiny one does not set the exponent of all.
 3. Weights become whole token budgets. A source is used in full passes, and in one partial pass that takes
    blocks in the order of that pass's permutation, and documents of the block where the budget ends
    in the order of its permutation. Only that block's documents are ranked; every other document
-   is decided by comparing its hashes with its source's, without moving texts.
+   is decided by comparing its hashes with its source's, without moving texts. The block where a budget ends is found
+   on two levels, first among ranges of the permutation and then within one, so no task orders all blocks of a source.
 
 The result sorted by (block_key, doc_key) is the mixture's order: blocks of all sources and passes permuted,
 and documents permuted within them. No budget is exceeded; one falls short by less than a document.
@@ -41,6 +43,8 @@ ROUNDS = 7
 #: Exponents and weights are rounded, so that the order in which doubles were added does not matter.
 EXPONENT_DIGITS = 6
 WEIGHT_DIGITS = 9
+#: Hex digits of a block's place that name its range of the permutation.
+RANGE_DIGITS = 3
 #: Up to so many sources their plan is broadcast; beyond, rows are joined with it by shuffle.
 BROADCAST_SOURCES = 10_000
 
@@ -67,15 +71,25 @@ def block_digits(n_rows: int, block_rows: int = BLOCK_ROWS) -> int:
     return digits
 
 
-def measure(sources: DataFrame, exponents: list[float], budget: float | None) -> list[tuple[float, float]]:
+def capped_uses(a: float, largest: float, cap: float) -> Column:
+    """Uses of a source where the largest one is used once and none more than ``cap`` times; ``a`` is 1 at most."""
+    return F.least(F.exp(F.lit(a - 1) * F.log(F.col("share") / F.lit(largest))), F.lit(cap))
+
+
+def measure(sources: DataFrame, exponents: list[float], budget: float | None,
+            capped: tuple[float, float] | None = None) -> list[tuple[float, float]]:
     """Entropy of the weights, and uses of the most repeated source, for each exponent.
 
-    Without a budget, the least used source is used once.
+    Without a budget, the least used source is used once. ``capped``: largest share, and most uses of each source.
     """
     columns = []
     for i, a in enumerate(exponents):
         power = F.exp(F.lit(a) * F.log("share"))
-        columns += [F.sum(power).alias(f"z{i}"), F.sum(power * a * F.log("share")).alias(f"e{i}"),
+        log_power = a * F.log("share")
+        if capped:
+            power = capped_uses(a, *capped) * F.col("share")
+            log_power = F.log(power)
+        columns += [F.sum(power).alias(f"z{i}"), F.sum(power * log_power).alias(f"e{i}"),
                     F.max(power / F.col("tokens")).alias(f"most{i}"), F.min(power / F.col("tokens")).alias(f"least{i}")]
     row = sources.where("tokens > 0").agg(*columns).first()
     out = []
@@ -87,13 +101,13 @@ def measure(sources: DataFrame, exponents: list[float], budget: float | None) ->
 
 
 def bisect(sources: DataFrame, budget: float | None, low: float, high: float,
-           enough: Callable[[float, float], bool]) -> float:
+           enough: Callable[[float, float], bool], capped: tuple[float, float] | None = None) -> float:
     """The exponent at which ``enough`` (of entropy, uses) turns true, if it does between low and high."""
     parts = 1 << LEVELS
     for _ in range(ROUNDS):
         points = [low + (high - low) * i / parts for i in range(1, parts)]
         at, step = 0, parts // 2
-        found = measure(sources, points, budget)
+        found = measure(sources, points, budget, capped)
         while step:  # the levels of the bisection, on measured midpoints
             if not enough(*found[at + step - 1]):
                 at += step
@@ -118,13 +132,26 @@ def exponent(sources: DataFrame, budget: float | None, target_entropy: float | N
     return round(max(found, default=1.0), EXPONENT_DIGITS)
 
 
-def weighted(sources: DataFrame, a: float, budget: float | None) -> DataFrame:
+def capped_exponent(sources: DataFrame, target_entropy: float, capped: tuple[float, float]) -> float:
+    """The largest exponent up to 1 whose capped weights meet the target, or 0 if none does."""
+    target = target_entropy * math.log(max(1, sources.where("tokens > 0").count()))
+    (natural, _), = measure(sources, [1.0], None, capped)
+    if natural >= target - 1e-9:
+        return 1.0
+    return round(bisect(sources, None, 0.0, 1.0, lambda entropy, _: entropy <= target, capped), EXPONENT_DIGITS)
+
+
+def weighted(sources: DataFrame, a: float, budget: float | None, capped: tuple[float, float] | None = None) -> DataFrame:
     """source_key, tokens, weight, target, passes, rest (tokens of the partial pass)."""
     power = F.exp(F.lit(a) * F.log("share"))
     total, least = sources.where("tokens > 0").agg(F.sum(power), F.min(power / F.col("tokens"))).first()
     weight = F.when(F.col("tokens") > 0, F.round(power / F.lit(total or 1.0), WEIGHT_DIGITS)).otherwise(0.0)
     if budget is None:
-        uses = F.round(power / F.col("tokens") / F.lit(least or 1.0), WEIGHT_DIGITS)
+        uses = capped_uses(a, *capped) if capped else power / F.col("tokens") / F.lit(least or 1.0)
+        uses = F.round(uses, WEIGHT_DIGITS)
+        if capped:
+            reached = sources.where("tokens > 0").agg(F.sum(uses * F.col("tokens"))).first()[0]
+            weight = F.when(F.col("tokens") > 0, F.round(uses * F.col("tokens") / F.lit(reached or 1.0), WEIGHT_DIGITS)).otherwise(0.0)
         target = F.floor(F.col("tokens") * F.greatest(uses, F.lit(1.0)))
     else:
         target = F.floor(F.lit(float(budget)) * F.col("weight"))
@@ -145,7 +172,7 @@ def _placed(df: DataFrame, id_col: str, source_col: str, digits: int, seed: str)
 
 
 def plan(df: DataFrame, id_col: str, source_col: str, text_col: str, budget: float | None, target_entropy: float | None,
-         most_repeats: float | None, block_rows: int, seed: str) -> tuple[DataFrame, int]:
+         most_repeats: float | None, block_rows: int, seed: str, cap_each: bool = False) -> tuple[DataFrame, int]:
     """The plan by source (weights, and where the partial pass ends), and the digits of block names."""
     slim = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     digits = block_digits(slim.count(), block_rows)
@@ -156,14 +183,29 @@ def plan(df: DataFrame, id_col: str, source_col: str, text_col: str, budget: flo
     total = blocks.agg(F.sum("tokens")).first()[0] or 0
     sources = stored(sources.withColumn("share", F.col("tokens") / F.lit(float(max(total, 1)))), "mix-sources")
     used = total if budget == "all" else budget
-    a = exponent(sources, used, target_entropy, most_repeats)
-    weights = stored(weighted(sources, a, used), "mix-weights")
+    if cap_each:
+        if used is not None or target_entropy is None or most_repeats is None:
+            raise ValueError("cap_each takes a target entropy and a limit on repetition, and no budget")
+        largest = sources.where("tokens > 0").agg(F.max("share")).first()[0]
+        capped = None if largest is None else (largest, float(most_repeats))
+        a = capped_exponent(sources, target_entropy, capped) if capped else 1.0
+    else:
+        capped, a = None, exponent(sources, used, target_entropy, most_repeats)
+    weights = stored(weighted(sources, a, used, capped), "mix-weights")
     border = _hash(seed, F.col("passes"), F.col("source_key"), F.col("block"))
-    before = W.partitionBy("source_key").orderBy("border")
-    ends = stored(
+    placed = (
         blocks.join(weights.where("rest > 0").drop("tokens", "share", "weight", "target"), "source_key")
         .withColumn("border", border)
-        .withColumn("upto", F.sum("tokens").over(before))
+        .withColumn("range", F.substring("border", 1, RANGE_DIGITS)))
+    range_ends = (
+        placed.groupBy("source_key", "range").agg(F.sum("tokens").alias("held"), F.first("rest").alias("rest"))
+        .withColumn("before", F.sum("held").over(W.partitionBy("source_key").orderBy("range")) - F.col("held"))
+        .where("before <= rest AND rest < before + held")
+        .select("source_key", "range", "before"))
+    within = W.partitionBy("source_key").orderBy("border")
+    ends = stored(
+        placed.join(range_ends, ["source_key", "range"])
+        .withColumn("upto", F.col("before") + F.sum("tokens").over(within))
         .where("upto - tokens <= rest AND rest < upto")
         .select("source_key", "block", "passes", "border", (F.col("rest") - F.col("upto") + F.col("tokens")).alias("room")),
         "mix-ends")
@@ -182,13 +224,16 @@ def plan(df: DataFrame, id_col: str, source_col: str, text_col: str, budget: flo
 
 def mixture(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
             budget: float | str | None = "all", target_entropy: float | None = TARGET_ENTROPY,
-            most_repeats: float | None = MOST_REPEATS, block_rows: int = BLOCK_ROWS, seed: str = SEED) -> DataFrame:
+            most_repeats: float | None = MOST_REPEATS, block_rows: int = BLOCK_ROWS, seed: str = SEED,
+            cap_each: bool = False) -> DataFrame:
     """The rows of ``df``, each as often as the mixture uses it, with pass (from 0), block, block_key, doc_key.
 
     ``budget``: tokens of the mixture; "all": as many as there are; None: as few as use every source in full.
+    ``cap_each``: without a budget, hold each source at ``most_repeats`` uses by itself; see the module.
     The added columns get another name (with ``_`` added) where ``df`` has such columns.
     """
-    spread, digits = plan(df, id_col, source_col, text_col, budget, target_entropy, most_repeats, block_rows, seed)
+    spread, digits = plan(
+        df, id_col, source_col, text_col, budget, target_entropy, most_repeats, block_rows, seed, cap_each)
     rows = _placed(df, id_col, source_col, digits, seed)
     skey, block = rows.columns[-2:]
     names = {c: own_name(rows, f"mix_{c}") for c in ("source_key", "passes", "end_border", "last_key")}

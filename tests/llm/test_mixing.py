@@ -84,6 +84,48 @@ def test_every_document_is_used_without_a_budget(docs_of):
     assert found.columns == [*docs.columns, "pass", "block", "block_key", "doc_key"]
 
 
+def test_a_tiny_source_is_capped_alone(docs_of):
+    rows = corpus() + [(4000, "only five words are here", "tiny")]
+    n = {s: t for s, t in tokens(rows).items() if t}
+    total = sum(n.values())
+
+    def capped(a):
+        most = max(n.values())
+        return {s: min(4.0, (t / most) ** (a - 1)) for s, t in n.items()}
+
+    def reached(a):
+        w = {s: u * n[s] for s, u in capped(a).items()}
+        return entropy({s: x / sum(w.values()) for s, x in w.items()})
+
+    target = 0.7 * math.log(len(n))
+    low, high = 0.0, 1.0
+    assert reached(1.0) < target < reached(0.0)
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (low, mid) if reached(mid) <= target else (mid, high)
+    copies = used(mixing.mixture(docs_of(*rows), budget=None, target_entropy=0.7, most_repeats=4.0, block_rows=16, cap_each=True))
+    assert set(copies) == {(i, s) for i, _, s in rows} and copies[(4000, "tiny")] == 4
+    got, size = Counter(), {(i, s): len((t or "").split()) for i, t, s in rows}
+    for doc, times in copies.items():
+        got[doc[1]] += times * size[doc]
+    for source, uses in capped(high).items():
+        assert abs(got[source] - uses * n[source]) <= max(size.values()) + 1e-4 * total
+    # the middle sources are not held back by the tiny one, as they are by one ratio for all
+    assert got["mid"] > 1.3 * n["mid"]
+    even = mixing.mixture(docs_of(*rows), budget=None, target_entropy=0.3, most_repeats=4.0, cap_each=True)
+    assert max(used(even).values()) == 1
+    none = docs_of(*rows).limit(0)
+    assert rows_of(mixing.mixture(none, budget=None, cap_each=True)) == []
+
+
+def test_one_range_of_blocks(docs_of, monkeypatch):
+    rows = corpus()
+    want = rows_of(mixing.mixture(docs_of(*rows), block_rows=4), "doc_id", "pass", "block_key")
+    for digits in (0, 1):
+        monkeypatch.setattr(mixing, "RANGE_DIGITS", digits)
+        assert rows_of(mixing.mixture(docs_of(*rows), block_rows=4), "doc_id", "pass", "block_key") == want
+
+
 def test_passes_have_permutations_of_their_own(docs_of):
     rows = [(i, "one two three", "a") for i in range(60)] + [(100 + i, "one two three", "b") for i in range(6)]
     found = mixing.mixture(docs_of(*rows), budget="all", target_entropy=1.0, most_repeats=None, block_rows=8)
