@@ -6,8 +6,9 @@ that is written and read again as the next one's documents. All but the last ret
 1. toxicity: documents that score as toxic go.
 2. line_dedup: lines that repeat across documents go, save in one of them.
 3. near_dedup: one document of each group of near copies (SimHash of four-word shingles, at most 4 of 64 bits) stays.
-4. mixing: sources get tempered weights. Every document is used at least once, those of small sources up
-   to ``MOST_REPEATS`` times (as repeated rows), so no clean document is lost here.
+4. mixing: sources get tempered weights whose entropy is the share ``mixing.TARGET_ENTROPY`` of the largest possible, where
+   that can be reached. Every document is used at least once, those of small sources up to ``mixing.MOST_REPEATS``
+   times (as repeated rows), each source held there by itself; no clean document is lost here.
 5. packing: documents become sequences.
 """
 
@@ -21,9 +22,6 @@ from pyspark.sql import functions as F
 from salestream.llm import line_dedup, mixing, packing, simhash, toxicity
 from salestream.llm.common import stored, table
 
-#: The most any source is repeated relative to the least repeated one.
-MOST_REPEATS = 1.25
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the same labels as the scoring query; rows that repeat id and text go together."""
@@ -42,7 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mixture(docs, budget=None, target_entropy=None, most_repeats=MOST_REPEATS)
+    mixed = mixing.mixture(docs, budget=None, cap_each=True)
     return mixed.select(*docs.columns)
 
 
@@ -58,7 +56,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: Nearest neighbours, fingerprints and tokens are beyond SQL; tests/llm holds the operators against brute force.
+#: Nearest neighbours, fingerprints and tokens are beyond SQL. tests/llm holds line dedup, near copies and mixed weights against
+#: brute force, toxicity's search too, packing by its layout and ids, and the stages by what planted rows come to.
 ORACLE_SQL = None
 
 
