@@ -57,6 +57,8 @@ THRESHOLD = 0.7
 #: Longer words stand as a hash of the whole word, so that the vocabulary is bounded in bytes too.
 LONGEST_TERM = 40
 WORDS_KEPT = 400_000
+#: Characters of examples whose terms are counted at once.
+CHARS_AT_ONCE = 500_000
 #: Tasks that add up the sums of all others.
 ADDERS = 32
 
@@ -287,6 +289,22 @@ class TermCounter:
         return pair // n_terms, pair % n_terms, n
 
 
+def counted_apart(texts: list[str], vocabulary: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Each text's terms and how often they stand there; ``CHARS_AT_ONCE`` or one text at once, to spare memory."""
+    counter, terms, counts, at = TermCounter(vocabulary), [], [], 0
+    while at < len(texts):
+        upto, chars = at + 1, len(texts[at])
+        while upto < len(texts) and chars + len(texts[upto]) <= CHARS_AT_ONCE:
+            chars += len(texts[upto])
+            upto += 1
+        row, term, n = counter.counts(texts[at:upto])
+        cuts = np.searchsorted(row, np.arange(1, upto - at))
+        terms += np.split(term, cuts)
+        counts += np.split(n, cuts)
+        at = upto
+    return terms, counts
+
+
 def document_frequencies(slim: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
     """In how many texts each term is, and how many texts there are."""
     n = len(vocabulary) + 1  # the last counts the texts
@@ -443,10 +461,9 @@ def learned(slim: DataFrame, labels: DataFrame) -> tuple[list[str], Index]:
     # 1 on average, so that the prior counts alike however many rows an example stands for
     stands = stands / stands.mean() if len(rows) else stands
     terms = candidate_terms([r["text"] for r in rows]) if toxic.any() and not toxic.all() else []
-    at, term, count = TermCounter(terms).counts([r["text"] for r in rows])
-    cuts = np.searchsorted(at, np.arange(1, len(rows)))
     known = Examples(np.array([r["doc_id"] for r in rows], dtype=np.int64), np.array([r["text_key"] for r in rows], dtype=np.int64),
-                     toxic, stands, np.split(term, cuts), np.split(count, cuts))
+                     toxic, stands, *counted_apart([r["text"] for r in rows], terms))
+    del rows
     idf = np.zeros(0)
     if terms:
         found, n_docs = document_frequencies(slim, terms)
