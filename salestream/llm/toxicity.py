@@ -6,7 +6,8 @@
    frequencies are counted over all documents: every task adds up its own, and the sums are added in two steps.
 3. The vocabulary is those terms whose share among the examples differs between labels by a number of standard errors.
    Which of ``CUTS`` it is, cross-validation over the examples decides: terms are chosen without a fold, and the cut is taken
-   whose out-of-fold votes have the least log loss, each fold calibrated by the others. The least cut takes every term.
+   whose out-of-fold votes have the least log loss, each fold calibrated by the others. The least cut takes every term. Each
+   fold is voted on in a task of its own.
 4. A document's nearest ``K`` examples by cosine of TF-IDF vectors over the vocabulary are found exactly with
    a block-max inverted index: examples in blocks of like ones, postings by term and block with the largest weight of
    each; blocks are searched in descending order of their bound until no bound exceeds the k-th best.
@@ -187,56 +188,100 @@ class Examples:
         return np.array([of_toxic.get(k, f) for k, f in zip(self.text_keys.tolist(), fold.tolist(), strict=True)], dtype=int)
 
 
-def fold_shares(known: Examples, idf: np.ndarray, fold: np.ndarray, base: float) -> dict[float, np.ndarray]:
-    """For each cut the share of every example by the examples outside its fold."""
-    n, n_terms, y = len(known), len(idf), known.toxic
-    row = np.repeat(np.arange(n), [len(t) for t in known.terms])
-    term = np.concatenate(known.terms)
-    weight = (1 + np.log(np.concatenate(known.counts).astype(float))) * idf[term]
-    out = {cut: np.full(n, base) for cut in CUTS}
-    for f in range(FOLDS):
-        inside = fold != f
+@dataclass
+class Postings:
+    """The terms of all examples: for each term, ascending, the numbers of its examples and how often it stands there."""
+
+    sizes: np.ndarray
+    row: np.ndarray
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, known: Examples, n_terms: int) -> Postings:
+        term = np.concatenate(known.terms)
+        order = np.argsort(term, kind="stable")
+        sizes = np.bincount(term, minlength=n_terms)
+        del term
+        row = np.repeat(np.arange(len(known), dtype=np.min_scalar_type(len(known))), [len(t) for t in known.terms])[order]
+        return cls(sizes, row, np.concatenate(known.counts)[order])
+
+
+def shares_of_fold(posts: Postings, y: np.ndarray, stands: np.ndarray, idf: np.ndarray, fold: np.ndarray, base: float,
+                   f: int) -> np.ndarray:
+    """A row for each cut: the shares of the examples of fold ``f`` by the examples outside it."""
+    n, inside, members = len(y), fold != f, np.flatnonzero(fold == f)
+    out = np.full((len(CUTS), len(members)), base)
+    ends = np.concatenate([[0], np.cumsum(posts.sizes)])
+    held = lambda which: np.diff(np.concatenate([[0], np.cumsum(which[posts.row])])[ends])
+    a, b = held(inside & ~y), held(inside & y)
+    z = np.where(a + b > 0, differences(a, b, int((inside & ~y).sum()), int((inside & y).sum())), -1.0)
+    for shares, cut in zip(out, CUTS, strict=True):
+        taken = z >= cut
+        if not taken.any() or not inside.any():
+            continue  # nothing to learn from: the base rate
+        size = posts.sizes[taken]
+        kept = np.repeat(taken, posts.sizes)
+        row, x = posts.row[kept], posts.count[kept].astype(float)
+        np.log(x, out=x)
+        x += 1
+        x *= np.repeat(idf[taken], size)
+        length = np.zeros(n)
+        for at in range(0, len(x), 1 << 18):  # a little at once, to spare memory
+            part = x[at:at + (1 << 18)]
+            np.add.at(length, row[at:at + (1 << 18)].astype(np.int64), part * part)
+        length = np.sqrt(length)
+        x /= length[row]
+        # postings of the examples outside the fold, by term; the terms of those inside, by example
         learn = inside[row]
-        a = np.bincount(term[learn & ~y[row]], minlength=n_terms)
-        b = np.bincount(term[learn & y[row]], minlength=n_terms)
-        z = np.where(a + b > 0, differences(a, b, int((inside & ~y).sum()), int((inside & y).sum())), -1.0)
-        for cut, shares in out.items():
-            at = np.flatnonzero((z >= cut)[term])
-            if not len(at) or not inside.any():
-                continue  # nothing to learn from: the base rate
-            x = weight[at]
-            length = np.sqrt(np.bincount(row[at], x * x, minlength=n))
-            x = x / length[row[at]]
-            # postings of the examples outside the fold, by term
-            held = at[learn[at]]
-            order = np.argsort(term[held], kind="stable")
-            post_row, post_x = row[held][order], x[learn[at]][order]
-            start = np.searchsorted(term[held][order], np.arange(n_terms + 1))
-            bare = inside & (length == 0)
-            stands = known.stands_for
-            no_terms = ((stands * y)[bare].sum() + PRIOR_VOTES * base) / (stands[bare].sum() + PRIOR_VOTES)
-            low = np.searchsorted(row[at], np.arange(n + 1))
-            for i in np.flatnonzero(fold == f):
-                own = slice(low[i], low[i + 1])
-                terms = term[at[own]]
-                if not len(terms):
-                    shares[i] = no_terms
-                    continue
-                post = _ranges(start[terms], start[terms + 1])
-                part = np.repeat(x[own], start[terms + 1] - start[terms]) * post_x[post]
-                sims = np.bincount(post_row[post], part, minlength=n)
-                near = np.flatnonzero(sims > 0)
-                shares[i] = voted(sims[near], y[near], stands[near], base)
+        start = np.concatenate([[0], np.cumsum(np.where(taken, a + b, 0))])
+        post_row, post_x = row[learn], x[learn]
+        own_row, own_x = row[~learn], x[~learn]
+        own_term = np.repeat(np.flatnonzero(taken).astype(np.int32), size)[~learn]
+        del kept, row, x, learn
+        order = np.argsort(own_row, kind="stable")
+        own_x, own_term = own_x[order], own_term[order]
+        low = np.searchsorted(own_row[order], members, "left")
+        high = np.searchsorted(own_row[order], members, "right")
+        bare = inside & (length == 0)
+        no_terms = ((stands * y)[bare].sum() + PRIOR_VOTES * base) / (stands[bare].sum() + PRIOR_VOTES)
+        for i in range(len(members)):
+            terms = own_term[low[i]:high[i]]
+            if not len(terms):
+                shares[i] = no_terms
+                continue
+            post = _ranges(start[terms], start[terms + 1])
+            part = np.repeat(own_x[low[i]:high[i]], start[terms + 1] - start[terms]) * post_x[post]
+            sims = np.bincount(post_row[post], part, minlength=n)
+            near = np.flatnonzero(sims > 0)
+            shares[i] = voted(sims[near], y[near], stands[near], base)
     return out
 
 
-def fit(known: Examples, idf: np.ndarray, base: float) -> tuple[np.ndarray, tuple | None]:
+def fold_shares(spark: SparkSession, known: Examples, idf: np.ndarray, fold: np.ndarray, base: float) -> dict[float, np.ndarray]:
+    """For each cut the share of every example by the examples outside its fold; a task for each fold."""
+    shared = spark.sparkContext.broadcast(  # bounded by the examples
+        (Postings.of(known, len(idf)), known.toxic, known.stands_for, idf, fold, base))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for f in batch.column(0).to_pylist():
+                shares = shares_of_fold(*shared.value, f)
+                yield pa.RecordBatch.from_arrays([pa.array([f]), pa.array([shares.tobytes()])], names=["fold", "shares"])
+
+    out = np.full((len(CUTS), len(known)), base)
+    for one in spark.range(0, FOLDS, 1, FOLDS).mapInArrow(run, "fold long, shares binary").collect():  # FOLDS rows
+        out[:, fold == one["fold"]] = np.frombuffer(one["shares"]).reshape(len(CUTS), -1)
+    shared.destroy()
+    return dict(zip(CUTS, out, strict=True))
+
+
+def fit(spark: SparkSession, known: Examples, idf: np.ndarray, base: float) -> tuple[np.ndarray, tuple | None]:
     """The numbers of the terms that are taken, and the map from shares to rates."""
     y, n_terms = known.toxic, len(idf)
     if not n_terms or y.all() or not y.any():
         return np.zeros(0, dtype=int), None
     fold = known.folds()
-    shares = fold_shares(known, idf, fold, base)
+    shares = fold_shares(spark, known, idf, fold, base)
     counts = [np.bincount(np.concatenate([t for t, of in zip(known.terms, y, strict=True) if of == label]),
                           minlength=n_terms) for label in (False, True)]
     z = differences(*counts, int((~y).sum()), int(y.sum()))
@@ -299,8 +344,8 @@ def counted_apart(texts: list[str], vocabulary: list[str]) -> tuple[list[np.ndar
             upto += 1
         row, term, n = counter.counts(texts[at:upto])
         cuts = np.searchsorted(row, np.arange(1, upto - at))
-        terms += np.split(term, cuts)
-        counts += np.split(n, cuts)
+        terms += np.split(term.astype(np.int32), cuts)
+        counts += np.split(n.astype(np.int32), cuts)
         at = upto
     return terms, counts
 
@@ -468,7 +513,7 @@ def learned(slim: DataFrame, labels: DataFrame) -> tuple[list[str], Index]:
     if terms:
         found, n_docs = document_frequencies(slim, terms)
         idf = np.log((1 + n_docs) / (1 + found)) + 1
-    chosen, rate_at = fit(known, idf, base)
+    chosen, rate_at = fit(slim.sparkSession, known, idf, base)
     return [terms[i] for i in chosen], Index(known, chosen, idf, base, rate_at)
 
 

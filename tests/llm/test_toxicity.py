@@ -262,3 +262,17 @@ def test_calibration():
     assert np.interp(0.65, at, rate) == pytest.approx(15 / 17, abs=0.03)
     falling = toxicity.pools(np.array([0.1, 0.2, 0.2, 0.4]), np.array([1, 0, 1, 0]), np.ones(4))
     assert falling.tolist() == [[pytest.approx(0.225), 0.5, 4]]
+
+
+def test_the_driver_does_not_vote(spark, monkeypatch):
+    """Cross-validation, the larger part of the driver's memory before, runs in tasks; shares are those of each example alone."""
+    rows = [(i, prose(i, 60, 300 + 40 * (i % 3))) for i in range(90)]
+    slim = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+
+    def refuse(*args):
+        raise AssertionError("votes on the driver")
+
+    monkeypatch.setattr(toxicity, "voted", refuse)
+    vocabulary, index = toxicity.learned(slim, labels)
+    assert vocabulary and index.rate_at is not None
