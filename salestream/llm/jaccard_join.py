@@ -14,8 +14,9 @@ seen from the smaller and 2 b / 9 as seen from the larger one.
    sketch, and their rows spread over several parts. A set probes with its least frequent signatures only: it agrees with a
    partner on so many that it can leave out as many of the most frequent ones as it has to spare, less one. What very many
    texts share, such as a passage, is thus compared only by sets that are made mostly of such things.
-4. Candidates pass an exact filter inside the join (sizes, and a 256-bit parity sketch, in which each differing shingle flips
-   one bit). Those left are compared by their whole sets of shingles.
+4. Candidates pass exact filters inside the join: sizes, a 256-bit parity sketch, in which each differing shingle flips
+   one bit, and a wider one that grows with the sets, as large sets fill 256 bits. Only signatures in which components still meet are
+   given sketches. Those left are compared by their whole sets of shingles.
 5. For components, pairs within a group are not listed: each set is first compared with the least sets of its
    signatures (a linear number), those it shares most with, then with a member of the largest component of a signature, and at last
    only sets that still are in different components are.
@@ -55,6 +56,8 @@ SALTS = 64
 #: Up to so many rows are handed to every task; more are shuffled.
 MOST_KEYS = 200_000
 SKETCH = ("s0", "s1", "s2", "s3")
+#: Bits of the wide sketch for each shingle of a band's largest set, and the most of them.
+WIDE, MOST_WIDE = 2, 1 << 14
 
 _SEEDS = 16
 _odd = np.random.default_rng(12).integers(0, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,34 +125,45 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Like ``sketch``, of a power of two of bits by the band; a partner's is as wide, or half or twice as wide and folds."""
+    n_bits, wanted = 256, min(MOST_WIDE, WIDE * band_of(len(shingles))[2])
+    while n_bits < wanted:
+        n_bits *= 2
+    odd = np.bincount((shingles & np.uint64(n_bits - 1)).astype(np.int64), minlength=n_bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= 80 * (len(a) + len(b) - both)
 
 
 _GROUPS = pa.list_(pa.struct([("instance", pa.int32()), ("spare", pa.int32()), ("sigs", pa.list_(pa.int64()))]))
-_SIGNED = ("doc_id long, text_key long, node long, size long, s0 long, s1 long, s2 long, s3 long, "
+_SIGNED = ("doc_id long, text_key long, node long, size long, s0 long, s1 long, s2 long, s3 long, wide array<bigint>, "
            "groups array<struct<instance:int,spare:int,sigs:array<bigint>>>")
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # copies within a task are signed once
     for batch in in_parts(batches):
-        nodes, sizes, sketches, groups = [], [], [], []
+        nodes, sizes, sketches, wides, groups = [], [], [], [], []
         for text in batch.column(2):
             shingles = shingle_set(text.as_py() or b"")
             node = xxhash.xxh64_intdigest(shingles.tobytes())
             nodes.append(node)
             sizes.append(len(shingles))
             sketches.append(sketch(shingles))
+            wides.append(wide_sketch(shingles))
             groups.append([] if node in seen else [
                 {"instance": i, "spare": spare, "sigs": sigs} for i, spare, sigs in signatures(shingles)])
             seen.add(node)
         bits = np.array(sketches, dtype=np.int64).reshape(-1, 4)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
-             pa.array(sizes, pa.int64()), *(pa.array(bits[:, i].copy()) for i in range(4)), pa.array(groups, _GROUPS)],
-            names=["doc_id", "text_key", "node", "size", *SKETCH, "groups"])
+             pa.array(sizes, pa.int64()), *(pa.array(bits[:, i].copy()) for i in range(4)),
+             pa.array(wides, pa.list_(pa.int64())), pa.array(groups, _GROUPS)],
+            names=["doc_id", "text_key", "node", "size", *SKETCH, "wide", "groups"])
 
 
 def _keep_similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +199,16 @@ def _near():
     return (F.least(a, b) * 5 >= F.greatest(a, b) * 4) & (flipped * 9 <= a + b)
 
 
+def _near_wide():
+    """The same of wide sketches, the wider one of two folded."""
+    words = F.least(F.size("wide_a"), F.size("wide_b"))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    folded = lambda c: F.when(F.size(c) > words, F.zip_with(
+        F.slice(c, 1, words), F.slice(c, words + 1, words), xor)).otherwise(F.col(c))
+    flipped = F.aggregate(F.zip_with(folded("wide_a"), folded("wide_b"), xor), F.lit(0), lambda n, x: n + F.bit_count(x))
+    return flipped * 9 <= F.col("size_a") + F.col("size_b")
+
+
 def _shared(flat: DataFrame) -> DataFrame:
     """sig, node, spare, head, n: rows of the signatures that several nodes of ``flat`` (sig, node, spare) have.
 
@@ -219,7 +243,7 @@ class Join:
         best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("best")
         #: node, size, sketch, best (its least row); one row for each different set that is not empty
         self.nodes = stored(rows.where("size > 0").groupBy("node").agg(
-            best, *(F.min(c).alias(c) for c in ("size", *SKETCH))), "jaccard-nodes")
+            best, *(F.min(c).alias(c) for c in ("size", *SKETCH, "wide"))), "jaccard-nodes")
         signed = rows.select("node", F.explode("groups").alias("g"))
         flat = signed.select(F.explode("g.sigs").alias("sig"), "node", "g.spare")
         self.members = stored(_shared(flat), "jaccard-members")
@@ -231,7 +255,10 @@ class Join:
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) whose whole sets are similar, stored."""
         spark = pairs.sparkSession
-        paths = [write_path(pairs, "jaccard-pairs")]
+        wide = lambda side: self.nodes.select(
+            F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("wide").alias(f"wide_{side}"))
+        near = pairs.join(wide("a"), "a").join(wide("b"), "b").where(_near_wide()).select("a", "b")
+        paths = [write_path(near, "jaccard-pairs")]
         pairs = spark.read.schema("a long, b long").parquet(paths[0])
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         keys = self.nodes.select("node", _row_key(F.col("best.doc_id"), F.col("best.text_key")).alias("row_key"))
@@ -266,28 +293,30 @@ class Join:
         outside = known.join(top, "sig").where("root <> top_root")
         return self._most_shared(outside.select(F.col("node").alias("a"), F.col("head").alias("b")))
 
-    def probes(self) -> DataFrame:
-        """sig, node: all rows of ``members`` but, for each set and instance, the most frequent it can do without."""
-        own = W.partitionBy("node", F.col("sig").bitwiseAND(4095)).orderBy(F.desc("n"), "sig")
-        return self.members.withColumn("place", F.row_number().over(own)).where("place >= spare").select("sig", "node")
-
     def cross_pairs(self, roots: DataFrame) -> DataFrame:
-        """a, b: candidates with different roots; roots: node, root."""
-        facts = self.nodes.select("node", "size", *SKETCH).join(roots, "node")
-        known = stored(self.members.select("sig", "node").join(facts, "node"), "jaccard-known")
+        """a, b: candidates with different roots; roots: node, root.
+
+        A set probes with all rows of ``members`` but, for each instance, the most frequent it can do without.
+        """
+        own = W.partitionBy("node", F.col("sig").bitwiseAND(4095)).orderBy(F.desc("n"), "sig")
+        rooted = self.members.join(roots, "node").withColumn("probe", F.row_number().over(own) >= F.col("spare"))
+        path = write_path(rooted.select("sig", "node", "root", "probe"), "jaccard-known")
+        known = roots.sparkSession.read.schema("sig long, node long, root long, probe boolean").parquet(path)
         mixed = (
             known.groupBy("sig", "root").agg(F.count("*").alias("n"))
             .groupBy("sig").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("n_roots"))
             .where("n_roots > 1").select("sig", F.col("top.root").alias("top"))
         )
-        named = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("size", *SKETCH, "root")]
-        right = known.select("sig", F.col("node").alias("b"), *named("b"))
-        left = known.join(mixed, "sig").where("root <> top").join(self.probes(), ["sig", "node"], "left_semi").select(
-            "sig", F.col("node").alias("a"), *named("a"), "top")
+        met = stored(known.join(mixed, "sig"), "jaccard-mixed")
+        remove(roots.sparkSession, path)
+        facts = self.nodes.select("node", "size", *SKETCH, "wide")
+        named = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("size", *SKETCH, "wide", "root")]
+        right = met.join(facts, "node").select("sig", F.col("node").alias("b"), *named("b"))
+        left = met.where("probe AND root <> top").join(facts, "node").select("sig", F.col("node").alias("a"), *named("a"), "top")
         # two rows outside the largest component meet twice, once is enough
         once = (F.col("root_b") == F.col("top")) | (F.col("a") < F.col("b"))
-        met = left.join(right, "sig").where(once & (F.col("root_a") != F.col("root_b")) & _near())
-        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = left.join(right, "sig").where(once & (F.col("root_a") != F.col("root_b")) & _near() & _near_wide())
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def roots(self) -> DataFrame:
         """node, root."""

@@ -132,3 +132,33 @@ def test_empty_tables(spark, docs_of):
     assert rows_of(jj.jaccard_groups(docs_of((1, "a")).limit(0))) == []
     assert rows_of(jj.jaccard_groups(docs_of((1, None), (2, "")))) == [(1, 0, 1), (2, 0, 2)]
     assert rows_of(jj.similar_pairs(docs_of((1, "a b c"), (2, "a b c")))) == []
+
+
+def test_wide_sketches_lose_no_pair(spark):
+    pick = np.random.default_rng(9)
+    rows = []
+    for size in (4, 5, 9, 63, 64, 94, 141, 300, 474, 1000, 1599, 1600, 9000):
+        for _ in range(6):
+            a = pick.integers(0, 1 << 63, size, dtype=np.uint64)
+            lost = int(pick.integers(0, size // 5 + 1))
+            b = np.concatenate([a[lost:], pick.integers(0, 1 << 63, (size - 5 * lost) // 4, dtype=np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            assert jj.similar(a, b)
+            for x, y in ((a, b), (b, a)):
+                rows.append((len(x), len(y), jj.wide_sketch(x).tolist(), jj.wide_sketch(y).tolist()))
+    assert any(len(x) != len(y) for _, _, x, y in rows)
+    pairs = spark.createDataFrame(rows, "size_a long, size_b long, wide_a array<bigint>, wide_b array<bigint>")
+    assert pairs.where(jj._near_wide()).count() == len(rows)
+
+
+def test_few_candidates_among_large_texts_below_the_limit(spark, docs_of):
+    """1,500 words with 34 changed: about 0.65 alike, which fills 256 bits as much as a link does."""
+    pick, base, rows = random.Random(2), prose(3, 1500, 5000).split(), []
+    for i in range(40):
+        words = list(base)
+        for at in pick.sample(range(1500), 34):
+            words[at] = f"x{pick.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    join = jj.Join(docs_of(*rows))
+    roots = join.nodes.select("node", jj.F.col("node").alias("root"))
+    assert join.cross_pairs(roots).count() < 40  # of 780
