@@ -2,7 +2,8 @@
 
 1. Examples are a bounded sample of the labelled rows: per label the ``MOST_TOXIC`` or ``MOST_CLEAN`` rows
    of least text hash. Weights undo the different sampling rates.
-2. Terms are words and word beginnings of 4 to 6 letters that are in ``LEAST_EXAMPLES`` examples. Their document
+2. Terms are words and word beginnings of 4 to 6 letters that are in ``LEAST_EXAMPLES`` examples. Tasks read the texts of
+   the examples; the driver gets the terms, and by example their numbers and counts. Document
    frequencies are counted over all documents: every task adds up its own, and the sums are added in two steps.
 3. The vocabulary is those terms whose share among the examples differs between labels by a number of standard errors.
    Which of ``CUTS`` it is, cross-validation over the examples decides: terms are chosen without a fold, and the cut is taken
@@ -38,6 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +62,8 @@ LONGEST_TERM = 40
 WORDS_KEPT = 400_000
 #: Characters of examples whose terms are counted at once.
 CHARS_AT_ONCE = 500_000
+#: Terms that a task counts before it passes the sums on.
+TERMS_AT_ONCE = 200_000
 #: Tasks that add up the sums of all others.
 ADDERS = 32
 
@@ -94,16 +98,28 @@ def choose_examples(slim: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict
     return stored(parts[0].unionByName(parts[1]), "toxicity-sample"), weights
 
 
-def candidate_terms(texts: list[str]) -> list[str]:
-    """The terms in ``LEAST_EXAMPLES`` of the texts, or all if none is, the most frequent first."""
+def _held_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
-    for text in texts:
-        counts.update({t for w in set(words(text)) for t in beginnings(w)})
+    sums = lambda: pa.RecordBatch.from_arrays(
+        [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
+    for batch in batches:
+        for text in batch.column(0):
+            counts.update({t for w in set(words(text.as_py())) for t in beginnings(w)})
+            if len(counts) > TERMS_AT_ONCE:
+                yield sums()
+                counts.clear()
+    yield sums()
+
+
+def candidate_terms(examples: DataFrame) -> list[str]:
+    """The terms in ``LEAST_EXAMPLES`` of the texts, or all if none is, the most frequent first."""
+    held = examples.select("text").mapInArrow(_held_terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    held = stored(held, "toxicity-terms")
     for least in (LEAST_EXAMPLES, 1):
-        chosen = sorted((-n, t) for t, n in counts.items() if n >= least)
-        if chosen:
+        chosen = held.where(F.col("n") >= least).toArrow()  # bounded by the examples
+        if chosen.num_rows:
             break
-    return [t for _, t in chosen]
+    return chosen.sort_by([("n", "descending"), ("term", "ascending")])["term"].to_pylist()
 
 
 def differences(a: np.ndarray, b: np.ndarray, n0: int, n1: int) -> np.ndarray:
@@ -178,6 +194,14 @@ class Examples:
     def __len__(self) -> int:
         return len(self.ids)
 
+    def holders(self, n_terms: int, toxic: bool | None = None) -> np.ndarray:
+        """How many examples, or how many of that label, hold each term."""
+        out = np.zeros(n_terms, dtype=np.int64)
+        for terms, own in zip(self.terms, self.toxic, strict=True):
+            if toxic is None or own == toxic:
+                out[terms] += 1
+        return out
+
     def folds(self) -> np.ndarray:
         """Equal texts are in one fold; those of each label are dealt out by text hash."""
         fold = np.zeros(len(self), dtype=int)
@@ -198,12 +222,14 @@ class Postings:
 
     @classmethod
     def of(cls, known: Examples, n_terms: int) -> Postings:
-        term = np.concatenate(known.terms)
-        order = np.argsort(term, kind="stable")
-        sizes = np.bincount(term, minlength=n_terms)
-        del term
-        row = np.repeat(np.arange(len(known), dtype=np.min_scalar_type(len(known))), [len(t) for t in known.terms])[order]
-        return cls(sizes, row, np.concatenate(known.counts)[order])
+        sizes = known.holders(n_terms)
+        row = np.empty(sizes.sum(), dtype=np.min_scalar_type(len(known)))
+        count = np.empty(len(row), dtype=np.int32)
+        at = np.cumsum(sizes) - sizes
+        for i, (terms, counts) in enumerate(zip(known.terms, known.counts, strict=True)):  # no sort, to spare memory
+            row[at[terms]], count[at[terms]] = i, counts
+            at[terms] += 1
+        return cls(sizes, row, count)
 
 
 def shares_of_fold(posts: Postings, y: np.ndarray, stands: np.ndarray, idf: np.ndarray, fold: np.ndarray, base: float,
@@ -282,9 +308,7 @@ def fit(spark: SparkSession, known: Examples, idf: np.ndarray, base: float) -> t
         return np.zeros(0, dtype=int), None
     fold = known.folds()
     shares = fold_shares(spark, known, idf, fold, base)
-    counts = [np.bincount(np.concatenate([t for t, of in zip(known.terms, y, strict=True) if of == label]),
-                          minlength=n_terms) for label in (False, True)]
-    z = differences(*counts, int((~y).sum()), int(y.sum()))
+    z = differences(known.holders(n_terms, False), known.holders(n_terms, True), int((~y).sum()), int(y.sum()))
     loss = lambda c: round(cross_loss(shares[c], y, known.stands_for, fold, base), 6)
     cut = min((c for c in CUTS if (z >= c).any()), key=lambda c: (loss(c), -c))
     return np.flatnonzero(z >= cut), calibration(shares[cut], y, known.stands_for, base)
@@ -334,20 +358,32 @@ class TermCounter:
         return pair // n_terms, pair % n_terms, n
 
 
-def counted_apart(texts: list[str], vocabulary: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Each text's terms and how often they stand there; ``CHARS_AT_ONCE`` or one text at once, to spare memory."""
-    counter, terms, counts, at = TermCounter(vocabulary), [], [], 0
-    while at < len(texts):
-        upto, chars = at + 1, len(texts[at])
-        while upto < len(texts) and chars + len(texts[upto]) <= CHARS_AT_ONCE:
-            chars += len(texts[upto])
-            upto += 1
-        row, term, n = counter.counts(texts[at:upto])
-        cuts = np.searchsorted(row, np.arange(1, upto - at))
-        terms += np.split(term.astype(np.int32), cuts)
-        counts += np.split(n.astype(np.int32), cuts)
-        at = upto
-    return terms, counts
+def counted_apart(examples: DataFrame, vocabulary: list[str]) -> pa.Table:
+    """doc_id, text_key, toxic, terms and how often they stand there, of each example by text; counted in tasks."""
+    shared = examples.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by the examples
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = TermCounter(shared.value)
+        for batch in batches:
+            chars, at = np.array(pc.utf8_length(batch.column(3))), 0
+            while at < batch.num_rows:  # CHARS_AT_ONCE or one text at once, to spare memory
+                upto = at + max(1, int(np.searchsorted(np.cumsum(chars[at:]), CHARS_AT_ONCE, "right")))
+                part = batch.slice(at, upto - at)
+                row, term, n = counter.counts(part.column(3).to_pylist())
+                ends = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (term, n)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *lists], names=["doc_id", "text_key", "toxic", "terms", "counts"])
+                at = upto
+
+    found = examples.select("doc_id", "text_key", "toxic", "text").mapInArrow(
+        count, "doc_id long, text_key long, toxic int, terms array<int>, counts array<int>").toArrow()
+    shared.destroy()
+    return found.sort_by([("text_key", "ascending"), ("toxic", "ascending"), ("doc_id", "ascending")])
+
+
+def _by_row(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    flat = lists.combine_chunks()
+    return np.split(flat.flatten().to_numpy(), np.cumsum(flat.value_lengths().to_numpy())[:-1])[:len(flat)]
 
 
 def document_frequencies(slim: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
@@ -498,16 +534,15 @@ def learned(slim: DataFrame, labels: DataFrame) -> tuple[list[str], Index]:
     sample, rates = choose_examples(slim, labels)
     # at most MOST_TOXIC + MOST_CLEAN rows; rows that repeat id and text count once
     texts = slim.join(F.broadcast(sample), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
-    rows = stored(texts.select("text_key", "doc_id", "toxic", "text"), "toxicity-examples").collect()  # bounded as above
-    rows.sort(key=lambda r: (r["text_key"], r["toxic"], r["doc_id"]))
-    toxic = np.array([r["toxic"] == 1 for r in rows], dtype=bool)
-    stands = np.array([rates[r["toxic"]] for r in rows], dtype=float)
-    base = float(stands[toxic].sum() / stands.sum()) if len(rows) else 0.0
+    examples = stored(texts.select("doc_id", "text_key", "toxic", "text"), "toxicity-examples")
+    terms = candidate_terms(examples) if rates[0] and rates[1] else []  # of both labels
+    rows = counted_apart(examples, terms)  # bounded as above
+    toxic = rows["toxic"].to_numpy() == 1
+    stands = np.where(toxic, rates[1], rates[0])
+    base = float(stands[toxic].sum() / stands.sum()) if len(toxic) else 0.0
     # 1 on average, so that the prior counts alike however many rows an example stands for
-    stands = stands / stands.mean() if len(rows) else stands
-    terms = candidate_terms([r["text"] for r in rows]) if toxic.any() and not toxic.all() else []
-    known = Examples(np.array([r["doc_id"] for r in rows], dtype=np.int64), np.array([r["text_key"] for r in rows], dtype=np.int64),
-                     toxic, stands, *counted_apart([r["text"] for r in rows], terms))
+    stands = stands / stands.mean() if len(toxic) else stands
+    known = Examples(rows["doc_id"].to_numpy(), rows["text_key"].to_numpy(), toxic, stands, _by_row(rows["terms"]), _by_row(rows["counts"]))
     del rows
     idf = np.zeros(0)
     if terms:

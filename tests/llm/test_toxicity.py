@@ -276,3 +276,38 @@ def test_the_driver_does_not_vote(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "voted", refuse)
     vocabulary, index = toxicity.learned(slim, labels)
     assert vocabulary and index.rate_at is not None
+
+
+def test_the_driver_reads_no_texts_of_examples(spark, monkeypatch):
+    """Words are found and counted in tasks; what the driver learns is what it learned from the texts themselves."""
+    rows = [(i, prose(i % 80, 60, 300 + 40 * (i % 3))) for i in range(90)] + [(90, ""), (91, "x" * 700_000)]
+    slim = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(92)], "doc_id long, toxic int")
+    held = Counter(t for _, text in rows for t in {t for w in toxicity.words(text) for t in toxicity.beginnings(w)})
+    want = [t for t, n in sorted(held.items(), key=lambda x: (-x[1], x[0])) if n >= toxicity.LEAST_EXAMPLES]
+    counted = {i: Counter(t for w in toxicity.words(text) for t in toxicity.beginnings(w)) for i, text in rows}
+    seen, real = [], toxicity.fit
+
+    def fit(spark, known, *more):
+        seen.append(known)
+        return real(spark, known, *more)
+
+    def refuse(*args):
+        raise AssertionError("reads texts on the driver")
+
+    monkeypatch.setattr(toxicity, "fit", fit)
+    monkeypatch.setattr(toxicity, "words", refuse)
+    toxicity.learned(slim, labels)
+    known, = seen
+    assert sorted(known.ids.tolist()) == list(range(92)) and (np.diff(known.text_keys) >= 0).all()
+    for i, terms, counts in zip(known.ids.tolist(), known.terms, known.counts, strict=True):
+        found = {want[t]: n for t, n in zip(terms.tolist(), counts.tolist(), strict=True)}
+        assert found == {t: n for t, n in counted[i].items() if t in want}
+    monkeypatch.undo()
+    assert toxicity.candidate_terms(slim) == want
+    assert toxicity.candidate_terms(slim.where("doc_id = 3")) == sorted(counted[3])
+    posts, term = toxicity.Postings.of(known, len(want)), np.concatenate(known.terms)
+    order = np.argsort(term, kind="stable")
+    of = np.repeat(np.arange(92), [len(t) for t in known.terms])
+    assert (posts.sizes == np.bincount(term, minlength=len(want))).all()
+    assert (posts.row == of[order]).all() and (posts.count == np.concatenate(known.counts)[order]).all()
